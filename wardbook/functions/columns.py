@@ -28,7 +28,10 @@ def clean_text(
     With a ``default``, text that is NULL or ends up empty is replaced by it; without
     one, NULL stays NULL and empty stays empty. Only blanks are trimmed, tabs survive.
     """
-    out = F.regexp_replace(_col(c), '[\r\n"]' if strip_quotes else "[\r\n]", " ")
+    out = _col(c)
+    # Plain byte replacement: these are single characters, no pattern matching needed.
+    for char in ("\r", "\n", '"') if strip_quotes else ("\r", "\n"):
+        out = F.replace(out, F.lit(char), F.lit(" "))
     if trim:
         out = F.trim(out)
     return out if default is None else F.coalesce(F.nullif(out, F.lit("")), F.lit(default))

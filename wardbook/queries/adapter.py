@@ -8,13 +8,16 @@ decided by column values, so that all branches of the jobs are met.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import replace
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wardbook.config import Kind, WarehouseConfig
+from wardbook.config import Kind, Site, WarehouseConfig
 from wardbook.plans import Warehouse
-from wardbook.sources import FrameSource
+
+Tables = Callable[[str], DataFrame]
 
 CFG = replace(
     WarehouseConfig(),
@@ -28,8 +31,26 @@ CFG = replace(
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
+# Columns of the driver's tables; stating them spares a schema-inference job per read.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pick(site_no: Column, values: list) -> Column:
@@ -45,14 +66,9 @@ def _supplier_name(key: str) -> Column:
     return F.concat(F.lit("Supplier#"), F.lpad(F.col(key).cast("string"), 9, "0"))
 
 
-def _split(df: DataFrame) -> dict[int, DataFrame]:
-    """One frame per site from a frame with ``site_no`` 0..2."""
-    return {site.id: df.filter(F.col("site_no") == no).drop("site_no") for no, site in enumerate(CFG.sites)}
-
-
-def sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sheets(tables: Tables) -> DataFrame:
     orders, customer, nation, region, part, lineitem = (
-        read(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region", "part", "lineitem")
+        tables(t) for t in ("orders", "customer", "nation", "region", "part", "lineitem")
     )
     lines = lineitem.groupBy("l_orderkey").agg(F.count("*").alias("lines"))
     price, status, label = F.col("o_totalprice"), F.col("o_orderstatus"), F.substring("o_orderpriority", 3, 100)
@@ -92,9 +108,9 @@ def sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
+def persons(tables: Tables) -> DataFrame:
     teaches = F.col("l_returnflag") == "R"
-    return read(spark, sf_dir, "lineitem").select(
+    return tables("lineitem").select(
         (F.col("l_orderkey") % 3).alias("site_no"),
         F.col("l_orderkey").alias("trainid"),
         F.when(teaches, F.col("l_suppkey")).otherwise(F.col("l_partkey")).alias("personid"),
@@ -109,8 +125,8 @@ def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "pages").select(
+def files(tables: Tables) -> DataFrame:
+    return tables("pages").select(
         (F.col("page_id") % 3).alias("site_no"),
         F.col("page_id").alias("trainid"),
         F.substring_index("url", "://", 1).alias("filetype"),
@@ -119,8 +135,8 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part, nation = read(spark, sf_dir, "part"), read(spark, sf_dir, "nation")
+def _parts(tables: Tables) -> DataFrame:
+    part, nation = tables("part"), tables("nation")
     return part.join(nation, F.col("p_partkey") % 25 == F.col("n_nationkey")).withColumn(
         "site_no", F.col("p_partkey") % 3
     )
@@ -130,9 +146,9 @@ def _grade(size: str = "p_size") -> Column:
     return 1995 + F.col(size) % 6
 
 
-def students(spark: SparkSession, sf_dir: str) -> DataFrame:
+def students(tables: Tables) -> DataFrame:
     known = F.col("p_size") <= 45
-    return _parts(spark, sf_dir).select(
+    return _parts(tables).select(
         "site_no",
         F.col("p_partkey").alias("personid"),
         F.when(F.col("p_size") <= 5, F.col("p_name")).otherwise(_student_name("p_partkey")).alias("personname"),
@@ -143,8 +159,8 @@ def students(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def teachers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier, nation = read(spark, sf_dir, "supplier"), read(spark, sf_dir, "nation")
+def teachers(tables: Tables) -> DataFrame:
+    supplier, nation = tables("supplier"), tables("nation")
     return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("personid"),
         F.col("s_name").alias("personname"),
@@ -160,9 +176,9 @@ def teachers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def admissions(tables: Tables) -> DataFrame:
     site = F.col("site_no")
-    return _parts(spark, sf_dir).select(
+    return _parts(tables).select(
         _grade().alias("admission_year"),
         _pick(site, [s.id for s in CFG.sites]).alias("training_base_id"),
         _pick(site, [s.name for s in CFG.sites]).alias("training_base"),
@@ -173,9 +189,9 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def rotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem, part = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "part").select("p_partkey", "p_size")
-    nation = read(spark, sf_dir, "nation")
+def rotations(tables: Tables) -> DataFrame:
+    lineitem, part = tables("lineitem"), tables("part").select("p_partkey", "p_size")
+    nation = tables("nation")
     own = nation.select(F.col("n_nationkey").alias("own_id"), F.col("n_name").alias("own_name"))
     office = nation.select(F.col("n_nationkey").alias("office_id"), F.col("n_name").alias("office_name"))
     days = (
@@ -211,9 +227,9 @@ def rotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def standards(spark: SparkSession, sf_dir: str) -> DataFrame:
+def standards(tables: Tables) -> DataFrame:
     """Nations with customers × order priorities, some without a type id."""
-    customer, nation = read(spark, sf_dir, "customer"), read(spark, sf_dir, "nation")
+    customer, nation = tables("customer"), tables("nation")
     used = nation.join(customer, F.col("n_nationkey") == F.col("c_nationkey"), "left_semi")
     return used.withColumn("p", F.explode(F.array(*[F.lit(p) for p in PRIORITIES]))).select(
         F.col("n_nationkey").alias("major_id"),
@@ -225,19 +241,30 @@ def standards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_ENTITIES = {"sheet": sheets, "person": persons, "file": files, "student": students, "teacher": teachers}
+
+
+class DriverSource:
+    """Inputs made from the driver's tables, each only when a job asks for it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, cfg: WarehouseConfig = CFG):
+        self.cfg = cfg
+        self.tables: Tables = cache(lambda name: read(spark, sf_dir, name))
+
+    def sites(self, entity: str) -> Iterator[tuple[Site, DataFrame]]:
+        rows = _ENTITIES[entity](self.tables)
+        for no, site in enumerate(self.cfg.sites):
+            yield site, rows.filter(F.col("site_no") == no) if "site_no" in rows.columns else rows
+
+    def admissions(self) -> DataFrame:
+        return admissions(self.tables)
+
+    def rotations(self) -> DataFrame:
+        return rotations(self.tables)
+
+    def standards(self) -> DataFrame:
+        return standards(self.tables)
+
+
 def warehouse(spark: SparkSession, sf_dir: str, cfg: WarehouseConfig = CFG) -> Warehouse:
-    teacher = teachers(spark, sf_dir)
-    source = FrameSource(
-        cfg,
-        {
-            "sheet": _split(sheets(spark, sf_dir)),
-            "person": _split(persons(spark, sf_dir)),
-            "file": _split(files(spark, sf_dir)),
-            "student": _split(students(spark, sf_dir)),
-            "teacher": {site.id: teacher for site in cfg.sites},
-        },
-        admissions(spark, sf_dir),
-        rotations(spark, sf_dir),
-        standards(spark, sf_dir),
-    )
-    return Warehouse(spark, cfg, source)
+    return Warehouse(spark, cfg, DriverSource(spark, sf_dir, cfg))

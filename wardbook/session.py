@@ -12,6 +12,8 @@ CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot partition even if the step above the join then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Recording the Python call site of every expression doubles the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }

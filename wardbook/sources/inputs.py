@@ -14,10 +14,10 @@ from wardbook.sources.standards import standards_dictionary
 
 def checked(df: DataFrame, name: str) -> DataFrame:
     """The declared columns of an input, in their declared types; missing ones are an error."""
-    missing = [f.name for f in INPUTS[name] if f.name not in df.columns]
+    missing = set(INPUTS[name].names) - set(df.columns)
     if missing:
-        raise ValueError(f"{name} lacks columns {missing}")
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in INPUTS[name]])
+        raise ValueError(f"{name} lacks columns {sorted(missing)}")
+    return df.to(INPUTS[name])
 
 
 @dataclass(frozen=True)

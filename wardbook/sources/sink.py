@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from wardbook.sources.schemas import TableSpec
 
@@ -14,8 +14,12 @@ def ensure_database(spark: SparkSession, db: str) -> None:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns by name, in declared order and type, with their comments."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in schema])
+    """Columns by name, in declared order and type, with their comments.
+
+    Types follow store assignment: numbers and timestamps may become text, a number that
+    does not fit is an error.
+    """
+    return df.to(schema)
 
 
 def publish(
