@@ -57,6 +57,19 @@ def left_join(left: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str])
     return left.join(side, cond, "left").drop(*_key_names(on))
 
 
+def _as_key(cols: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)]).alias("_key")
+
+
+def _distinct_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct non-NULL keys as one struct column.
+
+    The struct is built after the grouping, so a shuffled join on it has a shuffle of its
+    own on this side, which is what lets the run time split a hot key on the other side.
+    """
+    return df.select(*cols).dropna().distinct().select(_as_key(cols))
+
+
 def join_keeping_left(
     left: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str], *, small_left: int | None = None
 ) -> DataFrame:
@@ -66,14 +79,24 @@ def join_keeping_left(
     ``small_left``, where a left side proven to hold at most that many rows is
     broadcast, so the large right side is not shuffled at all). Left rows without a
     partner are found against the distinct right keys, which shrink before the shuffle.
+
+    Keys are compared as one struct whose NULLs were removed on the right, so NULL keys
+    find no partner. Unlike single columns a struct adds no filter to the left side, and
+    both branches read one and the same shuffled left side.
     """
-    side, cond = _right_side(right, on, keep)
-    names = _key_names(on)
-    probe = left if small_left is None else bounded(left, small_left)
-    matched = probe.join(side, cond, "inner").drop(*names)
-    nulls = [F.lit(None).cast(side.schema[c].dataType).alias(c) for c in keep]
-    alone = left.join(side.select(*names).distinct(), cond, "left_anti").select("*", *nulls)
-    return matched.unionByName(alone)
+    keys = [r for _, r in on]
+    keyed = left.withColumn("_key", _as_key([name for name, _ in on]))
+    values = [F.col(c).alias(f"_v{i}") for i, c in enumerate(keep)]
+    side = right.dropna(subset=keys).select(_as_key(keys).alias("_right"), *values)
+    match = F.col("_key") == F.col("_right")
+    probe = keyed if small_left is None else bounded(keyed, small_left)
+    found = probe.join(side, match, "inner").select(
+        *left.columns, *[F.col(f"_v{i}").alias(c) for i, c in enumerate(keep)]
+    )
+    others = _distinct_keys(right, keys).withColumnRenamed("_key", "_right")
+    alone = keyed.join(others, match, "left_anti")
+    nulls = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in keep]
+    return found.union(alone.select(*left.columns, *nulls))
 
 
 def registry_participants(
@@ -90,8 +113,9 @@ def registry_participants(
     neither a person with very many participations nor a person copied very often
     weighs more than one row per map task.
     """
-    present, cond = _right_side(participation.filter(F.col(role_col) == role), on, [])
-    return dedupe_rows(registry).join(present.distinct(), cond, "left_semi")
+    present = _distinct_keys(participation.filter(F.col(role_col) == role), [r for _, r in on])
+    people = dedupe_rows(registry).withColumn("_who", _as_key([name for name, _ in on]))
+    return people.join(present, F.col("_who") == F.col("_key"), "left_semi").drop("_who")
 
 
 def participation_log(
