@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 from wardbook.queries import adapter
 from wardbook.queries.job_sql import JOB_KEYS, job_sql
+from wardbook.queries.operator_queries import ENTRIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,9 +18,16 @@ def _job(key: str) -> Query:
     return lambda spark, sf_dir: adapter.warehouse(spark, sf_dir).table(key)
 
 
+def _operator(name: str) -> Query:
+    build, _ = ENTRIES[name]
+    return lambda spark, sf_dir: build(cache(lambda table: adapter.read(spark, sf_dir, table)))
+
+
 def queries() -> dict[str, Query]:
-    return {name: _job(key) for key, name in JOB_KEYS.items()}
+    jobs = {name: _job(key) for key, name in JOB_KEYS.items()}
+    return {**{name: _operator(name) for name in ENTRIES}, **jobs}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: job_sql(key) for key, name in JOB_KEYS.items()}
+    jobs = {name: job_sql(key) for key, name in JOB_KEYS.items()}
+    return {**{name: sql for name, (_, sql) in ENTRIES.items()}, **jobs}
