@@ -1,6 +1,8 @@
 """Jobs by key, and the warehouse that builds or publishes them.
 
-``Warehouse.table`` composes a job lazily from its inputs. ``Warehouse.publish`` stores
+``Warehouse.table`` composes a job lazily from its inputs. ``Warehouse.staged`` does the
+same after writing the tables that are read more than once on the way to a folder, so
+that none of them is computed twice and lineage stays short. ``Warehouse.publish`` stores
 jobs one after another, each reading the stored tables of the jobs before it, so a table
 used several times is computed once and every job starts from storage: a lost executor
 costs at most the job it was working on.
@@ -8,7 +10,8 @@ costs at most the job it was working on.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections import Counter
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,6 +26,8 @@ from wardbook.sources.sink import conform, publish
 class Job:
     key: str
     build: Callable[[Warehouse], DataFrame]
+    # Upstream jobs and how often this job reads each of them.
+    reads: Mapping[str, int] = field(default_factory=dict)
     order_by: tuple[str, ...] = ()
     descending: tuple[str, ...] = ()
 
@@ -51,6 +56,27 @@ class Warehouse:
             )
         return self.tables[key]
 
+    def needed(self, key: str) -> list[str]:
+        """A job and all jobs below it, in dependency order."""
+        below = {key}
+        for k in reversed(JOBS):
+            if k in below:
+                below |= set(JOBS[k].reads)
+        return [k for k in JOBS if k in below]
+
+    def staged(self, key: str, folder: str) -> DataFrame:
+        """A job's result, with what is read repeatedly below it written to ``folder`` first."""
+        needed = self.needed(key)
+        reads = Counter()
+        for k in needed:
+            reads.update(JOBS[k].reads)
+        for k in needed[:-1]:
+            if reads[k] > 1:
+                path = f"{folder}/{JOBS[k].spec.name}"
+                self.table(k).write.mode("overwrite").parquet(path)
+                self.tables[k] = self.spark.read.schema(JOBS[k].spec.schema).parquet(path)
+        return self.table(key)
+
     def publish(self, keys: Iterable[str] | None = None) -> dict[str, str]:
         """Replace the tables of the given jobs (all by default), in dependency order."""
         for key in JOBS if keys is None else [k for k in JOBS if k in set(keys)]:
@@ -65,7 +91,7 @@ class Warehouse:
         return dict(self.stored)
 
 
-# In dependency order.
+# In dependency order. The dictionary (t01) is too small to be worth counting as read.
 JOBS = {
     job.key: job
     for job in (
@@ -73,36 +99,52 @@ JOBS = {
         Job("t02", lambda w: detail.activities(w.cfg, w.source, w.table("t01"))),
         Job("t03", lambda w: detail.participation(w.cfg, w.source)),
         Job("t04", lambda w: detail.attachments(w.cfg, w.source)),
-        Job("t05", lambda w: detail.students(w.cfg, w.source, w.table("t03"))),
-        Job("t06", lambda w: detail.student_log(w.table("t05"), w.table("t03"), w.table("t02"))),
-        Job("t07", lambda w: detail.teachers(w.cfg, w.source, w.table("t03"))),
-        Job("t08", lambda w: detail.teacher_log(w.table("t07"), w.table("t03"), w.table("t02"))),
-        Job("t09", lambda w: detail.hospital_inductions(w.cfg, w.source.admissions(), w.table("t02"))),
-        Job("t10", lambda w: detail.specialty_inductions(w.cfg, w.source.admissions(), w.table("t02"))),
+        Job("t05", lambda w: detail.students(w.cfg, w.source, w.table("t03")), {"t03": 1}),
+        Job(
+            "t06",
+            lambda w: detail.student_log(w.table("t05"), w.table("t03"), w.table("t02")),
+            {"t05": 1, "t03": 1, "t02": 1},
+        ),
+        Job("t07", lambda w: detail.teachers(w.cfg, w.source, w.table("t03")), {"t03": 1}),
+        Job(
+            "t08",
+            lambda w: detail.teacher_log(w.table("t07"), w.table("t03"), w.table("t02")),
+            {"t07": 1, "t03": 1, "t02": 1},
+        ),
+        Job("t09", lambda w: detail.hospital_inductions(w.cfg, w.source.admissions(), w.table("t02")), {"t02": 2}),
+        Job("t10", lambda w: detail.specialty_inductions(w.cfg, w.source.admissions(), w.table("t02")), {"t02": 2}),
         Job(
             "t11",
             lambda w: detail.rotation_activities(w.cfg, w.source.rotations(), w.table("t05"), w.table("t06")),
+            {"t05": 1, "t06": 2},
         ),
-        Job("t12", lambda w: detail.titles_with_teachers(w.table("t02"), w.table("t08"))),
-        Job("t13", lambda w: summary.overview(w.cfg, w.table("t02"), w.table("t06"))),
-        Job("t14", lambda w: summary.counts_against_standards(w.cfg, w.table("t02"), w.table("t01"))),
-        Job("t15", lambda w: summary.hospital_coverage(w.table("t09"))),
-        Job("t16", lambda w: summary.specialty_coverage(w.table("t10"))),
+        Job("t12", lambda w: detail.titles_with_teachers(w.table("t02"), w.table("t08")), {"t02": 2, "t08": 2}),
+        Job("t13", lambda w: summary.overview(w.cfg, w.table("t02"), w.table("t06")), {"t02": 1, "t06": 1}),
+        Job("t14", lambda w: summary.counts_against_standards(w.cfg, w.table("t02"), w.table("t01")), {"t02": 1}),
+        Job("t15", lambda w: summary.hospital_coverage(w.table("t09")), {"t09": 1}),
+        Job("t16", lambda w: summary.specialty_coverage(w.table("t10")), {"t10": 1}),
         # The log keeps every student of t05, so presence in it is presence in t05.
         Job(
             "t17",
             lambda w: summary.admitted_presence(w.cfg, w.source.admissions(), w.source.rotations(), w.table("t05")),
+            {"t05": 1},
+        ),
+        Job("t18", lambda w: summary.rotation_counts(w.cfg, w.table("t11")), {"t11": 1}),
+        Job("t19", lambda w: summary.rotation_abnormal(w.cfg, w.table("t18")), {"t18": 1}),
+        Job("t20", lambda w: summary.outpatient(w.cfg, w.table("t14")), {"t14": 1}),
+        Job("t21", lambda w: summary.irregular_titles(w.cfg, w.table("t12")), {"t12": 1}),
+        Job("t22", lambda w: report.average_times(w.table("t13")), {"t13": 1}),
+        Job("t23", lambda w: report.sign_in(w.table("t13")), {"t13": 1}),
+        Job("t24", lambda w: report.evaluation(w.table("t13")), {"t13": 1}),
+        Job("t25", lambda w: report.missed_standards(w.table("t14")), {"t14": 1}),
+        Job("t26", lambda w: report.title_quality(w.table("t21")), {"t21": 1}),
+        Job(
+            "t27",
+            lambda w: report.same_title(w.table("t12")),
+            {"t12": 1},
+            order_by=report.SAME_TITLE_ORDER,
+            descending=("month",),
         ),
-        Job("t18", lambda w: summary.rotation_counts(w.cfg, w.table("t11"))),
-        Job("t19", lambda w: summary.rotation_abnormal(w.cfg, w.table("t18"))),
-        Job("t20", lambda w: summary.outpatient(w.cfg, w.table("t14"))),
-        Job("t21", lambda w: summary.irregular_titles(w.cfg, w.table("t12"))),
-        Job("t22", lambda w: report.average_times(w.table("t13"))),
-        Job("t23", lambda w: report.sign_in(w.table("t13"))),
-        Job("t24", lambda w: report.evaluation(w.table("t13"))),
-        Job("t25", lambda w: report.missed_standards(w.table("t14"))),
-        Job("t26", lambda w: report.title_quality(w.table("t21"))),
-        Job("t27", lambda w: report.same_title(w.table("t12")), order_by=report.SAME_TITLE_ORDER, descending=("month",)),
-        Job("t28", lambda w: report.missed_specialty(w.table("t18"))),
+        Job("t28", lambda w: report.missed_specialty(w.table("t18")), {"t18": 1}),
     )
 }

@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import replace
 from functools import cache
+from tempfile import mkdtemp
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -53,6 +55,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """A new folder below the cluster's shared one; below a local one only where none is named."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{base}/wardbook-{uuid4().hex}" if base else mkdtemp(prefix="wardbook-")
+
+
 def _pick(site_no: Column, values: list) -> Column:
     """k-th value for k = 0, 1, 2."""
     return F.when(site_no == 0, values[0]).when(site_no == 1, values[1]).otherwise(values[2])

@@ -7,7 +7,6 @@ specialty, the order priority the activity type, and lineitems are participation
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -51,7 +50,7 @@ from wardbook.operators import (
 )
 from wardbook.operators.joins import left_join
 from wardbook.plans import detail, report, summary
-from wardbook.queries.adapter import CFG, Tables, standards
+from wardbook.queries.adapter import CFG, Tables, run_folder, standards
 from wardbook.queries.job_sql import clean, half_up, month, ratio, whole_months, with_chain
 from wardbook.sources import TableSpec, conform, publish, standards_dictionary
 from wardbook.sources.schemas import schema
@@ -208,17 +207,11 @@ def _literal_dictionary(t):
 _ROUNDTRIP = TableSpec("dwd", "roundtrip_customer", schema("c_custkey:l c_name:s c_nationkey:i"), "Published twice")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A folder of this application in the cluster's shared one; a local one only where none is named."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{base}/{spark.sparkContext.applicationId}" if base else tempfile.mkdtemp(prefix="wardbook-")
-
-
 @entry("publish_roundtrip", "SELECT c_custkey, c_name, c_nationkey FROM customer")
 def _publish_roundtrip(t):
     customer = t("customer")
     spark = customer.sparkSession
-    folder = shared_folder(spark)
+    folder = run_folder(spark)
     for _ in range(2):
         name = publish(customer, _ROUNDTRIP, "wardbook_roundtrip", location=folder)
     return spark.table(name)

@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _job(key: str) -> Query:
-    return lambda spark, sf_dir: adapter.warehouse(spark, sf_dir).table(key)
+    return lambda spark, sf_dir: adapter.warehouse(spark, sf_dir).staged(key, adapter.run_folder(spark))
 
 
 def _operator(name: str) -> Query:
