@@ -97,6 +97,15 @@ def test_join_keeping_left_on_one_frame_with_itself(spark):
     assert rows(got) == Counter({(1, 1, 1): 1, (2, 1, 1): 1, (3, None, None): 1})
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_keys_of_different_types_are_refused(spark, kind):
+    """Their hashes would differ although the values are equal."""
+    left = spark.createDataFrame([(1,)], "k int")
+    right = spark.createDataFrame([(1,)], "id int").select(F.col("id").cast(kind))
+    with pytest.raises(TypeError, match="one exact type"):
+        join_keeping_left(left, right, [("k", "id")], [])
+
+
 @pytest.mark.parametrize("hot", ["left", "right"])
 def test_hot_key_is_split_on_either_side(spark, conf, hot):
     for key, value in {

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 Keys = Sequence[tuple[str, str]]  # (left column, right column)
 
@@ -57,17 +57,39 @@ def left_join(left: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str])
     return left.join(side, cond, "left").drop(*_key_names(on))
 
 
-def _as_key(cols: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)]).alias("_key")
+def _check_types(left: DataFrame, right: DataFrame, on: Keys) -> None:
+    """Hashes of equal values are equal only within one type, so both sides must agree on it."""
+    for name, other in on:
+        mine, theirs = left.schema[name].dataType, right.schema[other].dataType
+        if mine != theirs or isinstance(mine, T.FractionalType):
+            raise TypeError(f"join keys {name} ({mine.simpleString()}) and {other} ({theirs.simpleString()}) need one exact type")
+
+
+def _as_key(cols: Sequence[str], side: str) -> list[Column]:
+    """A key as its hash and a struct of its columns.
+
+    Sorting for a merge join compares the hash first, which is a plain number, and
+    reaches for the struct only between equal hashes.
+    """
+    columns = [F.col(c) for c in cols]
+    struct = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)])
+    return [F.xxhash64(*columns).alias(f"_{side}_hash"), struct.alias(f"_{side}_key")]
+
+
+_MATCH = [("_left_hash", "_right_hash"), ("_left_key", "_right_key")]
+
+
+def _matches() -> Column:
+    return reduce(and_, [F.col(a) == F.col(b) for a, b in _MATCH])
 
 
 def _distinct_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct non-NULL keys as one struct column.
+    """Distinct non-NULL keys in the form ``_as_key`` gives the right side.
 
-    The struct is built after the grouping, so a shuffled join on it has a shuffle of its
+    That form is made after the grouping, so a shuffled join on it has a shuffle of its
     own on this side, which is what lets the run time split a hot key on the other side.
     """
-    return df.select(*cols).dropna().distinct().select(_as_key(cols))
+    return df.select(*cols).dropna().distinct().select(*_as_key(cols, "right"))
 
 
 def join_keeping_left(
@@ -84,17 +106,16 @@ def join_keeping_left(
     find no partner. Unlike single columns a struct adds no filter to the left side, and
     both branches read one and the same shuffled left side.
     """
+    _check_types(left, right, on)
     keys = [r for _, r in on]
-    keyed = left.withColumn("_key", _as_key([name for name, _ in on]))
+    keyed = left.select("*", *_as_key([name for name, _ in on], "left"))
     values = [F.col(c).alias(f"_v{i}") for i, c in enumerate(keep)]
-    side = right.dropna(subset=keys).select(_as_key(keys).alias("_right"), *values)
-    match = F.col("_key") == F.col("_right")
+    side = right.dropna(subset=keys).select(*_as_key(keys, "right"), *values)
     probe = keyed if small_left is None else bounded(keyed, small_left)
-    found = probe.join(side, match, "inner").select(
+    found = probe.join(side, _matches(), "inner").select(
         *left.columns, *[F.col(f"_v{i}").alias(c) for i, c in enumerate(keep)]
     )
-    others = _distinct_keys(right, keys).withColumnRenamed("_key", "_right")
-    alone = keyed.join(others, match, "left_anti")
+    alone = keyed.join(_distinct_keys(right, keys), _matches(), "left_anti")
     nulls = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in keep]
     return found.union(alone.select(*left.columns, *nulls))
 
@@ -113,9 +134,10 @@ def registry_participants(
     neither a person with very many participations nor a person copied very often
     weighs more than one row per map task.
     """
+    _check_types(registry, participation, on)
     present = _distinct_keys(participation.filter(F.col(role_col) == role), [r for _, r in on])
-    people = dedupe_rows(registry).withColumn("_who", _as_key([name for name, _ in on]))
-    return people.join(present, F.col("_who") == F.col("_key"), "left_semi").drop("_who")
+    people = dedupe_rows(registry).select("*", *_as_key([name for name, _ in on], "left"))
+    return people.join(present, _matches(), "left_semi").select(*registry.columns)
 
 
 def participation_log(
