@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from wardbook.operators.joins import Keys, join_keeping_left, left_join
+from wardbook.operators.joins import Keys, join_keeping_left
 
 
 def month_walk(df: DataFrame, start: str, end: str, *, max_months: int = 12, alias: str = "month") -> DataFrame:
@@ -33,4 +33,4 @@ def month_bucket_join(rows: DataFrame, log: DataFrame, on: Keys, keep: Sequence[
 
 def fill_id(rows: DataFrame, registry: DataFrame, on: Keys, id_col: str, alias: str) -> DataFrame:
     """Look an id up by natural key; namesakes fan out, strangers get NULL."""
-    return left_join(rows, registry.withColumn(alias, F.col(id_col)), on, [alias])
+    return join_keeping_left(rows, registry.withColumn(alias, F.col(id_col)), on, [alias])

@@ -52,7 +52,7 @@ def lookup_join(df: DataFrame, dictionary: DataFrame, on: Keys, keep: Sequence[s
 
 
 def left_join(left: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str]) -> DataFrame:
-    """Left join for a right side with few rows per key; a hot left side is split at run time."""
+    """Left join for a right side unique by key, such as an aggregate; a hot left side is split at run time."""
     side, cond = _right_side(right, on, keep)
     return left.join(side, cond, "left").drop(*_key_names(on))
 
@@ -170,7 +170,7 @@ def participation_log(
     else:
         taken = join_keeping_left(people, side, on, list(extra))
     chain = [(f"_p{i}", r) for i, (_, r) in enumerate(activity_on)]
-    return left_join(taken, activities, chain, activity_cols).drop(*link)
+    return join_keeping_left(taken, activities, chain, activity_cols).drop(*link)
 
 
 def population_events(

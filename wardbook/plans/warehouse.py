@@ -103,20 +103,20 @@ JOBS = {
         Job(
             "t06",
             lambda w: detail.student_log(w.table("t05"), w.table("t03"), w.table("t02")),
-            {"t05": 1, "t03": 1, "t02": 1},
+            {"t05": 1, "t03": 1, "t02": 2},
         ),
         Job("t07", lambda w: detail.teachers(w.cfg, w.source, w.table("t03")), {"t03": 1}),
         Job(
             "t08",
             lambda w: detail.teacher_log(w.table("t07"), w.table("t03"), w.table("t02")),
-            {"t07": 1, "t03": 1, "t02": 1},
+            {"t07": 1, "t03": 1, "t02": 2},
         ),
         Job("t09", lambda w: detail.hospital_inductions(w.cfg, w.source.admissions(), w.table("t02")), {"t02": 2}),
         Job("t10", lambda w: detail.specialty_inductions(w.cfg, w.source.admissions(), w.table("t02")), {"t02": 2}),
         Job(
             "t11",
             lambda w: detail.rotation_activities(w.cfg, w.source.rotations(), w.table("t05"), w.table("t06")),
-            {"t05": 1, "t06": 2},
+            {"t05": 2, "t06": 2},
         ),
         Job("t12", lambda w: detail.titles_with_teachers(w.table("t02"), w.table("t08")), {"t02": 2, "t08": 2}),
         Job("t13", lambda w: summary.overview(w.cfg, w.table("t02"), w.table("t06")), {"t02": 1, "t06": 1}),
