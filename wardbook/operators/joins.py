@@ -107,17 +107,27 @@ def join_keeping_left(
     both branches read one and the same shuffled left side.
     """
     _check_types(left, right, on)
-    keys = [r for _, r in on]
     keyed = left.select("*", *_as_key([name for name, _ in on], "left"))
+    probe = keyed if small_left is None else bounded(keyed, small_left)
+    found = _found(probe, right, on, keep).select(*left.columns, *keep)
+    return found.union(_alone(keyed, right, on).select(*left.columns, *_nulls(right, keep)))
+
+
+def _found(keyed: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str]) -> DataFrame:
+    """Matches of a left side that already carries its key."""
+    keys = [r for _, r in on]
     values = [F.col(c).alias(f"_v{i}") for i, c in enumerate(keep)]
     side = right.dropna(subset=keys).select(*_as_key(keys, "right"), *values)
-    probe = keyed if small_left is None else bounded(keyed, small_left)
-    found = probe.join(side, _matches(), "inner").select(
-        *left.columns, *[F.col(f"_v{i}").alias(c) for i, c in enumerate(keep)]
-    )
-    alone = keyed.join(_distinct_keys(right, keys), _matches(), "left_anti")
-    nulls = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in keep]
-    return found.union(alone.select(*left.columns, *nulls))
+    renamed = [F.col(f"_v{i}").alias(c) for i, c in enumerate(keep)]
+    return keyed.join(side, _matches(), "inner").select(*keyed.columns, *renamed)
+
+
+def _alone(keyed: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
+    return keyed.join(_distinct_keys(right, [r for _, r in on]), _matches(), "left_anti")
+
+
+def _nulls(right: DataFrame, keep: Sequence[str]) -> list[Column]:
+    return [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in keep]
 
 
 def registry_participants(
@@ -158,19 +168,22 @@ def participation_log(
     ``registry_participants``); the first join is then an inner join.
     """
     link = {f"_p{i}": c for i, (c, _) in enumerate(activity_on)}
-    extra = {**link, **{new: old for new, old in participation_cols.items()}}
-    side = participation.select(
+    extra = {**link, **participation_cols}
+    takes = participation.select(
         *[F.col(r).alias(f"_r{i}") for i, (_, r) in enumerate(person_on)],
         *[F.col(old).alias(new) for new, old in extra.items()],
     )
     on = [(left, f"_r{i}") for i, (left, _) in enumerate(person_on)]
-    if all_present:
-        right, cond = _right_side(side, on, list(extra))
-        taken = people.join(right, cond, "inner").drop(*_key_names(on))
-    else:
-        taken = join_keeping_left(people, side, on, list(extra))
+    _check_types(people, takes, on)
+    keyed = people.select("*", *_as_key([name for name, _ in on], "left"))
+    taken = _found(keyed, takes, on, list(extra)).select(*people.columns, *extra)
     chain = [(f"_p{i}", r) for i, (_, r) in enumerate(activity_on)]
-    return join_keeping_left(taken, activities, chain, activity_cols).drop(*link)
+    log = join_keeping_left(taken, activities, chain, activity_cols).drop(*link)
+    if all_present:
+        return log
+    # Nobody without a participation needs to be looked up among the activities.
+    missing = [*_nulls(takes, list(participation_cols)), *_nulls(activities, activity_cols)]
+    return log.union(_alone(keyed, takes, on).select(*people.columns, *missing))
 
 
 def population_events(
