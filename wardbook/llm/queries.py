@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from wardbook.llm.common import read
 from wardbook.llm.exact_dedup import exact_dedup
 from wardbook.llm.line_dedup import remove_repeated_lines
+from wardbook.llm.quality_rules import quality_rules
+from wardbook.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -50,9 +56,15 @@ SELECT doc_id, CASE WHEN split.text IS NULL THEN NULL ELSE coalesce(kept.text, '
 FROM split LEFT JOIN kept USING (doc_id)
 """
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {"op8_exact_dedup": _OP8, "op9_line_dedup": _OP9}
