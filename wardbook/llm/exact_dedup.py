@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from wardbook.llm.common import run_folder, stored
 
 
+def _key(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
 def _bits(column: str, depth: int) -> Column:
     """The first ``depth`` bits of a 64-bit key, 1 to 64, as a number."""
     return F.shiftrightunsigned(column, 64 - depth)
@@ -66,7 +70,7 @@ def exact_dedup(
     spark = docs.sparkSession
     folder = folder or run_folder(spark, "exact-dedup")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("t")).withColumn("key", F.xxhash64("t"))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("t")).withColumn("key", _key(F.col("t")))
 
     entries = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("top"))
     entries = stored(entries, f"{folder}/entries")
@@ -78,7 +82,8 @@ def exact_dedup(
         f"{folder}/index",
     )
 
-    shared = index.filter("n > 1").select("key")
+    # Repeated keys grow with the corpus: the join is shuffled at every size, never broadcast.
+    shared = index.filter("n > 1").select("key").hint("merge")
     colliding = stored(rows.join(shared, "key", "left_semi").select("id", "key", "t"), f"{folder}/colliding")
     groups = colliding.groupBy("key", "t").agg(F.count("*").alias("size"), F.max("id").alias("keep"))
     # Texts with one key: one row each, so a chain is as long as there are collisions.
