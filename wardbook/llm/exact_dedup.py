@@ -35,7 +35,8 @@ def directory(keys: DataFrame, *, capacity: int, max_depth: int) -> DataFrame:
     )
     holds = doubled.groupBy("depth", "bucket").agg(F.sum("n").alias("n"))
     fits = holds.filter((F.col("n") <= capacity) | (F.col("depth") == max_depth)).select("depth", "bucket")
-    leaf = doubled.join(fits, ["depth", "bucket"]).groupBy("slot").agg(F.min(F.struct("depth", "bucket")).alias("leaf"))
+    # Fewer than 2 ** (max_depth + 1) rows of 12 bytes.
+    leaf = doubled.join(F.broadcast(fits), ["depth", "bucket"]).groupBy("slot").agg(F.min(F.struct("depth", "bucket")).alias("leaf"))
     return leaf.select("slot", "leaf.depth", "leaf.bucket")
 
 
