@@ -73,7 +73,8 @@ def remove_repeated_lines(
             ).alias("_gone"),
         )
     )
-    gone = stored(gone, f"{folder}/gone")
+    # Lists of removed lines grow with the corpus: the join is shuffled at every size, never broadcast.
+    gone = stored(gone, f"{folder}/gone").hint("merge")
     others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     joined = docs.join(gone, F.col(id_col) == F.col("_id"), "left").select(
         *others, "_gone", F.split(text_col, "\n", -1).alias("_lines")
