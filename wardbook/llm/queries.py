@@ -4,21 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardbook.llm.common import read
 from wardbook.llm.exact_dedup import exact_dedup
+from wardbook.llm.language_id import identify, learn
 from wardbook.llm.line_dedup import remove_repeated_lines
+from wardbook.llm.mixing import mix, mixing_sql
+from wardbook.llm.packing import Encoder, pack
 from wardbook.llm.quality_rules import quality_rules
 from wardbook.llm.simhash import near_duplicates
+from wardbook.llm.token_counts import Tokenizer, count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = Tokenizer(
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    return count_tokens(read(spark, sf_dir, "documents"), tokenizer)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "sampled")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoder = Encoder(public_tokenizers.path("word_bpe_49k.json"), by_word=True)
+    return pack(read(spark, sf_dir, "documents"), encoder)
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return identify(docs, learn(docs))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -61,10 +88,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_token_counts": op2_token_counts,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_mixing": op4_mixing,
+    "op5_packing": op5_packing,
+    "op7_language_id": op7_language_id,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {"op8_exact_dedup": _OP8, "op9_line_dedup": _OP9}
+ORACLES: dict[str, str] = {"op4_mixing": mixing_sql(), "op8_exact_dedup": _OP8, "op9_line_dedup": _OP9}
