@@ -16,10 +16,15 @@ from wardbook.llm.packing import Encoder, pack
 from wardbook.llm.quality_rules import quality_rules
 from wardbook.llm.simhash import near_duplicates
 from wardbook.llm.token_counts import Tokenizer, count_tokens
+from wardbook.llm.warc import archive_captures
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_captures(read(spark, sf_dir, "pages"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = Tokenizer(
         public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -88,6 +93,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
     "op2_token_counts": op2_token_counts,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_mixing": op4_mixing,
