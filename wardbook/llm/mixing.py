@@ -37,7 +37,7 @@ def rake(cells: DataFrame, sides: list[str], rounds: int, folder: str, *, per_ta
     for n in range(rounds):
         for side in sides:
             held = F.sum("weight").over(Window.partitionBy(side))
-            now = now.withColumn("weight", F.when(held > 0, F.col("weight") * F.col(f"{side}_share") / held).otherwise(F.lit(0.0)))
+            now = now.withColumn("weight", F.coalesce(F.try_divide(F.col("weight") * F.col(f"{side}_share"), held), F.lit(0.0)))
         if n % per_table == per_table - 1 or n == rounds - 1:
             now = stored(now, f"{folder}/raked-{n}")
     return now
@@ -54,7 +54,7 @@ def calibrated(cells: DataFrame, budget_share: float) -> DataFrame:
     if not total.t or not total.w:
         return cells.withColumn("probability", F.lit(1.0))
     budget, scale, whole = budget_share * total.t, budget_share * total.t / total.w, -1
-    rate = F.col("weight") / F.col("tokens")
+    rate = F.try_divide("weight", F.col("tokens").cast("double"))
     while True:
         full = F.col("tokens") > 0, rate * scale >= 1
         row = cells.agg(
@@ -66,7 +66,7 @@ def calibrated(cells: DataFrame, budget_share: float) -> DataFrame:
             break
         whole, scale = row.n, (budget - (row.t or 0)) / row.w
     return cells.withColumn(
-        "probability", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") / F.col("tokens") * scale)).otherwise(1.0)
+        "probability", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), rate * scale)).otherwise(1.0)
     )
 
 
