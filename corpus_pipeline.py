@@ -1,19 +1,67 @@
-"""A corpus prepared for training: filter, deduplicate, mix, pack."""
+"""A corpus prepared for training: filter, deduplicate, mix, pack.
+
+Every stage takes documents and, but for the last, returns documents with all their
+columns; the last returns the pieces that ``wardbook.llm.packing.pack`` describes.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardbook.llm.common import read, run_folder, stored
 from wardbook.llm.line_dedup import remove_repeated_lines
+from wardbook.llm.mixing import mix
+from wardbook.llm.packing import Encoder, pack
+from wardbook.llm.quality_rules import keep_good
+from wardbook.llm.simhash import near_duplicates
+
+MIX_SHARE = 0.8  # of the tokens that reach the mixing stage
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the rules, or that the forest calibrated on ``labels`` rejects, go."""
+    return keep_good(docs, read(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return remove_repeated_lines(docs).select(*docs.columns)
+    """Later occurrences of three lines in a row go from the texts; ``n_chars`` follows."""
+    clean = remove_repeated_lines(docs).select(*docs.columns)
+    return clean.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else clean
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays.
+
+    Rows with null id stay unless their group has an id.
+    """
+    groups = near_duplicates(docs).select(F.col("doc_id").alias("_id"), "component_id")
+    stays = groups.filter(F.col("_id").eqNullSafe(F.col("component_id"))).select("_id").distinct()
+    # As many documents stay as there are groups: shuffled at every size, never broadcast.
+    return docs.join(stays.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled so that sources, languages and topics approach their target weights."""
+    return mix(docs.select("*", F.col("source").alias("_source"), F.col("lang").alias("_lang")), budget_share=MIX_SHARE).filter(
+        "sampled"
+    ).select(*[F.col(f"_{c}" if c in ("source", "lang") else c).alias(c) for c in docs.columns])
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens in sequences of 4096."""
+    return pack(docs, Encoder(public_tokenizers.path("word_bpe_49k.json"), by_word=True))
 
 
-STAGES = [("line_dedup", line_dedup)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
+# Fingerprints, forests and token ids cannot be written in SQL; tests compare with plain code.
 ORACLE_SQL = None
 
 
