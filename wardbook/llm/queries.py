@@ -15,6 +15,7 @@ from wardbook.llm.mixing import mix, mixing_sql
 from wardbook.llm.packing import Encoder, pack
 from wardbook.llm.quality_rules import quality_rules
 from wardbook.llm.simhash import near_duplicates
+from wardbook.llm.substring_dedup import remove_repeats
 from wardbook.llm.token_counts import Tokenizer, count_tokens
 from wardbook.llm.warc import archive_captures
 
@@ -46,6 +47,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), encoder)
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return identify(docs, learn(docs))
@@ -98,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_language_id": op7_language_id,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
