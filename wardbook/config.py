@@ -29,35 +29,67 @@ class Site:
     require_any: tuple[str, ...] = ()
 
 
-# Site identities, spellings and the per-site table suffixes.
-_SITE_ROWS = (
-    (130, "解放军总医院海南医院", "301海南医院", "301", ("spt_traintype_id", "spt_major_id")),
-    (110, "海南医学院第一附属医院", "海南医学院第一附属医院", "first_affiliated", ()),
-    (111, "三亚中心医院（海南省第三人民医院）", "三亚中心医院（海南省第三人民医院）", "sanya_central", ()),
+# Fixed public names: sites, their spelling in rotations, and their source tables.
+_SITES = (
+    Site(
+        130,
+        "解放军总医院海南医院",
+        "301海南医院",
+        MappingProxyType(
+            {
+                "sheet": "ods_hainan_teaching_activity_spt_train_sheet_data_301",
+                "person": "ods_hainan_teaching_activity_spt_train_person_data_301",
+                "file": "ods_hainan_teaching_activity_spt_train_file_info_301",
+                "student": "ods_hainan_basic_spt_student_item_301",
+                "teacher": "ods_hainan_teacher_performance_spt_teacher_item_301",
+            }
+        ),
+        ("spt_traintype_id", "spt_major_id"),
+    ),
+    Site(
+        110,
+        "海南医学院第一附属医院",
+        "海南医学院第一附属医院",
+        MappingProxyType(
+            {
+                "sheet": "ods_hainan_teaching_activity_spt_train_sheet_data_first_affiliated",
+                "person": "ods_hainan_teaching_activity_spt_train_person_data_first_affiliated",
+                "file": "ods_hainan_teaching_activity_spt_train_file_info_first_affiliated",
+                "student": "ods_hainan_basic_spt_student_item_first_affiliated",
+                "teacher": "ods_hainan_teacher_performance_spt_teacher_item_first_affiliated",
+            }
+        ),
+        (),
+    ),
+    Site(
+        111,
+        "三亚中心医院（海南省第三人民医院）",
+        "三亚中心医院（海南省第三人民医院）",
+        MappingProxyType(
+            {
+                "sheet": "ods_hainan_teaching_activity_spt_train_sheet_data_sanya_central",
+                "person": "ods_hainan_teaching_activity_spt_train_person_data_sanya_central",
+                "file": "ods_hainan_teaching_activity_spt_train_file_info_sanya_central",
+                "student": "ods_hainan_basic_spt_student_item_sanya_central",
+                "teacher": "ods_hainan_teacher_performance_spt_teacher_item_sanya_central",
+            }
+        ),
+        (),
+    ),
 )
 
-# Source table stems per entity.
-_STEMS = {
-    "sheet": "ods_hainan_teaching_activity_spt_train_sheet_data",
-    "person": "ods_hainan_teaching_activity_spt_train_person_data",
-    "file": "ods_hainan_teaching_activity_spt_train_file_info",
-    "student": "ods_hainan_basic_spt_student_item",
-    "teacher": "ods_hainan_teacher_performance_spt_teacher_item",
-}
-
 
 def default_sites() -> tuple[Site, ...]:
-    return tuple(
-        Site(sid, name, alias, MappingProxyType({e: f"{stem}_{suffix}" for e, stem in _STEMS.items()}), need)
-        for sid, name, alias, suffix, need in _SITE_ROWS
-    )
+    return _SITES
 
 
 @dataclass(frozen=True)
 class WarehouseConfig:
     sites: tuple[Site, ...] = field(default_factory=default_sites)
     cutoff_year: int = 2019
-    max_months: int = 12
+    # Months that may follow a rotation's first one in the wide table; None keeps them all,
+    # 12 is the window of thirteen months that older reports were cut to.
+    max_months: int | None = None
 
     # Roles, sentinels and the activity kinds that have their own indicators.
     student_role: str = "学员"
@@ -82,9 +114,6 @@ class WarehouseConfig:
     # Shared folder for published tables; None leaves it to the catalog.
     location: str | None = None
 
-    # A side is hinted for broadcast only after a probe shows it holds at most this many rows.
-    broadcast_rows: int = 50_000
-
     @property
     def cutoff_month(self) -> str:
         return f"{self.cutoff_year:04d}-01"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
@@ -33,20 +34,38 @@ def publish(
 ) -> str:
     """Replace the table by this result; returns its qualified name.
 
+    The result is written in full under a name of its own and then takes the table's
+    place, so a job that fails, or reads the table it replaces, leaves the old one whole.
     Order within the files follows ``order_by``; a table has no order of its own, so
     readers that need it sort again. With ``location`` (a shared folder) the files live
-    below it instead of in the catalog's own folder.
+    below it instead of in the catalog's own folder, each version in a folder of its own;
+    the version that was replaced is removed.
     """
     spark = df.sparkSession
     ensure_database(spark, db)
     out = conform(df, spec.schema)
     if order_by:
         out = out.orderBy(*order_by)
-    name = f"`{db}`.`{spec.name}`"
+    name, fresh = f"`{db}`.`{spec.name}`", f"`{db}`.`{spec.name}__new`"
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
     writer = out.write.mode("overwrite").format(format)
     if location:
-        writer = writer.option("path", f"{location.rstrip('/')}/{db}/{spec.name}")
-    writer.saveAsTable(name)
+        writer = writer.option("path", f"{location.rstrip('/')}/{db}/{spec.name}/{uuid4().hex}")
+    writer.saveAsTable(fresh)
     comment = spec.comment.replace("'", "\\'")
-    spark.sql(f"COMMENT ON TABLE {name} IS '{comment}'")
+    spark.sql(f"COMMENT ON TABLE {fresh} IS '{comment}'")
+    replaced = _external_folder(spark, name) if location else None
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    if replaced and replaced.rpartition("/")[0].endswith(f"/{db}/{spec.name}"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(replaced)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return name
+
+
+def _external_folder(spark: SparkSession, name: str) -> str | None:
+    """Where an external table's files are; None for a managed or missing one."""
+    if not spark.catalog.tableExists(name):
+        return None
+    said = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    return said.get("Location") if said.get("Type") == "EXTERNAL" else None
