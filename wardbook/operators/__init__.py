@@ -12,9 +12,8 @@ from wardbook.operators.counts import (
     same_vs_other,
     standard_counts,
 )
-from wardbook.operators.intervals import fill_id, month_bucket_join, month_walk
+from wardbook.operators.intervals import fill_id, month_bucket_join, month_walk, rejected_intervals
 from wardbook.operators.joins import (
-    bounded,
     dedupe_keys,
     dedupe_rows,
     join_keeping_left,
@@ -30,7 +29,6 @@ from wardbook.operators.sites import federate, select_as, tag_site
 __all__ = [
     "abnormal_headcount",
     "attach",
-    "bounded",
     "class_counts",
     "classify_names",
     "conditional_specialties",
@@ -49,6 +47,7 @@ __all__ = [
     "population_events",
     "presence_matrix",
     "rank_rate",
+    "rejected_intervals",
     "registry_participants",
     "rollup_ratios",
     "same_vs_other",

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardbook.config import WarehouseConfig
 from wardbook.functions import differs_any, is_kind, meets, month_of, percent_text, same_all
-from wardbook.operators.joins import Keys, lookup_join
+from wardbook.operators.joins import Keys, lookup_join, present
 
 
 def distinct_per(df: DataFrame, keys: Sequence[str], id_col: str, alias: str) -> DataFrame:
@@ -88,7 +88,7 @@ def presence_matrix(
     def tagged(df: DataFrame, tag: str) -> DataFrame:
         rows = df.select(*keys)
         if tag != "_pop":
-            rows = rows.dropna(subset=list(keys))
+            rows = rows.filter(present(keys))
         return rows.select(*keys, *[F.lit(tag == t).alias(t) for t in ("_pop", "_a", "_b")])
 
     stacked = tagged(population, "_pop").unionByName(tagged(first, "_a")).unionByName(tagged(second, "_b"))
@@ -114,7 +114,6 @@ def standard_counts(
     id_col: str,
     time_col: str,
     standard_col: str,
-    max_rows: int,
 ) -> DataFrame:
     """Distinct activities per group and month against the standard for that group.
 
@@ -124,7 +123,7 @@ def standard_counts(
         *[F.col(c).alias(name) for name, c in keys.items()], month_of(time_col).alias("month"), F.col(id_col).alias("_id")
     )
     counts = distinct_per(counted, [*keys, "month"], "_id", "activity_count")
-    return lookup_join(counts, standards, on, [standard_col], max_rows=max_rows).withColumn(
+    return lookup_join(counts, standards, on, [standard_col]).withColumn(
         "is_standard", meets("activity_count", standard_col)
     )
 

@@ -25,15 +25,6 @@ def dedupe_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).distinct()
 
 
-def bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint ``df`` for broadcast if, and only if, a probe shows at most ``max_rows`` rows.
-
-    The probe stops after ``max_rows + 1`` rows. A larger side comes back without the
-    hint and takes the shuffled path.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def _right_side(right: DataFrame, on: Keys, keep: Sequence[str]) -> tuple[DataFrame, Column]:
     """Right side with private key names, so that no column name is ever ambiguous."""
     keys = [F.col(r).alias(f"_k{i}") for i, (_, r) in enumerate(on)]
@@ -45,10 +36,14 @@ def _key_names(on: Keys) -> list[str]:
     return [f"_k{i}" for i in range(len(on))]
 
 
-def lookup_join(df: DataFrame, dictionary: DataFrame, on: Keys, keep: Sequence[str], *, max_rows: int) -> DataFrame:
-    """Left join to a small dictionary; broadcast once its size is known to be small."""
+def lookup_join(df: DataFrame, dictionary: DataFrame, on: Keys, keep: Sequence[str]) -> DataFrame:
+    """Left join to a dictionary; whether it is small enough to broadcast is for its bytes to say.
+
+    Stored and literal dictionaries have known sizes before the query runs, others are
+    measured when their shuffle is written.
+    """
     side, cond = _right_side(dictionary, on, keep)
-    return df.join(bounded(side, max_rows), cond, "left").drop(*_key_names(on))
+    return df.join(side, cond, "left").drop(*_key_names(on))
 
 
 def left_join(left: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str]) -> DataFrame:
@@ -83,24 +78,26 @@ def _matches() -> Column:
     return reduce(and_, [F.col(a) == F.col(b) for a, b in _MATCH])
 
 
+def present(cols: Sequence[str]) -> Column:
+    """No NULL key, in the form that reaches the reader."""
+    return reduce(and_, [F.col(c).isNotNull() for c in cols])
+
+
 def _distinct_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Distinct non-NULL keys in the form ``_as_key`` gives the right side.
 
     That form is made after the grouping, so a shuffled join on it has a shuffle of its
     own on this side, which is what lets the run time split a hot key on the other side.
     """
-    return df.select(*cols).dropna().distinct().select(*_as_key(cols, "right"))
+    return df.filter(present(cols)).select(*cols).distinct().select(*_as_key(cols, "right"))
 
 
-def join_keeping_left(
-    left: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str], *, small_left: int | None = None
-) -> DataFrame:
+def join_keeping_left(left: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str]) -> DataFrame:
     """Left outer join whose hot keys can be split on either side.
 
-    Matches come from an inner join, where both sides may be split (or, with
-    ``small_left``, where a left side proven to hold at most that many rows is
-    broadcast, so the large right side is not shuffled at all). Left rows without a
-    partner are found against the distinct right keys, which shrink before the shuffle.
+    Matches come from an inner join, where both sides may be split, or either broadcast if
+    its bytes allow. Left rows without a partner are found against the distinct right
+    keys, which shrink before the shuffle.
 
     Keys are compared as one struct whose NULLs were removed on the right, so NULL keys
     find no partner. Unlike single columns a struct adds no filter to the left side, and
@@ -108,8 +105,7 @@ def join_keeping_left(
     """
     _check_types(left, right, on)
     keyed = left.select("*", *_as_key([name for name, _ in on], "left"))
-    probe = keyed if small_left is None else bounded(keyed, small_left)
-    found = _found(probe, right, on, keep).select(*left.columns, *keep)
+    found = _found(keyed, right, on, keep).select(*left.columns, *keep)
     return found.union(_alone(keyed, right, on).select(*left.columns, *_nulls(right, keep)))
 
 
@@ -117,7 +113,7 @@ def _found(keyed: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str]) ->
     """Matches of a left side that already carries its key."""
     keys = [r for _, r in on]
     values = [F.col(c).alias(f"_v{i}") for i, c in enumerate(keep)]
-    side = right.dropna(subset=keys).select(*_as_key(keys, "right"), *values)
+    side = right.filter(present(keys)).select(*_as_key(keys, "right"), *values)
     renamed = [F.col(f"_v{i}").alias(c) for i, c in enumerate(keep)]
     return keyed.join(side, _matches(), "inner").select(*keyed.columns, *renamed)
 
@@ -178,7 +174,8 @@ def participation_log(
     keyed = people.select("*", *_as_key([name for name, _ in on], "left"))
     taken = _found(keyed, takes, on, list(extra)).select(*people.columns, *extra)
     chain = [(f"_p{i}", r) for i, (_, r) in enumerate(activity_on)]
-    log = join_keeping_left(taken, activities, chain, activity_cols).drop(*link)
+    # Activities are nearly unique by id: only the participations can be hot, and a left join splits those.
+    log = left_join(taken, activities, chain, activity_cols).drop(*link)
     if all_present:
         return log
     # Nobody without a participation needs to be looked up among the activities.
@@ -186,12 +183,11 @@ def participation_log(
     return log.union(_alone(keyed, takes, on).select(*people.columns, *missing))
 
 
-def population_events(
-    population: DataFrame, events: DataFrame, on: Keys, keep: Sequence[str], *, max_rows: int
-) -> DataFrame:
+def population_events(population: DataFrame, events: DataFrame, on: Keys, keep: Sequence[str]) -> DataFrame:
     """Each population group with its events, or alone with NULLs.
 
     There are few groups and many events, and groups are as hot as can be (a site-year
-    holds all its events), so the groups travel to the events, not the reverse.
+    holds all its events). Where the measured groups are small enough they travel to the
+    events, otherwise hot groups are split.
     """
-    return join_keeping_left(population, events, on, keep, small_left=max_rows)
+    return join_keeping_left(population, events, on, keep)

@@ -88,7 +88,6 @@ def activities(cfg: WarehouseConfig, source, standards: DataFrame) -> DataFrame:
         majors,
         [("activity_office_name", "major_name")],
         ["major_id", "major_name"],
-        max_rows=cfg.broadcast_rows,
     )
     filled = known.withColumns(
         {
@@ -249,7 +248,6 @@ def hospital_inductions(cfg: WarehouseConfig, admissions: DataFrame, acts: DataF
         _inductions(cfg, acts, cfg.hospital_induction),
         _ADMISSION_ON,
         _ACTIVITY_FACTS + _ACTIVITY_SIZES,
-        max_rows=cfg.broadcast_rows,
     )
 
 
@@ -260,7 +258,6 @@ def specialty_inductions(cfg: WarehouseConfig, admissions: DataFrame, acts: Data
         _inductions(cfg, acts, cfg.specialty_induction),
         _ADMISSION_ON + _ADMISSION_MAJOR_ON,
         facts + _ACTIVITY_SIZES,
-        max_rows=cfg.broadcast_rows,
     )
 
 

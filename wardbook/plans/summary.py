@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, functions as F
 
 from wardbook.config import WarehouseConfig
@@ -77,10 +80,21 @@ def counts_against_standards(cfg: WarehouseConfig, acts: DataFrame, standards: D
         id_col="activity_id",
         time_col="activity_start_time",
         standard_col="standard_count",
-        max_rows=cfg.broadcast_rows,
     )
 
 
+def unmatched_standards(acts: DataFrame, standards: DataFrame) -> DataFrame:
+    """Standards that no activity was ever recorded under, such as types without an id.
+
+    They can never be met or missed, so they belong in a report of their own.
+    """
+    named = ("major_id", "major_name", "activity_type_id", "activity_type_name")
+    seen = acts.select(
+        *[F.col(c).alias(f"_{i}") for i, c in enumerate(("activity_major_id", "activity_major_name", *named[2:]))]
+    ).distinct()
+    return standards.join(seen, reduce(and_, [F.col(c) == F.col(f"_{i}") for i, c in enumerate(named)]), "left_anti")
+
+
 def hospital_coverage(detail: DataFrame) -> DataFrame:
     return coverage(
         detail.withColumnRenamed("admission_year", "year"),

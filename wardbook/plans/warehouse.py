@@ -41,14 +41,23 @@ class Warehouse:
     spark: SparkSession
     cfg: WarehouseConfig
     source: object
+    # Whether jobs that an earlier run published are read from the catalog instead of composed.
+    from_catalog: bool = True
     # Lazily composed jobs, and the names of those that have been stored.
     tables: dict[str, DataFrame] = field(default_factory=dict)
     stored: dict[str, str] = field(default_factory=dict)
 
     def table(self, key: str) -> DataFrame:
-        """A stored job as its table, any other composed from its inputs (once)."""
+        """A stored job as its table, any other composed from its inputs (once).
+
+        Stored is what this object published or, with ``from_catalog``, what the catalog
+        has: layers can be run by themselves, and a failed run goes on where it ended.
+        """
         if key not in self.tables:
             job = JOBS[key]
+            name = f"`{self.cfg.db(job.spec.layer)}`.`{job.spec.name}`"
+            if key not in self.stored and self.from_catalog and self.spark.catalog.tableExists(name):
+                self.stored[key] = name
             self.tables[key] = (
                 self.spark.table(self.stored[key])
                 if key in self.stored
