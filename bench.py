@@ -75,7 +75,7 @@ def median_of(build, runs: int = RUNS) -> float:
 
 
 def store_all(spark, folder: str) -> dict[str, float]:
-    warehouse = adapter.warehouse(spark, SF_DIR, replace(adapter.CFG, location=folder))
+    warehouse = adapter.warehouse(spark, SF_DIR, f"{folder}/inputs", replace(adapter.CFG, location=folder))
     times = {}
     for key in JOBS:
         start = time.perf_counter()

@@ -3,6 +3,7 @@
 import inspect
 import re
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 import domain
 from wardbook.config import WarehouseConfig
 from wardbook.plans import JOBS, Warehouse, warehouse as warehouse_module
-from wardbook.sources import INPUTS, OUTPUTS, CatalogSource, FrameSource, conform, standards_dictionary
+from wardbook.sources import INPUTS, OUTPUTS, CatalogSource, FrameSource, conform, publish, standards_dictionary
 from wardbook.sources.schemas import schema
 
 CFG = WarehouseConfig()
@@ -132,7 +133,7 @@ def test_t11_rotation_months(published):
     assert {m[2] for m in months if m[0] == "张一" and m[1] == 1} == {"2019-03", "2019-04"}
     assert {m[2] for m in months if m[0] == "张一" and m[1] == 3} == {"2019-01"}
     assert {m[2] for m in months if m[0] == "只轮转"} == {"2019-01", "2019-02"}
-    assert len([m for m in months if m[0] == "陈外"]) == 13
+    assert len([m for m in months if m[0] == "陈外"]) == 25
     assert {m[3] for m in months if m[0] == "路人"} == {-1}
     # Namesakes: each of two ids meets each of two logs.
     twins = t.filter("rotation_student_name = '李同名'")
@@ -219,7 +220,7 @@ def test_t18_t19_t28_rotation_counts(published):
     assert heads[(130, "2019-01")] == (2, 2, 2)
     report = published("t28")
     assert picked(report, "rotation_month", "student_name").keys().isdisjoint({("2019-03", "张一"), ("2019-04", "张一")})
-    assert report.filter("student_name = '陈外'").count() == 12
+    assert report.filter("student_name = '陈外'").count() == 24
     assert report.schema["rotation_start_time"].dataType.simpleString() == "string"
 
 
@@ -283,8 +284,8 @@ def _frames(spark):
 @pytest.mark.parametrize("key", ["t12", "t13", "t18", "t17"])
 def test_composed_and_staged_equal_published(spark, published, tmp_path, key):
     want = Counter(map(tuple, published(key).collect()))
-    composed = Warehouse(spark, CFG, _frames(spark)).table(key)
-    staged = Warehouse(spark, CFG, _frames(spark)).staged(key, str(tmp_path))
+    composed = Warehouse(spark, CFG, _frames(spark), from_catalog=False).table(key)
+    staged = Warehouse(spark, CFG, _frames(spark), from_catalog=False).staged(key, str(tmp_path))
     assert Counter(map(tuple, composed.collect())) == want
     assert Counter(map(tuple, staged.collect())) == want
 
@@ -302,12 +303,41 @@ def test_no_frame_widens_silently(spark):
     frames = _frames(spark)
     broken = FrameSource(CFG, {**frames.site_frames, "file": {s.id: bad for s in CFG.sites}}, None, None, None)
     with pytest.raises(ValueError, match="url"):
-        Warehouse(spark, CFG, broken).table("t04")
+        Warehouse(spark, CFG, broken, from_catalog=False).table("t04")
 
 
 def test_conform_orders_casts_and_rejects_what_does_not_fit(spark):
     df = spark.range(1).select(F.lit(5).alias("b"), F.lit(2019).alias("a"), F.lit(1).alias("extra"))
-    got = conform(df, schema("a:s b:i"))
+    got = conform(df, schema("a string, b int"))
     assert got.columns == ["a", "b"] and tuple(got.first()) == ("2019", 5)
     with pytest.raises(Exception, match="(?i)overflow|CAST"):
-        conform(spark.range(1).select(F.lit(2**40).alias("b")), schema("b:i")).collect()
+        conform(spark.range(1).select(F.lit(2**40).alias("b")), schema("b int")).collect()
+
+
+def test_a_layer_reads_the_tables_that_are_stored(spark, published, tmp_path):
+    published("t13")
+    again = Warehouse(spark, CFG, FrameSource(CFG, {}, None, None, None))  # nothing but the catalog to read
+    assert set(again.publish(["t22"])) >= {"t22"}
+    plan = again.table("t22")._jdf.queryExecution().optimizedPlan().toString()
+    assert OUTPUTS["t22"].name in plan
+    built = JOBS["t22"].build(again)._jdf.queryExecution().optimizedPlan().toString()
+    assert OUTPUTS["t13"].name in built and OUTPUTS["t06"].name not in built
+
+
+def test_a_failed_job_leaves_the_old_table(spark, tmp_path):
+    spec = replace(OUTPUTS["t13"], name="kept_when_failing", schema=schema("a int"))
+    for location in (None, str(tmp_path)):
+        db = "wardbook_keep" + ("_external" if location else "")
+        for n in (1, 2):
+            name = publish(spark.range(n).select(F.col("id").cast("int").alias("a")), spec, db, location=location)
+        with pytest.raises(Exception, match="(?i)overflow"):
+            publish(spark.range(3).select((F.col("id") + 2**40).alias("a")), spec, db, location=location)
+        assert spark.table(name).count() == 2
+    versions = [p for p in (tmp_path / "wardbook_keep_external" / spec.name).iterdir()]
+    assert len([p for p in versions if list(p.glob("_SUCCESS"))]) == 1
+
+
+def test_coded_columns_say_what_their_codes_mean(spark, published):
+    db, name = CFG.db("dwd"), OUTPUTS["t12"].name
+    text = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE TABLE `{db}`.`{name}`").collect()}
+    assert all(f"{code} =" in text["name_abnormal_type"] for code in (0, 1, 2))

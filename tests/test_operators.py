@@ -13,7 +13,6 @@ from wardbook.config import Site, WarehouseConfig
 from wardbook.functions import valid_key
 from wardbook.operators import (
     abnormal_headcount,
-    bounded,
     class_counts,
     classify_names,
     conditional_specialties,
@@ -28,6 +27,7 @@ from wardbook.operators import (
     presence_matrix,
     rank_rate,
     registry_participants,
+    rejected_intervals,
     rollup_ratios,
     same_vs_other,
 )
@@ -74,8 +74,7 @@ def _random_sides(seed):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("small_left", [None, 1000, 10])
-def test_join_keeping_left_equals_a_left_join(spark, seed, small_left):
+def test_join_keeping_left_equals_a_left_join(spark, seed):
     left, right = _random_sides(seed)
     want = Counter()
     for i, k, n in left:
@@ -86,7 +85,6 @@ def test_join_keeping_left_equals_a_left_join(spark, seed, small_left):
         spark.createDataFrame(right, "rk int, rn string, x int, y string"),
         [("k", "rk"), ("n", "rn")],
         ["x", "y"],
-        small_left=small_left,
     )
     assert got.columns == ["i", "k", "n", "x", "y"] and rows(got) == want
 
@@ -130,19 +128,12 @@ def test_hot_key_is_split_on_either_side(spark, conf, hot):
     assert "skew=true" in plan(got).replace("(skew=true)", "skew=true")
 
 
-def test_bounded_hints_only_small_sides(spark, conf):
-    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    df, side = spark.range(1000), spark.range(100).withColumnRenamed("id", "k")
-    hinted = df.join(bounded(side, 100), F.col("id") == F.col("k"))
-    refused = df.join(bounded(side, 99), F.col("id") == F.col("k"))
-    assert "BroadcastHashJoin" in plan(hinted) and "BroadcastHashJoin" not in plan(refused)
-
-
-@pytest.mark.parametrize("limit", [1, 100])
-def test_lookup_join_keeps_rows_without_entry(spark, limit):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_lookup_join_keeps_rows_without_entry(spark, conf, threshold):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
     df = spark.createDataFrame([(1, "a"), (2, "z"), (3, None)], "i int, n string")
     names = spark.createDataFrame([("a", 10), ("b", 20)], "name string, code int")
-    got = lookup_join(df, names, [("n", "name")], ["code"], max_rows=limit)
+    got = lookup_join(df, names, [("n", "name")], ["code"])
     assert rows(got) == Counter({(1, "a", 10): 1, (2, "z", None): 1, (3, None, None): 1})
 
 
@@ -195,12 +186,12 @@ def test_fill_id_fans_out_on_namesakes(spark):
 # ---- month walk --------------------------------------------------------------
 
 
-def _months_by_stepping(start, end, cap=12):
+def _months_by_stepping(start, end):
     """First month, then one more per whole month that fits, judged day by day."""
     if start is None or end is None or start > end:
         return []
     out, n = [], 0
-    while n <= cap:
+    while True:
         y, m = divmod(start.month - 1 + n, 12)
         year, month = start.year + y, m + 1
         if n:
@@ -239,7 +230,16 @@ def test_month_walk_cases(spark):
         got.setdefault(r.i, []).append(r.month)
     for i, want in enumerate(CASES.values()):
         assert sorted(got.get(i, [])) == want
-    assert len(got[99]) == 13 and max(got[99]) == "2020-01"
+    assert len(got[99]) == 25 and max(got[99]) == "2021-01"
+
+
+def test_month_walk_window_and_rejected_intervals(spark):
+    day = lambda s: s and dt.datetime.fromisoformat(s)
+    spans = [(1, day("2019-01-01"), day("2021-01-01")), (2, day("2019-05-01"), None), (3, day("2019-05-02"), day("2019-05-01")), (4, None, day("2019-05-01"))]
+    df = spark.createDataFrame(spans, "i int, a timestamp_ntz, b timestamp_ntz")
+    months = [r.month for r in month_walk(df, "a", "b", max_months=12).collect()]
+    assert len(months) == 13 and max(months) == "2020-01"
+    assert {r.i for r in rejected_intervals(df, "a", "b").collect()} == {2, 3, 4}
 
 
 def test_month_walk_equals_stepping_through_the_calendar(spark):

@@ -9,9 +9,11 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
+from wardbook import queries as registered
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+# The corpus queries have tests of their own.
+QUERIES, ORACLE = registered.queries(), registered.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -47,5 +49,20 @@ def test_query_equals_sql(spark, duck, name):
     assert len(want) > 0 and cells(got) == cells(want)
 
 
+@pytest.mark.parametrize("name", ["t06_student_log", "t08_teacher_log", "t11_rotation_detail", "t12_name_abnormal", "t14_counts_vs_standard"])
+def test_plans_without_broadcasts(spark, conf, name):
+    """Sides too large to broadcast are joined by their keys, and titles are grouped by hash."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("Cartesian", "NestedLoop", "BroadcastHashJoin", "SinglePartition", "SortAggregate"):
+        assert unwanted not in plan
+    assert "SortMergeJoin" in plan
+
+
+def test_registered_queries_are_all_in_the_contract():
+    assert QUERIES.keys() <= contract.queries().keys() and ORACLE.keys() <= contract.oracle_sql().keys()
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0

@@ -11,13 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import replace
 from functools import cache
-from tempfile import mkdtemp
-from uuid import uuid4
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardbook.config import Kind, Site, WarehouseConfig
 from wardbook.plans import Warehouse
+from wardbook.sources.inputs import checked
 
 Tables = Callable[[str], DataFrame]
 
@@ -55,10 +55,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def run_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one; below a local one only where none is named."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{base}/wardbook-{uuid4().hex}" if base else mkdtemp(prefix="wardbook-")
+def run_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The application's folder for intermediate tables of one query over one set of inputs.
+
+    Below ``spark.checkpoint.dir``, or where that is unset below the warehouse folder,
+    which is shared wherever the catalog is. A repeated query writes the same folder again,
+    so folders do not pile up.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/wardbook/{spark.sparkContext.applicationId}/{name}-{crc32(sf_dir.encode()):08x}"
 
 
 def _pick(site_no: Column, values: list) -> Column:
@@ -253,16 +258,28 @@ _ENTITIES = {"sheet": sheets, "person": persons, "file": files, "student": stude
 
 
 class DriverSource:
-    """Inputs made from the driver's tables, each only when a job asks for it."""
+    """Inputs made from the driver's tables, each only when a job asks for it.
+
+    What is shaped by joins is written once below ``folder``, by site, so that sites read
+    their own rows instead of repeating the joins.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, cfg: WarehouseConfig = CFG):
+    def __init__(self, spark: SparkSession, sf_dir: str, folder: str, cfg: WarehouseConfig = CFG):
         self.cfg = cfg
         self.tables: Tables = cache(lambda name: read(spark, sf_dir, name))
+        self.shaped = cache(lambda entity: self._stored(_ENTITIES[entity](self.tables), f"{folder}/in-{entity}"))
+
+    def _stored(self, rows: DataFrame, path: str) -> DataFrame:
+        if "site_no" in rows.columns:
+            rows.write.mode("overwrite").partitionBy("site_no").parquet(path)
+        else:
+            rows.write.mode("overwrite").parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
     def sites(self, entity: str) -> Iterator[tuple[Site, DataFrame]]:
-        rows = _ENTITIES[entity](self.tables)
+        rows = self.shaped(entity)
         for no, site in enumerate(self.cfg.sites):
-            yield site, rows.filter(F.col("site_no") == no) if "site_no" in rows.columns else rows
+            yield site, checked(rows.filter(F.col("site_no") == no) if "site_no" in rows.columns else rows, entity)
 
     def admissions(self) -> DataFrame:
         return admissions(self.tables)
@@ -274,5 +291,6 @@ class DriverSource:
         return standards(self.tables)
 
 
-def warehouse(spark: SparkSession, sf_dir: str, cfg: WarehouseConfig = CFG) -> Warehouse:
-    return Warehouse(spark, cfg, DriverSource(spark, sf_dir, cfg))
+def warehouse(spark: SparkSession, sf_dir: str, folder: str, cfg: WarehouseConfig = CFG) -> Warehouse:
+    """A warehouse over the driver's tables; tables that other runs published are not its own."""
+    return Warehouse(spark, cfg, DriverSource(spark, sf_dir, folder, cfg), from_catalog=False)

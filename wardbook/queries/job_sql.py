@@ -235,18 +235,20 @@ SELECT r.hid AS rotation_hospital_id, r.hname AS rotation_hospital_name, r.major
   r.office_major_name AS rotation_teacher_major_name, r.score AS rotation_finish_skill_score, {_ACT},
   {month('a.activity_start_time')} AS activity_month, a.activity_is_signed, a.activity_evaluation_score_rate
 FROM (SELECT i.*, strftime(CAST(date_trunc('month', t0) AS DATE) + to_months(CAST(n AS INT)), '%Y-%m') AS m
-      FROM in_round_site i, range({CFG.max_months + 1}) AS g(n)
-      WHERE t0 <= t1 AND n <= {whole_months('t0', 't1')}) r
+      FROM in_round_site i, unnest(range({whole_months('t0', 't1')} + 1)) AS g(n)
+      WHERE t0 <= t1) r
 LEFT JOIN t06 a ON {_COHORT.format(s='a', r='r')} AND {month('a.activity_start_time')} = r.m
 LEFT JOIN t05 sd ON {_COHORT.format(s='sd', r='r')}""",
     "t12": f"""
 WITH rows AS (SELECT *, {month('activity_start_time')} AS activity_month FROM t02),
 groups AS (
   SELECT activity_hospital_id, activity_hospital_name, activity_major_id, activity_major_name, activity_month,
-    activity_name, activity_type_id, activity_type_name,
-    CASE WHEN activity_name = activity_type_name THEN 1 WHEN count(DISTINCT activity_id) >= 2 THEN 2 ELSE 0 END
-      AS name_abnormal_type, unnest(list(activity_id)) AS activity_id
-  FROM rows GROUP BY 1, 2, 3, 4, 5, 6, 7, 8)
+    activity_name, activity_type_id, activity_type_name, activity_id,
+    CASE WHEN activity_name = activity_type_name THEN 1 WHEN min(activity_id) OVER same <> max(activity_id) OVER same THEN 2
+      ELSE 0 END AS name_abnormal_type
+  FROM rows WHERE activity_id IS NOT NULL
+  WINDOW same AS (PARTITION BY activity_hospital_id, activity_hospital_name, activity_major_id, activity_major_name,
+    activity_month, activity_name, activity_type_id, activity_type_name))
 SELECT g.*, t.activity_office_name, t.teacher_id, t.teacher_name, t.activity_start_time
 FROM groups g LEFT JOIN t08 t
   ON t.teacher_hospital_id = g.activity_hospital_id AND t.teacher_hospital_name = g.activity_hospital_name
@@ -284,22 +286,21 @@ SELECT admission_hospital_id AS hospital_id, admission_hospital_name AS hospital
 FROM t10 GROUP BY 1, 2, 3""",
     "t17": f"""
 SELECT hid AS hospital_id, hname AS hospital_name, grade AS year, count(DISTINCT pname) AS total_admitted_student_count,
-  count(DISTINCT pname) FILTER (r IS NOT NULL) AS round_student_count,
-  count(DISTINCT pname) FILTER (r IS NULL) AS no_round_student_count,
-  count(DISTINCT pname) FILTER (a IS NOT NULL) AS activity_student_count,
-  count(DISTINCT pname) FILTER (a IS NULL) AS no_activity_student_count,
-  count(DISTINCT pname) FILTER (r IS NOT NULL AND a IS NULL) AS round_no_activity_student_count,
-  count(DISTINCT pname) FILTER (r IS NOT NULL AND a IS NOT NULL) AS round_activity_student_count,
-  count(DISTINCT pname) FILTER (r IS NULL AND a IS NULL) AS no_round_no_activity_student_count
+  count(DISTINCT pname) FILTER (rotates) AS round_student_count,
+  count(DISTINCT pname) FILTER (NOT rotates) AS no_round_student_count,
+  count(DISTINCT pname) FILTER (active) AS activity_student_count,
+  count(DISTINCT pname) FILTER (NOT active) AS no_activity_student_count,
+  count(DISTINCT pname) FILTER (rotates AND NOT active) AS round_no_activity_student_count,
+  count(DISTINCT pname) FILTER (rotates AND active) AS round_activity_student_count,
+  count(DISTINCT pname) FILTER (NOT rotates AND NOT active) AS no_round_no_activity_student_count
 FROM (
-  SELECT d.*, r.pname AS r, s.student_name AS a
-  FROM (SELECT DISTINCT {site_id('k')} AS hid, {site_name('k')} AS hname, n_nationkey AS major_id, n_name AS major_name,
-          grade, {_student('p_partkey')} AS pname FROM in_part) d
-  LEFT JOIN (SELECT DISTINCT hid, hname, major_id, major_name, grade, pname FROM in_round_site) r
-    USING (hid, hname, major_id, major_name, grade, pname)
-  LEFT JOIN (SELECT DISTINCT student_hospital_id, student_hospital_name, student_major_id, student_major_name, student_id,
-          student_name, student_admission_year FROM t06) s ON {_COHORT.format(s='s', r='d')}
-) WHERE grade >= {_CUT} GROUP BY 1, 2, 3""",
+  SELECT d.*,
+    EXISTS (SELECT 1 FROM in_round_site r WHERE r.hid = d.hid AND r.hname = d.hname AND r.major_id = d.major_id
+      AND r.major_name = d.major_name AND r.grade = d.grade AND r.pname = d.pname) AS rotates,
+    EXISTS (SELECT 1 FROM t06 s WHERE {_COHORT.format(s='s', r='d')}) AS active
+  FROM (SELECT {site_id('k')} AS hid, {site_name('k')} AS hname, n_nationkey AS major_id, n_name AS major_name,
+          grade, {_student('p_partkey')} AS pname FROM in_part WHERE grade >= {_CUT}) d
+) GROUP BY 1, 2, 3""",
     "t18": f"""
 SELECT rotation_hospital_id AS hospital_id, rotation_hospital_name AS hospital_name,
   rotation_student_major_id AS student_major_id, rotation_student_major_name AS student_major_name,

@@ -8,6 +8,7 @@ specialty, the order priority the activity type, and lineitems are participation
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -50,11 +51,11 @@ from wardbook.operators import (
 )
 from wardbook.operators.joins import left_join
 from wardbook.plans import detail, report, summary
-from wardbook.queries.adapter import CFG, Tables, run_folder, standards
-from wardbook.queries.job_sql import clean, half_up, month, ratio, whole_months, with_chain
-from wardbook.sources import TableSpec, conform, publish, standards_dictionary
+from wardbook.queries.adapter import CFG, Tables, admissions, persons, rotations, run_folder, standards
+from wardbook.queries.job_sql import clean, half_up, job_sql, month, ratio, whole_months, with_chain
+from wardbook.sources import OUTPUTS, CatalogSource, TableSpec, conform, publish, standards_dictionary
 from wardbook.sources.schemas import schema
-from wardbook.sources.standards import standard_rows
+from wardbook.sources.standards import STANDARDS
 
 Build = Callable[[Tables], DataFrame]
 ENTRIES: dict[str, tuple[Build, str]] = {}
@@ -180,7 +181,7 @@ def _literal(value) -> str:
     return "NULL" if value is None else f"'{value}'" if isinstance(value, str) else str(value)
 
 
-_DICT_SQL = ", ".join("(" + ", ".join(_literal(v) for v in row[:5]) + ")" for row in standard_rows())
+_DICT_SQL = ", ".join("(" + ", ".join(_literal(v) for v in row[:5]) + ")" for row in STANDARDS)
 
 
 @entry(
@@ -197,27 +198,126 @@ def _literal_dictionary(t):
         standards_dictionary(orders.sparkSession),
         [("m", "major_id"), ("k", "activity_type_id")],
         ["major_name", "activity_type_name", "standard_count"],
-        max_rows=CFG.broadcast_rows,
     ).withColumnsRenamed({"activity_type_name": "kind", "standard_count": "standard"})
     return named.groupBy("major_name", "kind", "standard").agg(
         F.count("*").alias("orders"), F.sum(F.coalesce("standard", F.lit(0))).alias("due")
     )
 
 
-_ROUNDTRIP = TableSpec("dwd", "roundtrip_customer", schema("c_custkey:l c_name:s c_nationkey:i"), "Published twice")
+# Fixed values, summed from the published dictionary's text: specialty, its name, rows, sum of
+# standards, sum of type id (1000 without one) times standard, characters in type names and remarks.
+_DICT_SUMS = """
+  (1, '内科', 12, 9, 70, 71),
+  (2, '外科', 12, 10, 169, 71),
+  (3, '妇产科', 12, 9, 70, 71),
+  (4, '儿科', 12, 10, 169, 71),
+  (5, '急诊科', 12, 9, 70, 71),
+  (6, '神经内科', 12, 9, 70, 71),
+  (7, '皮肤科', 12, 9, 70, 71),
+  (8, '眼科', 12, 9, 70, 71),
+  (9, '耳鼻咽喉科', 12, 9, 70, 71),
+  (10, '精神科', 12, 13, 466, 71),
+  (12, '康复医学科', 12, 9, 70, 71),
+  (13, '麻醉科', 12, 10, 1070, 71),
+  (15, '检验医学科', 12, 11, 2068, 71),
+  (16, '临床病理科', 12, 9, 68, 71),
+  (17, '口腔全科', 12, 8, 62, 71),
+  (22, '放射科', 12, 12, 93, 71),
+  (23, '超声医学科', 12, 7, 62, 71),
+  (24, '核医学科', 12, 10, 83, 143),
+  (25, '骨科', 12, 9, 70, 71),
+  (27, '放射肿瘤科', 12, 12, 1076, 71),
+  (28, '重症医学科', 12, 9, 70, 71),
+  (76, '口腔修复科', 12, 8, 62, 71),
+  (77, '口腔颌面外科', 12, 9, 159, 71),
+  (78, '口腔内科', 12, 8, 62, 71),
+  (79, '口腔正畸科', 12, 8, 62, 71),
+  (83, '口腔病理科', 12, 9, 159, 71),
+  (84, '口腔颌面影像科', 12, 9, 159, 71),
+  (91, '医学遗传科', 12, 9, 70, 71),
+  (11, '小儿外科', 12, 9, 70, 71),
+  (72, '外科(泌尿外科)', 12, 9, 70, 71),
+  (73, '外科(胸心外科)', 12, 9, 70, 71),
+  (74, '外科(神经外科)', 12, 9, 70, 71),
+  (80, '外科(整形外科)', 12, 9, 70, 71)"""
+
+
+@entry(
+    "dictionary_by_specialty",
+    f"""SELECT d.*, count(o_orderkey) AS orders FROM (VALUES {_DICT_SUMS}) AS d(major_id, major_name, n, due, weighed, letters)
+LEFT JOIN orders ON o_custkey % 92 = major_id GROUP BY ALL""",
+)
+def _dictionary_by_specialty(t):
+    """All rows of the dictionary, summed by specialty, with the orders that fall to each."""
+    due, kind = F.col("standard_count"), F.coalesce("activity_type_id", F.lit(1000))
+    letters = F.length("activity_type_name") + F.coalesce(F.length("remark"), F.lit(0))
+    summed = standards_dictionary(t("orders").sparkSession).groupBy("major_id", "major_name").agg(
+        F.count("*").alias("n"), F.sum(due).alias("due"), F.sum(kind * due).alias("weighed"), F.sum(letters).alias("letters")
+    )
+    placed = t("orders").groupBy((F.col("o_custkey") % 92).cast("int").alias("m")).agg(F.count("*").alias("orders"))
+    return left_join(summed, placed, [("major_id", "m")], ["orders"]).fillna(0, ["orders"])
+
+
+_ROUNDTRIP = TableSpec("dwd", "roundtrip_customer", schema("c_custkey bigint, c_name string, c_nationkey int"), "Published twice")
 
 
 @entry("publish_roundtrip", "SELECT c_custkey, c_name, c_nationkey FROM customer")
 def _publish_roundtrip(t):
     customer = t("customer")
     spark = customer.sparkSession
-    folder = run_folder(spark)
+    folder = run_folder(spark, "customer", "roundtrip")
     for _ in range(2):
         name = publish(customer, _ROUNDTRIP, "wardbook_roundtrip", location=folder)
     return spark.table(name)
 
 
-_CONFORMED = schema("order_year:s placed_at:s o_orderkey:s order_month:i")
+_SHELF = TableSpec("ads", "shelf_parts", schema("p_brand string, p_size int, p_partkey bigint"), "Parts, largest first")
+
+
+@entry("published_in_order", "SELECT p_brand, p_size, p_partkey FROM part")
+def _published_in_order(t):
+    part = t("part")
+    spark = part.sparkSession
+    order = [F.desc("p_size"), F.asc("p_partkey")]
+    return spark.table(publish(part, _SHELF, "wardbook_shelf", order_by=order, location=run_folder(spark, "part", "shelf")))
+
+
+def _catalog(t: Tables) -> CatalogSource:
+    """Participations of three sites, admissions and rotations as tables of the catalog."""
+    spark = t("lineitem").sparkSession
+    cfg = replace(CFG, databases={layer: f"wardbook_catalog_{layer}" for layer in ("ods", "dwd")})
+    for db in cfg.databases.values():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    taken = persons(t)
+    for no, site in enumerate(cfg.sites):
+        own = taken.filter(F.col("site_no") == no).drop("site_no")
+        own.write.mode("overwrite").saveAsTable(f"{cfg.db('ods')}.{site.tables['person']}")
+    admissions(t).write.mode("overwrite").saveAsTable(f"{cfg.db('dwd')}.{cfg.admissions_table}")
+    rotations(t).write.mode("overwrite").saveAsTable(f"{cfg.db('dwd')}.{cfg.rotations_table}")
+    return CatalogSource(spark, cfg)
+
+
+@entry("catalog_sites", job_sql("t03"))
+def _catalog_sites(t):
+    source = _catalog(t)
+    return conform(detail.participation(source.cfg, source), OUTPUTS["t03"].schema)
+
+
+@entry(
+    "catalog_shared_inputs",
+    """SELECT 'admissions' AS input, CAST(1995 + p_size % 6 AS INT) AS grade, count(*) AS n FROM part GROUP BY ALL
+UNION ALL SELECT 'rotations', CAST(1995 + p_size % 6 AS INT), count(*) FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""",
+)
+def _catalog_shared_inputs(t):
+    source = _catalog(t)
+
+    def counted(rows: DataFrame, name: str, year: str) -> DataFrame:
+        return rows.groupBy(F.lit(name).alias("input"), F.col(year).alias("grade")).agg(F.count("*").alias("n"))
+
+    return counted(source.admissions(), "admissions", "admission_year").unionByName(counted(source.rotations(), "rotations", "gradeyear"))
+
+
+_CONFORMED = schema("order_year string, placed_at string, o_orderkey string, order_month int")
 
 
 @entry(
@@ -292,7 +392,7 @@ def _dictionary_backfill(t):
         F.when(F.col("c_acctbal") < 5000, F.concat(F.lit("NATION_"), nation)).otherwise("none").alias("office"),
     )
     names = dedupe_keys(t("nation"), ["n_nationkey", "n_name"])
-    known = lookup_join(rows, names, [("office", "n_name")], ["n_nationkey", "n_name"], max_rows=CFG.broadcast_rows)
+    known = lookup_join(rows, names, [("office", "n_name")], ["n_nationkey", "n_name"])
     return known.select(
         "c_custkey",
         backfill("nation_id", "n_nationkey", -1).alias("nation_id"),
@@ -391,17 +491,17 @@ def _semi_by_role(t):
 
 @entry(
     "participation_log",
-    """SELECT p_partkey, p_name, l_quantity AS quantity, o_orderkey, o_orderdate
-FROM part LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity >= 49) ON p_partkey = l_partkey
-LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON l_orderkey = o_orderkey""",
+    """SELECT p_partkey, p_name, l_quantity AS quantity, placed AS o_orderkey, o_orderdate
+FROM part LEFT JOIN (SELECT *, CASE WHEN l_partkey % 10 <> 0 THEN l_partkey END AS taker FROM lineitem) ON p_partkey = taker
+LEFT JOIN (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS placed FROM orders) ON l_orderkey = placed""",
 )
 def _participation_log(t):
-    """Large lines only and no pending orders, so that both joins also miss."""
+    """Every tenth part's lines and all pending orders lack their key, so that both joins also miss."""
     return participation_log(
         t("part").select("p_partkey", "p_name"),
-        t("lineitem").filter("l_quantity >= 49"),
-        t("orders").filter("o_orderstatus <> 'P'"),
-        person_on=[("p_partkey", "l_partkey")],
+        t("lineitem").withColumn("taker", F.when(F.col("l_partkey") % 10 != 0, F.col("l_partkey"))),
+        t("orders").withColumn("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey"))),
+        person_on=[("p_partkey", "taker")],
         participation_cols={"quantity": "l_quantity"},
         activity_on=[("l_orderkey", "o_orderkey")],
         activity_cols=["o_orderkey", "o_orderdate"],
@@ -430,7 +530,7 @@ def _id_backfill_join(t):
 _INTERVAL_SQL = "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 _WALK_SQL = f"""SELECT o_custkey, o_orderkey, o_orderdate, l_shipdate,
   strftime(CAST(date_trunc('month', o_orderdate) AS DATE) + to_months(CAST(n AS INT)), '%Y-%m') AS month
-{_INTERVAL_SQL}, range(13) AS g(n) WHERE o_orderdate <= l_shipdate AND n <= {whole_months('o_orderdate', 'l_shipdate')}"""
+{_INTERVAL_SQL}, unnest(range({whole_months('o_orderdate', 'l_shipdate')} + 1)) AS g(n) WHERE o_orderdate <= l_shipdate"""
 
 
 def _walk(t: Tables) -> DataFrame:
@@ -558,6 +658,16 @@ def _standard_flag(t):
     )
 
 
+@entry(
+    "unmatched_standards",
+    f"""{_counts_sql('')} SELECT major_id, major_name, activity_type_id, activity_type_name, standard_count, remark FROM t01 s
+WHERE NOT EXISTS (SELECT 1 FROM acts WHERE mid = s.major_id AND mname = s.major_name AND tid = s.activity_type_id
+  AND tname = s.activity_type_name)""",
+)
+def _unmatched_standards(t):
+    return summary.unmatched_standards(_acts(t), standards(t))
+
+
 @entry(
     "missed_standard_months",
     _counts_sql(
@@ -609,20 +719,19 @@ def _conditional_sums_fixed(t):
 
 
 def _induction_detail(t: Tables) -> DataFrame:
-    """Nations with orders per year, with their very large urgent orders."""
+    """Nations with orders per year, with their urgent orders, of which some name no nation."""
     placed = _placed(t).withColumn("y", F.year("o_orderdate"))
     active = distinct_per(placed, ["y", "r_regionkey", "n_nationkey"], "o_custkey", "customers")
-    big = placed.filter((F.col("o_totalprice") > 480000) & (F.col("o_orderpriority") == "1-URGENT")).select(
-        F.col("y").alias("ey"), F.col("n_nationkey").alias("en"), "o_orderkey"
-    )
-    return population_events(active, big, [("y", "ey"), ("n_nationkey", "en")], ["o_orderkey"], max_rows=CFG.broadcast_rows)
+    named = F.when((F.col("n_nationkey") + F.col("y")) % 5 != 0, F.col("n_nationkey"))
+    urgent = placed.filter(F.col("o_orderpriority") == "1-URGENT").select(F.col("y").alias("ey"), named.alias("en"), "o_orderkey")
+    return population_events(active, urgent, [("y", "ey"), ("n_nationkey", "en")], ["o_orderkey"])
 
 
 def _coverage_sql(keys: str) -> str:
     share = half_up("(covered * 100.0::DOUBLE / active)")
     return f"""WITH {_PLACED_SQL} SELECT *, CAST({share} AS VARCHAR) || '%' AS share
 FROM (SELECT {keys}, count(DISTINCT n_nationkey) AS active,
-        count(DISTINCT n_nationkey) FILTER (o_totalprice > 480000 AND o_orderpriority = '1-URGENT') AS covered
+        count(DISTINCT n_nationkey) FILTER ((n_nationkey + y) % 5 <> 0 AND o_orderpriority = '1-URGENT') AS covered
       FROM (SELECT *, CAST(year(o_orderdate) AS INT) AS y FROM placed) GROUP BY {keys})"""
 
 
@@ -642,8 +751,8 @@ def _coverage_by_site_year(t):
     f"""WITH {_PLACED_SQL} SELECT a.*, o_orderkey
 FROM (SELECT CAST(year(o_orderdate) AS INT) AS y, r_regionkey, n_nationkey, count(DISTINCT o_custkey) AS customers
       FROM placed GROUP BY 1, 2, 3) a
-LEFT JOIN placed p ON p.n_nationkey = a.n_nationkey AND year(p.o_orderdate) = a.y AND p.o_totalprice > 480000
-  AND p.o_orderpriority = '1-URGENT'""",
+LEFT JOIN placed p ON p.n_nationkey = a.n_nationkey AND year(p.o_orderdate) = a.y
+  AND (a.n_nationkey + a.y) % 5 <> 0 AND p.o_orderpriority = '1-URGENT'""",
 )
 def _population_events(t):
     return _induction_detail(t)
@@ -705,23 +814,22 @@ def _abnormal_headcount(t):
   count(DISTINCT p_name) FILTER (b) AS bulk, count(DISTINCT p_name) FILTER (r AND NOT b) AS returned_only,
   count(DISTINCT p_name) FILTER (r AND b) AS both, count(DISTINCT p_name) FILTER (NOT r AND NOT b) AS neither
 FROM (SELECT p_brand, p_name,
-    p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_discount = 0.1) AS r,
-    p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity = 50) AS b FROM part) GROUP BY 1""",
+    EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_partkey % 3 <> 0 AND l_returnflag = 'R') AS r,
+    EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_partkey % 4 <> 0 AND l_quantity >= 20) AS b FROM part) GROUP BY 1""",
 )
 def _presence_matrix(t):
-    """Parts by presence in heavily discounted returns and in largest lines."""
+    """Parts by presence in returns and in large lines; lines of some parts lack their key."""
     lines = t("lineitem")
     brands = t("part").select("p_partkey", "p_brand", "p_name")
 
     def seen(condition: str) -> DataFrame:
-        return left_join(lines.filter(condition).select("l_partkey"), brands, [("l_partkey", "p_partkey")], ["p_brand", "p_name"]).withColumnRenamed(
-            "l_partkey", "p_partkey"
-        )
+        named = lines.select(F.when(F.expr(condition), F.col("l_partkey")).alias("key"))
+        return left_join(named, brands, [("key", "p_partkey")], ["p_brand", "p_name"]).withColumnRenamed("key", "p_partkey")
 
     return presence_matrix(
         brands,
-        seen("l_returnflag = 'R' AND l_discount = 0.1"),
-        seen("l_quantity = 50"),
+        seen("l_returnflag = 'R' AND l_partkey % 3 <> 0"),
+        seen("l_quantity >= 20 AND l_partkey % 4 <> 0"),
         ["p_partkey", "p_brand", "p_name"],
         ["p_brand"],
         "p_name",

@@ -15,7 +15,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _job(key: str) -> Query:
-    return lambda spark, sf_dir: adapter.warehouse(spark, sf_dir).staged(key, adapter.run_folder(spark))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = adapter.run_folder(spark, sf_dir, key)
+        return adapter.warehouse(spark, sf_dir, folder).staged(key, folder)
+
+    return run
 
 
 def _operator(name: str) -> Query:
