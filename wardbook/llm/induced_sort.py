@@ -54,20 +54,31 @@ class BucketQueue:
         return positions, np.frombuffer(self.file.read(block[1]), np.uint8)
 
     def ascending(self, bucket: int) -> Iterator[Block]:
-        """Blocks of a bucket as they arrived, those pushed meanwhile included; they leave the queue."""
-        blocks = self.held[bucket]
-        while blocks:
-            yield self._read(blocks.pop(0))
+        """Entries of a bucket as they arrived, those pushed meanwhile included; they leave the queue."""
+        while self.held[bucket]:
+            blocks, parts, size = self.held[bucket], [], 0
+            while blocks and size < BLOCK:
+                parts.append(self._read(blocks.pop(0)))
+                size += len(parts[-1][0])
+            yield _joined(parts)
 
     def descending(self, bucket: int) -> Iterator[Block]:
-        """Blocks of a bucket from the last; a common prefix is then with the entry before it here, 0 for the first."""
+        """Entries of a bucket from the last; a common prefix is then with the entry before it here, 0 for the first."""
         blocks, carried = self.held[bucket], np.uint8(0)
         while blocks:
-            positions, common = self._read(blocks.pop())
+            parts, size = [], 0
+            while blocks and size < BLOCK:
+                parts.append(self._read(blocks.pop()))
+                size += len(parts[-1][0])
+            positions, common = _joined(parts[::-1])
             yield positions[::-1], np.append(carried, common[:0:-1]).astype(np.uint8)
             carried = common[0]
 
 
+def _joined(parts: list[Block]) -> Block:
+    return parts[0] if len(parts) == 1 else tuple(np.concatenate(c) for c in zip(*parts))
+
+
 def _chunks(block: Block) -> Iterator[Block]:
     for at in range(0, len(block[0]), BLOCK):
         yield block[0][at : at + BLOCK], block[1][at : at + BLOCK]
