@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -36,10 +34,13 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def null_safe(left: DataFrame, right: DataFrame, on: list[str], right_prefix: str = "_r_") -> tuple[DataFrame, object]:
-    """``right`` with prefixed keys and the condition that equates them, NULL with NULL."""
-    renamed = right.withColumnsRenamed({c: right_prefix + c for c in on})
-    return renamed, reduce(and_, [left[c].eqNullSafe(renamed[right_prefix + c]) for c in on])
+def drawn(df: DataFrame, key: str, rows: int, seed: int = 17) -> DataFrame:
+    """About ``rows`` rows, or all if there are fewer, chosen by a hash of ``key``.
+
+    The rate follows from a count, so nothing is sorted and no task sends more than its share.
+    """
+    rate = min(1.0, rows / max(df.count(), 1))
+    return df.filter(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) < int(rate * (1 << 30)))
 
 
 def connected_components(edges: DataFrame, folder: str, *, max_rounds: int = 60) -> DataFrame:
@@ -66,6 +67,8 @@ def connected_components(edges: DataFrame, folder: str, *, max_rounds: int = 60)
         smallest = both.groupBy("hi").agg(F.min("lo").alias("m")).select(
             F.col("hi").alias("k"), F.least("hi", "m").alias("m")
         )
+        # Stored, like ``below``, so that the join reads plain shuffles and splits a hot node.
+        smallest = stored(smallest, f"{folder}/cc-{step}-smallest")
         # Larger neighbours of k hang on the smallest node of k's neighbourhood.
         large = (
             now.join(smallest, F.col("lo") == F.col("k")).select("hi", F.col("m").alias("lo"))
@@ -73,6 +76,7 @@ def connected_components(edges: DataFrame, folder: str, *, max_rounds: int = 60)
         large = stored(large, f"{folder}/cc-{step}-large")
         # Neighbours not above k, and k itself, hang on the smallest of them.
         below = large.groupBy("hi").agg(F.min("lo").alias("m")).withColumnRenamed("hi", "k")
+        below = stored(below, f"{folder}/cc-{step}-below")
         hung = large.join(below, F.col("hi") == F.col("k")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         own = below.select(F.col("k").alias("hi"), F.col("m").alias("lo"))
         now = stored(hung.union(own).filter("hi <> lo").distinct(), f"{folder}/cc-{step}")

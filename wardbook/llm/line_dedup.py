@@ -60,6 +60,8 @@ def remove_repeated_lines(
         .filter("first <> last")
         .select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), "first")
     )
+    # Stored, so that the join reads plain shuffles and splits a hot window.
+    first = stored(first, f"{folder}/first")
     later = windows.join(first, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2"))).filter(
         F.struct("id", "place") != F.col("first")
     )

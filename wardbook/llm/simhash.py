@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from wardbook.llm.common import connected_components, run_folder, stored
+from wardbook.llm.common import connected_components, drawn, run_folder, stored
 
 BLOCK = 65_536  # shingles whose bits are counted at a time
 LEAF = 512  # fingerprints that are compared pair by pair
@@ -170,7 +170,7 @@ def near_duplicates(
     1. Fingerprints are counted where documents are read, and stored. From here on only
        distinct ones travel, so a text that a third of the rows share is one fingerprint.
     2. The upper vantage-point tree is fitted on a bounded sample of distinct fingerprints
-       (``sample_per_shard << levels``, at most 65,536 by default); every fingerprint is
+       (about ``sample_per_shard << levels``, at most 65,536 by default); every fingerprint is
        dealt to its shard, and to a neighbour where it lies within ``max_bits`` of the
        boundary. Shards grow only beyond ``shard_size << max_levels`` fingerprints, at
        eight bytes each; inside, the tree goes on. Near copies are no exception, as few
@@ -189,7 +189,7 @@ def near_duplicates(
     count = distinct.count()
     levels = min(max_levels, max(0, int(np.ceil(np.log2(max(count, 1) / shard_size)))))
     bound = sample_per_shard << levels
-    sample = distinct.select("fp").orderBy(F.xxhash64("fp")).limit(bound).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    sample = drawn(distinct.select("fp"), "fp", bound).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     tree = split_tree(sample, levels)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,6 +210,7 @@ def near_duplicates(
         "fp", F.coalesce("root", "fp").alias("root"), "first_id"
     )
     smallest = of_root.groupBy(F.col("root").alias("_root")).agg(F.min("first_id").alias("component_id"))
+    smallest = stored(smallest, f"{folder}/smallest")
     component = of_root.join(smallest, F.col("root") == F.col("_root")).select(F.col("fp").alias("_fp"), "component_id")
     return rows.join(component, F.col("fp") == F.col("_fp")).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"

@@ -238,12 +238,15 @@ def remove_repeats(
     kind = rows.schema["id"].dataType.simpleString()
     anchors = _anchors(rows, size)
     often = anchors.groupBy(F.col("h").alias("_h")).count().filter("count > 1").select("_h")
+    # Stored, like what is joined below, so that joins read plain shuffles and split a hot anchor.
+    often = _stored(often, f"{folder}/often")
     occurring = anchors.join(often.hint("merge"), F.col("h") == F.col("_h"), "left_semi")
     occurring = _stored(occurring, f"{folder}/occurring")
 
     groups = occurring.groupBy("h", "c").agg(F.count("*").alias("copies"), F.min(F.struct("id", "at", "n")).alias("one"))
     groups = _stored(groups.select("h", "c", "copies", "one.*"), f"{folder}/groups")
     mixed = groups.groupBy(F.col("h").alias("_h")).count().filter("count > 1").select("_h")
+    mixed = _stored(mixed, f"{folder}/mixed")
     wanted = groups.join(mixed.hint("merge"), F.col("h") == F.col("_h"), "left_semi")
     # A document's own runs, no more than it has bytes.
     lists = wanted.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("at", "n", "h", "c", "copies")).alias("runs"))

@@ -121,6 +121,8 @@ def count_tokens(
 
     counted = fresh.select("digest", "t").mapInArrow(encode, "digest binary, n_tokens bigint")
     counted.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache_dir)
-    return slim.join(known(), F.col("digest") == F.col("_digest")).select(
+    # Stored, so that the join reads plain shuffles and splits a hot digest.
+    counts = stored(known(), f"{folder}/counts")
+    return slim.join(counts, F.col("digest") == F.col("_digest")).select(
         F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )

@@ -127,7 +127,7 @@ CAPTURES = (
 
 
 def write_archives(
-    pages: DataFrame, folder: str, *, id_col: str, url_col: str, html_col: str, time_col: str | None, min_bytes: int
+    pages: DataFrame, folder: str, firsts_folder: str, *, id_col: str, url_col: str, html_col: str, time_col: str | None, min_bytes: int
 ) -> None:
     """One archive per task, its records sorted by URL key and time: a capture run."""
     payload = F.coalesce(F.col(html_col), F.lit(""))
@@ -143,7 +143,9 @@ def write_archives(
         .agg(F.min("page_id").alias("first"), F.count("*").alias("copies"))
         .filter("copies > 1")
     )
-    # Repeated payloads grow with the crawl: the join is shuffled at every size, never broadcast.
+    # Stored, so that the join reads plain shuffles and splits a hot payload. Repeated payloads
+    # grow with the crawl: the join is shuffled at every size, never broadcast.
+    firsts = stored(firsts, firsts_folder)
     joined = rows.join(firsts.hint("merge"), (F.col("sha") == F.col("_sha")) & (F.col("n") == F.col("_n")), "left")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     runs = joined.select("page_id", "captured", "url", "html", refers.alias("refers"), url_key(F.col("url")).alias("key"))
@@ -322,6 +324,6 @@ def archive_captures(
     empty table gives no rows. Archives stay below ``folder``.
     """
     folder = folder or run_folder(pages.sparkSession, "warc")
-    write_archives(pages, f"{folder}/archives", id_col=id_col, url_col=url_col, html_col=html_col, time_col=time_col, min_bytes=min_bytes)
+    write_archives(pages, f"{folder}/archives", f"{folder}/firsts", id_col=id_col, url_col=url_col, html_col=html_col, time_col=time_col, min_bytes=min_bytes)
     captures = stored(read_archives(pages.sparkSession, f"{folder}/archives"), f"{folder}/captures")
     return merge_index(captures)
