@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wardbook.llm.common import run_folder, stored
+from wardbook.llm.common import drawn, run_folder, stored
 
 BLANKS = " \t\n\x0b\x0c\r"  # the characters that separate words
 SYMBOLS = b"#*$%&|<>"
@@ -179,8 +179,8 @@ def fit(
 ) -> Model:
     """A forest grown on good documents, and the score above which documents are rejected.
 
-    The forest is fitted on at most ``fit_rows`` labelled documents that pass the base
-    rules, those whose hashed ids are smallest: it grows on the good ones, in the box that
+    The forest is fitted on about ``fit_rows`` labelled documents that pass the base rules,
+    drawn by a hash of their ids at a rate that follows from their number: it grows on the good ones, in the box that
     all of them span. This bounded sample is all that reaches the driver besides a histogram. The threshold counts all labelled documents: their scores
     are binned (at most 2 x 10,001 rows) and the cut is taken where most bad documents
     above it stand against good ones, with at most ``max_good_loss`` of the good ones
@@ -191,7 +191,7 @@ def fit(
     marks = labels.select(F.col(id_col).alias("_id"), F.col(quality_col).alias("_q")).dropna()
     marks = marks.groupBy("_id").agg((F.min("_q") > 0).alias("good"))
     known = stats.join(marks, F.col(id_col) == F.col("_id")).filter("n_words >= 10 AND 100 * n_repeat_words <= 20 * n_words")
-    chosen = known.select(id_col, *STATS, "good").distinct().orderBy(F.xxhash64(id_col), id_col, *STATS).limit(fit_rows).toPandas()
+    chosen = drawn(known, id_col, fit_rows).select(*STATS, "good").toPandas()
     rates, good = features(chosen[list(STATS)].to_numpy(np.int64)), chosen["good"].to_numpy(bool)
     if not good.any():
         return Model(None)
