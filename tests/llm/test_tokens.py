@@ -16,8 +16,9 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 QUICK = Tokenizer(BYTES, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 BY_WORD = Encoder(WORDS, by_word=True, remember=50)
 LATIN = st.characters(max_codepoint=0x24F)
+LETTERS = st.text(st.sampled_from(list("aBsStTvVeErRmMlLdD'’\"0123.,<|>#$%ÀßÞþÿ×÷µª²\u00ad")), max_size=14)
 PIECES = st.one_of(
-    st.text(LATIN, max_size=12), st.text(max_size=8),
+    LETTERS, st.text(LATIN, max_size=12), st.text(max_size=8),
     st.sampled_from([" ", "\n", "  ", "\t", "\x1c", "\x85", "\xa0", " ", "'s", "'LL", "<|endoftext|>", "<|startoftext|>", "İ", "ΑΣ", "é", "́", "ﬁ", "x" * 300]),
 )
 TEXTS = st.lists(PIECES, max_size=10).map("".join)
@@ -28,14 +29,14 @@ def exact():
     return {path: Exact.from_file(path) for path in (BYTES, WORDS)}
 
 
-@settings(max_examples=250, deadline=None)
+@settings(max_examples=60, deadline=None)
 @given(st.lists(TEXTS, min_size=1, max_size=4))
 def test_quick_counts_equal_the_library(texts):
     want = [len(Exact.encode(_exact(BYTES), t, add_special_tokens=False).ids) for t in texts]
     assert QUICK.counts(texts) == want
 
 
-@settings(max_examples=250, deadline=None)
+@settings(max_examples=60, deadline=None)
 @given(st.lists(TEXTS, min_size=1, max_size=4))
 def test_ids_by_word_equal_the_library(texts):
     got = [np.frombuffer(b, "<u4").tolist() for b in BY_WORD.ids(texts)]
@@ -52,7 +53,7 @@ def _exact(path):
 def test_every_latin_character(exact):
     texts = [f"a{chr(a)}b {chr(a)}{chr(b)} {chr(b)}" for a in range(0x250) for b in (9, 10, 13, 28, 32, 49, 65, 133, 160, 178, 233, a)]
     assert QUICK.counts(texts) == [len(e) for e in exact[BYTES].encode_batch_fast(texts, add_special_tokens=False)]
-    got = Encoder(WORDS, by_word=True).ids(texts)
+    got = BY_WORD.ids(texts)
     assert [np.frombuffer(b, "<u4").tolist() for b in got] == [e.ids for e in exact[WORDS].encode_batch(texts, add_special_tokens=False)]
 
 
@@ -137,7 +138,7 @@ def test_patterns_use_up_the_demand(pieces):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.tuples(st.integers(1, 12), st.floats(0, 1)), min_size=1, max_size=4, unique_by=lambda t: t[0]))
+@given(st.lists(st.tuples(st.integers(1, 12), st.integers(0, 1000).map(lambda n: n / 1000)), min_size=1, max_size=4, unique_by=lambda t: t[0]))
 def test_knapsack_equals_exhaustive_search(items):
     widths, prices = (np.array(v) for v in zip(*sorted(items)))
     best = {0: 0.0}
