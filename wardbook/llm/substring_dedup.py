@@ -206,7 +206,7 @@ def remove_repeats(
     id_col: str = "doc_id",
     text_col: str = "text",
     size: int = 200,
-    shard_bytes: int = 6 << 20,
+    shard_bytes: int = 2 << 20,
     folder: str | None = None,
 ) -> DataFrame:
     """Every document without the bytes of ``size``-byte strings that also start elsewhere.
