@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from wardbook.llm import induced_sort, substring_dedup as sd
 from wardbook.llm.common import read
@@ -55,6 +56,39 @@ def test_odd_rows(spark):
     assert remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_a_hot_anchor_is_dealt_again(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    noise = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    phrase, tail = noise(120), noise(260)
+    rows = [(k, noise(300) + phrase + (tail if k % 3 == 0 else noise(260)) + "é") for k in range(200)]
+    rows += [(200, rows[0][1]), (201, rows[1][1]), (202, phrase + noise(90)), (None, noise(20) + phrase + tail), (5, noise(300) + phrase + tail)]
+    shards, repeats = [], sd._repeats
+
+    def watched(contexts, size, kind):
+        held = contexts.groupBy(F.spark_partition_id().alias("shard")).agg(F.sum(F.length("context")).alias("held")).collect()
+        shards.extend(r.held for r in held)
+        return repeats(contexts, size, kind)
+
+    monkeypatch.setattr(sd, "_repeats", watched)
+    docs = spark.createDataFrame([(*r, "a", "b", 1, 2, "c") for r in rows], DOCS)
+    got = found(remove_repeats(docs, shard_bytes=8000))
+    # Rows that share the id 5 share their removed stretches.
+    want = sorted(w for w in zip([d for d, _ in rows], plain(rows)) if w[0] not in (5, None))
+    assert sorted(g for g in got if g[0] not in (5, None)) == want and any(w[1][1] for w in want)
+    assert [g[1] for g in got if g[0] is None] == [plain(rows)[203]]
+    assert max(shards, default=0) <= 4 * 8000  # one shard held all surroundings of the phrase
+
+
+def test_words_read_the_text_in_place():
+    text = np.random.default_rng(3).integers(0, 256, 500).astype(np.uint8)
+    words = induced_sort._Words(text, 200)
+    assert np.shares_memory(words.rows, text)
+    for n in (0, 1, 7, 8, 9, 500):
+        padded = text[:n].tobytes() + bytes(300)
+        got = induced_sort._Words(text[:n], 200).at(np.arange(n + 201))
+        assert got.tolist() == [int.from_bytes(padded[k : k + 8]) for k in range(n + 201)]
+
+
 def test_very_long_text_is_looked_at_in_pieces(monkeypatch):
     text = np.random.default_rng(2).integers(97, 101, 5000).astype(np.uint8).tobytes()
     whole = sd.anchored(text, 200)

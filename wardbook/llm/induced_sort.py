@@ -85,15 +85,23 @@ def _chunks(block: Block) -> Iterator[Block]:
 
 
 class _Words:
-    """Eight bytes at any place of a text, as a number that orders like them; zeros follow its end."""
+    """Eight bytes at any place of a text, as a number that orders like them; zeros follow its end.
+
+    The text is read where it is, mapped or not; only its last bytes are copied.
+    """
 
     def __init__(self, text: np.ndarray, cap: int):
-        padded = np.concatenate([text, np.zeros(cap + 16, np.uint8)])
-        self.rows = np.lib.stride_tricks.sliding_window_view(padded, 8)
-        self.last = len(self.rows) - 1
+        self.edge = max(len(text) - 7, 0)  # words from here on reach beyond the end
+        end = np.concatenate([text[self.edge :], np.zeros(16, np.uint8)])
+        self.end = np.lib.stride_tricks.sliding_window_view(end, 8)
+        self.rows = np.lib.stride_tricks.sliding_window_view(text, 8) if self.edge else self.end
 
     def at(self, places: np.ndarray) -> np.ndarray:
-        return self.rows[np.minimum(places, self.last)].view(">u8").ravel().astype(np.uint64)
+        rows = self.rows[np.minimum(places, len(self.rows) - 1)]
+        late = np.flatnonzero(places >= self.edge)
+        if len(late):
+            rows[late] = self.end[np.minimum(places[late] - self.edge, len(self.end) - 1)]
+        return rows.view(">u8").ravel().astype(np.uint64)
 
 
 def _common(words: _Words, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:

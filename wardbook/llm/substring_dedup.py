@@ -78,6 +78,12 @@ def _context_hash(context: bytes) -> int:
     return xxhash.xxh3_64_intdigest(context) - (1 << 63)
 
 
+def _string_hashes(context: bytes, size: int) -> np.ndarray:
+    """128 bits of every ``size``-byte string of a run, as two columns."""
+    digests = [xxhash.xxh3_128_digest(context[k : k + size]) for k in range(len(context) - size + 1)]
+    return np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+
+
 def _anchors(docs: DataFrame, size: int) -> DataFrame:
     """(id, at, n, h, c): runs of string starts by anchor, and a hash of all bytes they cover."""
 
@@ -141,6 +147,44 @@ def _contexts(texts: DataFrame, size: int, kind: str) -> DataFrame:
     return texts.mapInArrow(cut, f"h bigint, id {kind}, at bigint, n int, copies bigint, context binary")
 
 
+def _strings(texts: DataFrame, size: int, kind: str) -> DataFrame:
+    """(s1, s2, id, run, at, copies): every start of the wanted runs by its own string."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for k, (z, runs) in enumerate(zip(batch.column("z"), batch.column("runs").to_pylist())):
+                text, rows = open_.decompress(z.as_py()), []
+                for r in runs:
+                    context = text[r["at"] : r["at"] + r["n"] + size - 1]
+                    if _context_hash(context) == r["c"]:  # else another text under the same id
+                        place = np.full((r["n"], 3), (r["at"], r["at"], r["copies"]), np.int64)
+                        place[:, 1] += np.arange(r["n"])
+                        rows.append(np.hstack([_string_hashes(context, size), place]))
+                for lot in range(0, len(rows), 256):
+                    s1, s2, run, at, copies = (pa.array(c) for c in np.concatenate(rows[lot : lot + 256]).T)
+                    ids = batch.column("id").take(pa.array(np.full(len(at), k)))
+                    yield pa.RecordBatch.from_arrays([s1, s2, ids, run, at, copies], ["s1", "s2", "id", "run", "at", "copies"])
+
+    return texts.mapInArrow(cut, f"s1 bigint, s2 bigint, id {kind}, run bigint, at bigint, copies bigint")
+
+
+def _dealt_again(texts: DataFrame, size: int, kind: str, folder: str) -> DataFrame:
+    """(id, low, high) as of ``_repeats``, for anchors with too many runs for one shard.
+
+    Every start is dealt by a hash of its own string, so equal strings still meet, and a
+    key's rows are one string's occurrences: they are counted, combining before the
+    shuffle, and joined back, split at run time where a string is hot. Strings of one run
+    overlap, since they all hold its anchor: a run's repeated starts cover one stretch.
+    """
+    strings = _stored(_strings(texts, size, kind), f"{folder}/strings")
+    again = strings.groupBy(F.col("s1").alias("_s1"), F.col("s2").alias("_s2")).count().filter("count > 1").select("_s1", "_s2")
+    again = _stored(again, f"{folder}/again").hint("merge")
+    repeated = strings.filter("copies = 1").join(again, (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2")), "left_semi")
+    spans = repeated.groupBy("id", "run").agg(F.min("at").alias("low"), (F.max("at") + size).alias("high"))
+    return _stored(spans.select("id", "low", "high"), f"{folder}/partial-again")
+
+
 def repeated_owned(text: np.ndarray, owned: np.ndarray, size: int) -> np.ndarray:
     """Which owned starts have their ``size`` bytes in common with another owned start."""
     out = np.zeros(len(text), bool)
@@ -224,9 +268,10 @@ def remove_repeats(
        read and dealt by anchor, so that equal strings meet in one shard.
     3. A shard lays its runs on its own disk and sorts their suffixes by external induced
        sorting (``sorted_suffixes``); strings that share ``size`` bytes are neighbours. Its
-       memory is a few arrays over the shard; ``shard_bytes`` is what a shard holds unless
-       one anchor alone has more.
-    4. Stretches are gathered per document and cut out.
+       memory is a few arrays over the shard, which holds about ``shard_bytes``.
+    4. An anchor whose different runs have more than ``shard_bytes`` is not sorted: its
+       starts are dealt again by 128 bits of their own strings (``_dealt_again``).
+    5. Stretches are gathered per document and cut out.
 
     Null text counts as empty. Rows with one id, null included, are told apart by their
     bytes only: they share removed stretches, and equal rows repeat each other. Further
@@ -245,16 +290,23 @@ def remove_repeats(
 
     groups = occurring.groupBy("h", "c").agg(F.count("*").alias("copies"), F.min(F.struct("id", "at", "n")).alias("one"))
     groups = _stored(groups.select("h", "c", "copies", "one.*"), f"{folder}/groups")
-    mixed = groups.groupBy(F.col("h").alias("_h")).count().filter("count > 1").select("_h")
+    mixed = groups.groupBy(F.col("h").alias("_h")).agg(F.count("*").alias("runs"), F.sum(F.col("n") + size).alias("bytes"))
+    mixed = mixed.filter("runs > 1").select("_h", (F.col("bytes") > shard_bytes).alias("hot"))
     mixed = _stored(mixed, f"{folder}/mixed")
-    wanted = groups.join(mixed.hint("merge"), F.col("h") == F.col("_h"), "left_semi")
+    wanted = groups.join(mixed.hint("merge"), F.col("h") == F.col("_h"))
     # A document's own runs, no more than it has bytes.
-    lists = wanted.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("at", "n", "h", "c", "copies")).alias("runs"))
+    lists = wanted.groupBy(F.col("id").alias("_id"), "hot").agg(F.collect_list(F.struct("at", "n", "h", "c", "copies")).alias("runs"))
     lists = _stored(lists, f"{folder}/wanted")
-    total = lists.select(F.explode("runs").alias("r")).agg(F.sum(F.col("r.n") + size)).first()[0] or 0
-    texts = _packed(rows).join(lists.hint("merge"), F.col("id").eqNullSafe(F.col("_id"))).select("id", "z", "runs")
-    contexts = _contexts(texts, size, kind).repartition(max(1, -(-total // shard_bytes)), "h")
+    total = dict(lists.select("hot", F.explode("runs").alias("r")).groupBy("hot").agg(F.sum(F.col("r.n") + size)).collect())
+
+    def texts(hot: bool) -> DataFrame:
+        own = lists.filter(F.col("hot") == hot).hint("merge")
+        return _packed(rows).join(own, F.col("id").eqNullSafe(F.col("_id"))).select("id", "z", "runs")
+
+    contexts = _contexts(texts(False), size, kind).repartition(max(1, -(-total.get(False, 0) // shard_bytes)), "h")
     partial = _stored(_repeats(contexts, size, kind), f"{folder}/partial")
+    if True in total:
+        partial = partial.union(_dealt_again(texts(True), size, kind, folder))
 
     copied = groups.filter("copies > 1").select(F.col("h").alias("_h"), F.col("c").alias("_c")).hint("merge")
     whole = occurring.join(copied, (F.col("h") == F.col("_h")) & (F.col("c") == F.col("_c")), "left_semi").select(
