@@ -57,6 +57,20 @@ def test_every_latin_character(exact):
     assert [np.frombuffer(b, "<u4").tolist() for b in got] == [e.ids for e in exact[WORDS].encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\xa0", " \t\r\n"])
+def test_long_white_space(exact, blank):
+    runs = [(blank * n)[:n] for n in (99_999, 100_000, 1_200_000)]
+    texts = [t for run in runs for t in (run, f"a{run}b", f"{run[:60_000]}a{run}")]
+    assert QUICK.counts(texts) == [len(exact[BYTES].encode(t, add_special_tokens=False)) for t in texts]
+
+
+def test_counts_of_a_table_with_long_white_space(spark, exact):
+    texts = {1: "a" + " " * 1_200_000 + "b", 2: "\n" * 1_200_000, 3: "one two"}
+    docs = spark.createDataFrame([(d, t, "x", 1, 2, "y") for d, t in texts.items()], DOCS)
+    got = {r.doc_id: r.n_tokens for r in count_tokens(docs, QUICK).collect()}
+    assert got == {d: len(exact[BYTES].encode(t, add_special_tokens=False)) for d, t in texts.items()}
+
+
 def test_counts_of_the_whole_table(spark, exact):
     docs = read(spark, "/root/testdata/sf0.01", "documents")
     want = {r.doc_id: (len(r.text.encode()), len(exact[BYTES].encode(r.text, add_special_tokens=False))) for r in docs.collect()}

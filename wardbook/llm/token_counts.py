@@ -19,14 +19,18 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks already use ev
 
 # Up to here the two libraries classify characters alike.
 BEYOND = re.compile("[^\u0000-ɏ]")
+# The faster library looks back over a run of white space on a stack, which overflows near a million characters.
+LONG_BLANK = 100_000
+BLANK = re.compile(rf"(?<!\s)\s{{{LONG_BLANK}}}")
 
 
 @dataclass(frozen=True)
 class Tokenizer:
     """A byte-level BPE tokenizer file; ``ranks`` is the same vocabulary for a faster library.
 
-    Texts go to the faster library where both give the same ids: characters up to U+024F
-    and no special string. All others go to the file's own.
+    Texts go to the faster library where both give the same ids: characters up to U+024F,
+    no special string and no run of ``LONG_BLANK`` white-space characters. All others go to
+    the file's own.
     """
 
     path: str
@@ -41,7 +45,10 @@ class Tokenizer:
         exact, quick, special = _loaded(self)
         if quick is None:
             return [len(e) for e in exact.encode_batch_fast(texts, add_special_tokens=False)]
-        plain = [not BEYOND.search(t) and not any(s in t for s in special) for t in texts]
+        plain = [
+            not BEYOND.search(t) and not any(s in t for s in special) and not (len(t) >= LONG_BLANK and BLANK.search(t))
+            for t in texts
+        ]
         other = iter(exact.encode_batch_fast([t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
         return [len(quick.encode_ordinary(t) if p else next(other)) for t, p in zip(texts, plain)]
 
