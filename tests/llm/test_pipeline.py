@@ -72,3 +72,32 @@ def test_stages_on_odd_rows(spark):
         assert stage(spark, docs, SF).columns == docs.columns
         assert stage(spark, docs.limit(0), SF).count() == 0
     assert pipeline.STAGES[-1][1](spark, docs, SF).count() == 5
+
+
+def test_near_copies_with_null_or_repeated_ids(spark):
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    a, b, c, d, e = map(words, range(5))
+    docs = spark.createDataFrame(
+        [(None, a, "en", "s", 1), (7, a, "en", "s", 1), (None, a, None, "s", 1),  # the group has an id
+         (None, b, "en", None, 1), (None, b, None, "en", 1), (None, b, None, "en", 1),  # null ids only
+         (3, c, "en", "s", 1), (3, c, "en", "s", 1), (3, c.upper(), "en", "s", 1),  # one id, near and equal copies
+         (3, d, "en", "s", 1), (2, d, "en", "s", 1),  # shares the id of another group's smallest
+         (3, e, "en", "s", 1)],  # one id, another text, alone
+        schema,
+    )
+    kept = pipeline.simhash_near_dedup(spark, docs, SF)
+    rows = [(r.doc_id, r.text.lower()) for r in kept.collect()]
+    assert sorted(rows, key=str) == sorted([(7, a), (None, b), (3, c), (2, d), (3, e)], key=str)
+    again = pipeline.simhash_near_dedup(spark, docs.repartition(3), SF)
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, kept.collect()), key=str)
+
+
+def test_repeated_lines_of_rows_without_id(spark):
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    lines = "one\ntwo\nthree"
+    docs = spark.createDataFrame([(None, f"{lines}\nx", "en", "s", 0), (None, f"{lines}\ny", "en", "s", 0), (4, f"{lines}\nz", "en", "s", 0)], schema)
+    got = sorted(r.text for r in pipeline.line_dedup(spark, docs, SF).collect())
+    assert got == [f"{lines}\nz", "x", "y"]
+    alone = sorted(r.text for r in pipeline.line_dedup(spark, docs.filter("doc_id IS NULL"), SF).collect())
+    assert sorted(map(len, alone)) == [1, len(lines) + 2]
