@@ -57,8 +57,8 @@ def exact_dedup(
 
     1. Keys (64-bit hash of the text) are aggregated before their shuffle to one entry
        each and written as index files, ordered by bucket; ``directory`` says which bucket.
-    2. Owner tasks hold ranges of buckets. Only texts whose key has several rows are read
-       again; within a key they are grouped by their bytes, so a collision makes a chain
+    2. The buckets only lay out the index; what follows goes by key. Only texts whose key
+       has several rows are read again; within a key they are grouped by their bytes, so a collision makes a chain
        and never merges two texts.
     3. Every row looks its group up. Lookups are plain equi-joins whose document side
        may be split at run time where a text is hot.
