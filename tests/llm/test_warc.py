@@ -72,6 +72,14 @@ def test_odd_pages(spark):
     assert archive_captures(pages.limit(0)).count() == 0
 
 
+def test_history_of_urls_with_white_space(spark):
+    urls = [" http://b/", "http://a/ ", "http://a/\r\nx", "\thttp://c/", "http://a/!", "\n", "http://a/\xa0", "http://a/%0"] * 4
+    pages = spark.createDataFrame([(k, u, "x", "k", "c", "a") for k, u in enumerate(urls)], PAGES).coalesce(2)
+    out = archive_captures(pages).orderBy("history_position").collect()
+    history = [(r.url_key, r.captured, r.page_id) for r in out]
+    assert history == sorted(history) and len(history) == len(urls)
+
+
 def test_url_keys(spark):
     urls = ["http://www.A.example.com/X?y=1#z", "https://a.b", "nothing", None]
     got = [r.k for r in spark.createDataFrame([(u,) for u in urls], "u string").select(url_key(__import__("pyspark").sql.functions.col("u")).alias("k")).collect()]

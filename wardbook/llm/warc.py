@@ -30,6 +30,11 @@ def url_key(url: Column) -> Column:
     return F.coalesce(key, plain, F.lit(""))
 
 
+def one_line(url: Column) -> Column:
+    """A URL as archives hold it, so that its key is the same before and after."""
+    return F.regexp_replace(F.regexp_replace(url, "\r", "%0D"), "\n", "%0A")
+
+
 def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -59,8 +64,9 @@ def record(capture, when: str, url: str | None, html: str | None, refers_to) ->
 
 
 def _headers(head: bytes) -> dict[str, str]:
+    # Only the space after the colon goes: a URL may begin or end with white space.
     pairs = (line.partition(":") for line in head.decode().split("\r\n")[1:])
-    return {name.lower(): value.strip() for name, _, value in pairs}
+    return {name.lower(): value.removeprefix(" ") for name, _, value in pairs}
 
 
 def _number(uri: str) -> int | None:
@@ -133,7 +139,7 @@ def write_archives(
     payload = F.coalesce(F.col(html_col), F.lit(""))
     when = F.timestamp_seconds(F.lit(1_704_067_200) + F.coalesce(F.col(id_col), F.lit(0))) if time_col is None else F.col(time_col)
     rows = pages.select(
-        F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), payload.alias("html"),
+        F.col(id_col).alias("page_id"), one_line(F.col(url_col)).alias("url"), payload.alias("html"),
         F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured"),
         F.unhex(F.sha1(payload)).alias("sha"), F.octet_length(payload).alias("n"),
     )
