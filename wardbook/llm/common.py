@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "pages": "page_id bigint, url string, html string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
     "labels": "doc_id bigint, quality int, toxic int",
 }
 

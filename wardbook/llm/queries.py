@@ -7,17 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wardbook.llm.alignment import TokenizerPair, align_tokens
 from wardbook.llm.common import read
 from wardbook.llm.exact_dedup import exact_dedup
 from wardbook.llm.language_id import identify, learn
 from wardbook.llm.line_dedup import remove_repeated_lines
 from wardbook.llm.mixing import mix, mixing_sql
+from wardbook.llm.neighbours import build_index, search
 from wardbook.llm.packing import Encoder, pack
 from wardbook.llm.quality_rules import quality_rules
 from wardbook.llm.simhash import near_duplicates
 from wardbook.llm.substring_dedup import remove_repeats
 from wardbook.llm.token_counts import Tokenizer, count_tokens
 from wardbook.llm.warc import archive_captures
+from wardbook.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,7 +60,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(read(spark, sf_dir, "documents"))
+    found = exact_dedup(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 _OP8 = """
@@ -97,6 +101,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    pair = TokenizerPair(a, b, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return align_tokens(read(spark, sf_dir, "documents"), pair)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, asked = read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0
+    return search(build_index(vectors, queries=asked), vectors.filter(asked))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_token_counts": op2_token_counts,
@@ -108,6 +127,9 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 ORACLES: dict[str, str] = {"op4_mixing": mixing_sql(), "op8_exact_dedup": _OP8, "op9_line_dedup": _OP9}
