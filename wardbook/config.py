@@ -113,6 +113,8 @@ class WarehouseConfig:
 
     # Shared folder for published tables; None leaves it to the catalog.
     location: str | None = None
+    # Versions of a published table that stay: the current one, and one for readers of the last.
+    versions: int = 2
 
     @property
     def cutoff_month(self) -> str:

@@ -32,6 +32,8 @@ from wardbook.operators import (
     population_events,
     registry_participants,
 )
+from wardbook.operators.linkage import one_person_per_rotation
+from wardbook.operators.periods import match_in_period
 
 _SITE = {"site_id": "activity_hospital_id", "site_name": "activity_hospital_name"}
 _ACTIVITY_KEY = ["activity_id", "activity_hospital_id", "activity_hospital_name"]
@@ -323,6 +325,40 @@ def rotation_activities(cfg: WarehouseConfig, raw: DataFrame, people: DataFrame,
     )
 
 
+def rotations_in_period(cfg: WarehouseConfig, raw: DataFrame, log: DataFrame) -> DataFrame:
+    """Rotations with the activities that their students joined from their first to their last moment.
+
+    Unlike ``rotation_activities`` this does not go by months: an activity of the first
+    month before the rotation began is not listed.
+    """
+    return match_in_period(
+        rotations(cfg, raw),
+        log,
+        _COHORT_ON,
+        start="rotation_start_time",
+        end="rotation_end_time",
+        at="activity_start_time",
+        keep=["student_id", *_ACTIVITY_FACTS[:-2], "activity_start_time", "activity_is_signed"],
+    )
+
+
+def rotation_people(cfg: WarehouseConfig, raw: DataFrame, people: DataFrame, log: DataFrame, folder: str) -> DataFrame:
+    """Every distinct rotation with one student's id or none; see ``one_person_per_rotation``."""
+    return one_person_per_rotation(
+        rotations(cfg, raw),
+        people,
+        log,
+        on=_COHORT_ON,
+        person="student_id",
+        period=("rotation_start_time", "rotation_end_time"),
+        log_on=_COHORT_ON,
+        log_person="student_id",
+        log_time="activity_start_time",
+        folder=folder,
+        alias="rotation_student_id",
+    )
+
+
 # ---- titles ------------------------------------------------------------------
 
 _TITLE_GROUP = [

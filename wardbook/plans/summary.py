@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
 from wardbook.config import WarehouseConfig
-from wardbook.functions import since_month, since_year
+from wardbook.functions import month_of, since_month, since_year
 from wardbook.operators import (
     abnormal_headcount,
     class_counts,
@@ -19,6 +20,7 @@ from wardbook.operators import (
     standard_counts,
 )
 from wardbook.operators.joins import left_join
+from wardbook.operators.runs import month_spine, shortfall_runs
 from wardbook.plans.detail import rotation_site
 
 _SITE = ["hospital_id", "hospital_name"]
@@ -95,6 +97,21 @@ def unmatched_standards(acts: DataFrame, standards: DataFrame) -> DataFrame:
     return standards.join(seen, reduce(and_, [F.col(c) == F.col(f"_{i}") for i, c in enumerate(named)]), "left_anti")
 
 
+def missed_runs(cfg: WarehouseConfig, acts: DataFrame, standards: DataFrame, sites: Sequence[tuple[int, str]], last: str | None = None) -> DataFrame:
+    """Runs of months in which a site stayed below a standard, months without any activity included.
+
+    From the cut-off to ``last``, by default the last month with an activity. Standards
+    without a type id can never be met; ``unmatched_standards`` lists them.
+    """
+    if last is None:
+        last = acts.agg(F.max(month_of("activity_start_time")).alias("m")).first().m or cfg.cutoff_month
+    kind = ["major_id", "major_name", "activity_type_id", "activity_type_name"]
+    due = standards.filter(F.col("activity_type_id").isNotNull()).select(*kind, "standard_count")
+    counts = counts_against_standards(cfg, acts, standards).select(*_SITE, *kind, "month", "activity_count")
+    spine = month_spine(due, sites, cfg.cutoff_month, last, site=_SITE)
+    return shortfall_runs(spine, counts, [*_SITE, *kind], count="activity_count", standard="standard_count")
+
+
 def hospital_coverage(detail: DataFrame) -> DataFrame:
     return coverage(
         detail.withColumnRenamed("admission_year", "year"),

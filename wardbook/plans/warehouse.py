@@ -94,7 +94,12 @@ class Warehouse:
             self.tables.clear()
             order = [F.desc(c) if c in job.descending else F.asc(c) for c in job.order_by]
             self.stored[key] = publish(
-                job.build(self), job.spec, self.cfg.db(job.spec.layer), order_by=order, location=self.cfg.location
+                job.build(self),
+                job.spec,
+                self.cfg.db(job.spec.layer),
+                order_by=order,
+                location=self.cfg.location,
+                versions=self.cfg.versions,
             )
         self.tables.clear()
         return dict(self.stored)

@@ -53,7 +53,7 @@ from wardbook.operators.joins import left_join
 from wardbook.plans import detail, report, summary
 from wardbook.queries.adapter import CFG, Tables, admissions, persons, rotations, run_folder, standards
 from wardbook.queries.job_sql import clean, half_up, job_sql, month, ratio, whole_months, with_chain
-from wardbook.sources import OUTPUTS, CatalogSource, TableSpec, conform, publish, standards_dictionary
+from wardbook.sources import OUTPUTS, CatalogSource, TableSpec, conform, ensure_database, publish, standards_dictionary
 from wardbook.sources.schemas import schema
 from wardbook.sources.standards import STANDARDS
 
@@ -282,24 +282,29 @@ def _published_in_order(t):
     return spark.table(publish(part, _SHELF, "wardbook_shelf", order_by=order, location=run_folder(spark, "part", "shelf")))
 
 
-def _catalog(t: Tables) -> CatalogSource:
-    """Participations of three sites, admissions and rotations as tables of the catalog."""
+def _catalog(t: Tables, query: str) -> CatalogSource:
+    """Participations of three sites, admissions and rotations as tables of the catalog.
+
+    Their files are in a folder of the application and the query: a catalog that forgets
+    its tables with its session leaves no managed folders that a later one stumbles over.
+    """
     spark = t("lineitem").sparkSession
-    cfg = replace(CFG, databases={layer: f"wardbook_catalog_{layer}" for layer in ("ods", "dwd")})
-    for db in cfg.databases.values():
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    cfg = replace(CFG, databases={layer: f"wardbook_{query}_{layer}" for layer in ("ods", "dwd")})
+    folder = run_folder(spark, query, "catalog")
     taken = persons(t)
-    for no, site in enumerate(cfg.sites):
-        own = taken.filter(F.col("site_no") == no).drop("site_no")
-        own.write.mode("overwrite").saveAsTable(f"{cfg.db('ods')}.{site.tables['person']}")
-    admissions(t).write.mode("overwrite").saveAsTable(f"{cfg.db('dwd')}.{cfg.admissions_table}")
-    rotations(t).write.mode("overwrite").saveAsTable(f"{cfg.db('dwd')}.{cfg.rotations_table}")
+    tables = {f"{cfg.db('ods')}.{s.tables['person']}": taken.filter(F.col("site_no") == no).drop("site_no") for no, s in enumerate(cfg.sites)}
+    tables |= {f"{cfg.db('dwd')}.{cfg.admissions_table}": admissions(t), f"{cfg.db('dwd')}.{cfg.rotations_table}": rotations(t)}
+    for db in cfg.databases.values():
+        ensure_database(spark, db)
+    for name, rows in tables.items():
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        rows.write.mode("overwrite").option("path", f"{folder}/{name}").saveAsTable(name)
     return CatalogSource(spark, cfg)
 
 
 @entry("catalog_sites", job_sql("t03"))
 def _catalog_sites(t):
-    source = _catalog(t)
+    source = _catalog(t, "catalog_sites")
     return conform(detail.participation(source.cfg, source), OUTPUTS["t03"].schema)
 
 
@@ -309,7 +314,7 @@ def _catalog_sites(t):
 UNION ALL SELECT 'rotations', CAST(1995 + p_size % 6 AS INT), count(*) FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""",
 )
 def _catalog_shared_inputs(t):
-    source = _catalog(t)
+    source = _catalog(t, "catalog_shared")
 
     def counted(rows: DataFrame, name: str, year: str) -> DataFrame:
         return rows.groupBy(F.lit(name).alias("input"), F.col(year).alias("grade")).agg(F.count("*").alias("n"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wardbook.queries import adapter
 from wardbook.queries.job_sql import JOB_KEYS, job_sql
 from wardbook.queries.operator_queries import ENTRIES
+from wardbook.queries.report_queries import REPORTS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,11 +28,16 @@ def _operator(name: str) -> Query:
     return lambda spark, sf_dir: build(cache(lambda table: adapter.read(spark, sf_dir, table)))
 
 
+def _report(name: str) -> Query:
+    build, _ = REPORTS[name]
+    return lambda spark, sf_dir: build(spark, sf_dir, adapter.run_folder(spark, sf_dir, name))
+
+
 def queries() -> dict[str, Query]:
     jobs = {name: _job(key) for key, name in JOB_KEYS.items()}
-    return {**{name: _operator(name) for name in ENTRIES}, **jobs}
+    return {**{name: _operator(name) for name in ENTRIES}, **{name: _report(name) for name in REPORTS}, **jobs}
 
 
 def oracle_sql() -> dict[str, str]:
     jobs = {name: job_sql(key) for key, name in JOB_KEYS.items()}
-    return {**{name: sql for name, (_, sql) in ENTRIES.items()}, **jobs}
+    return {**{name: sql for name, (_, sql) in (ENTRIES | REPORTS).items()}, **jobs}

@@ -31,15 +31,19 @@ def publish(
     order_by: Sequence | None = None,
     location: str | None = None,
     format: str = "parquet",
+    versions: int = 1,
 ) -> str:
     """Replace the table by this result; returns its qualified name.
 
-    The result is written in full under a name of its own and then takes the table's
-    place, so a job that fails, or reads the table it replaces, leaves the old one whole.
+    The result is written in full to a folder of its own, below ``location`` (a shared
+    folder) or else below the database's, and the table is pointed there. So a job that
+    fails, or reads the table it replaces, leaves the old one whole, and at no moment is
+    there no table: readers find the old version or the new one. Only a table whose columns,
+    comments or format change is dropped and created anew. The newest ``versions`` versions
+    stay; with two, readers that began before a refresh still find their files.
+
     Order within the files follows ``order_by``; a table has no order of its own, so
-    readers that need it sort again. With ``location`` (a shared folder) the files live
-    below it instead of in the catalog's own folder, each version in a folder of its own;
-    the version that was replaced is removed.
+    readers that need it sort again.
     """
     spark = df.sparkSession
     ensure_database(spark, db)
@@ -47,25 +51,44 @@ def publish(
     if order_by:
         out = out.orderBy(*order_by)
     name, fresh = f"`{db}`.`{spec.name}`", f"`{db}`.`{spec.name}__new`"
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    writer = out.write.mode("overwrite").format(format)
-    if location:
-        writer = writer.option("path", f"{location.rstrip('/')}/{db}/{spec.name}/{uuid4().hex}")
-    writer.saveAsTable(fresh)
+    folder = f"{location.rstrip('/')}/{db}/{spec.name}" if location else f"{_database_folder(spark, db)}/{spec.name}__versions"
+    path = f"{folder}/{uuid4().hex}"
+    writer = out.write.format(format)
     comment = spec.comment.replace("'", "\\'")
-    spark.sql(f"COMMENT ON TABLE {fresh} IS '{comment}'")
-    replaced = _external_folder(spark, name) if location else None
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
-    if replaced and replaced.rpartition("/")[0].endswith(f"/{db}/{spec.name}"):
-        path = spark._jvm.org.apache.hadoop.fs.Path(replaced)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if _can_be_pointed(spark, name, out.schema, format):
+        writer.save(path)
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.sql(f"COMMENT ON TABLE {name} IS '{comment}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        writer.mode("overwrite").option("path", path).saveAsTable(fresh)
+        spark.sql(f"COMMENT ON TABLE {fresh} IS '{comment}'")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    _remove_old(spark, folder, path, versions)
     return name
 
 
-def _external_folder(spark: SparkSession, name: str) -> str | None:
-    """Where an external table's files are; None for a managed or missing one."""
+def _database_folder(spark: SparkSession, db: str) -> str:
+    return spark.catalog.getDatabase(db).locationUri.rstrip("/")
+
+
+def _can_be_pointed(spark: SparkSession, name: str, schema: T.StructType, format: str) -> bool:
+    """Whether the table is there with its files outside the catalog's care, and with these columns."""
     if not spark.catalog.tableExists(name):
-        return None
+        return False
     said = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
-    return said.get("Location") if said.get("Type") == "EXTERNAL" else None
+    columns = lambda s: [(f.name, f.dataType, f.metadata.get("comment")) for f in s]
+    same = columns(spark.table(name).schema) == columns(schema)
+    return same and said.get("Type") == "EXTERNAL" and said.get("Provider", "").lower() == format.lower()
+
+
+def _remove_old(spark: SparkSession, folder: str, current: str, versions: int) -> None:
+    """Finished versions but for the current and the newest before it go."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    there = [s for s in files.listStatus(path(folder)) if s.getPath().getName() != current.rpartition("/")[2]]
+    done = [s for s in there if files.exists(path(s.getPath(), "_SUCCESS"))]
+    for old in sorted(done, key=lambda s: -s.getModificationTime())[max(versions - 1, 0) :]:
+        files.delete(old.getPath(), True)
