@@ -72,7 +72,7 @@ def test_equals_brute_force(spark):
     rows = list(enumerate(ODD)) + [(100 + k, t) for k, t in enumerate(ODD)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     want = brute(rows)
-    for pair, more in ((EXACT, {}), (QUICK, {}), (QUICK, {"bundle_chars": 50, "remember": 3, "longest": 4})):
+    for pair, more in ((EXACT, {}), (QUICK, {}), (QUICK, {"bundle_chars": 50, "remember": 3})):
         got = align_tokens(docs, pair, **more).select(*NAMES)
         assert sorted(map(tuple, got.collect())) == want
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -47,71 +48,79 @@ class _Tokens:
 
     def __init__(self, pair: TokenizerPair):
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(pair.bytes_path)
-        self.exact.encode_special_tokens = True
+        self.pair, self._exact, self.quick = pair, None, None
         self.pieces = SentencePieceProcessor(model_file=pair.piece_path)
-        self.quick = None
         if pair.ranks is not None:
             import tiktoken
 
             with open(pair.ranks, "rb") as f:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
             self.quick = tiktoken.Encoding("same", pat_str=pair.pattern, mergeable_ranks=ranks, special_tokens={})
-        of = byte_characters()
-        special = {k for k, t in self.exact.get_added_tokens_decoder().items()}
-        names = [self.exact.id_to_token(k) or "" for k in range(self.exact.get_vocab_size())]
-        self.a = [n.encode() if k in special else bytes(of[c] for c in n) for k, n in enumerate(names)]
-        self.b = [self._piece(k) for k in range(self.pieces.get_piece_size())]
-        self.sizes = [np.array([len(t) for t in side], np.int64) for side in (self.a, self.b)]
-        self.marked = [np.array([t[:1] == b" " for t in side]) for side in (self.a, self.b)]
-        self.known: dict[tuple[bytes, bytes], tuple[str, bytes]] = {}
+        self.bytes = [_entries(pair.bytes_path), [self._piece(k) for k in range(self.pieces.get_piece_size())]]
+        self.sizes = [np.array([len(t) for t in side], np.int64) for side in self.bytes]
+        self.marked = [np.array([t[:1] == b" " for t in side]) for side in self.bytes]
+        self.names = [str(k) for k in range(max(map(len, self.bytes)))]
+        self.forget()
 
     def _piece(self, k: int) -> bytes:
         name = self.pieces.id_to_piece(k)
         return bytes([int(name[3:5], 16)]) if self.pieces.is_byte(k) else name.replace("▁", " ").encode()
 
+    @property
+    def exact(self):
+        """The file's own library, loaded when a text needs it."""
+        if self._exact is None:
+            from tokenizers import Tokenizer
+
+            self._exact = Tokenizer.from_file(self.pair.bytes_path)
+            self._exact.encode_special_tokens = True
+        return self._exact
+
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Both tokenizers' ids of every text; none where a side's bytes are not the text's."""
         spaced = [" " + t for t in texts]
         plain = [
             self.quick is not None and not BEYOND.search(t) and not (len(t) >= LONG_BLANK and BLANK.search(t)) for t in spaced
         ]
-        other = iter(self.exact.encode_batch_fast([t for t, p in zip(spaced, plain) if not p], add_special_tokens=False))
+        rest = [t for t, p in zip(spaced, plain) if not p]
+        other = iter(self.exact.encode_batch_fast(rest, add_special_tokens=False) if rest else ())
         ids = [self.quick.encode_ordinary(t) if p else next(other).ids for t, p in zip(spaced, plain)]
         found = []
         for text, own, a, b in zip(texts, spaced, ids, self.pieces.encode(texts, num_threads=1)):
             raw = own.encode()
-            same = text and b"".join(map(self.a.__getitem__, a)) == raw and b"".join(map(self.b.__getitem__, b)) == raw
+            same = text and all(b"".join(map(table.__getitem__, side)) == raw for table, side in zip(self.bytes, (a, b)))
             found.append((a, b) if same else ([], []))
         return found
 
-    def aligned(self, sides: list[np.ndarray], ends: np.ndarray) -> list[tuple[str, bytes]]:
-        """Groups of windows as text, and their links as 64-bit codes (A's id above B's).
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}  # a window's ids → its number
+        self.texts: list[str] = []  # its groups
+        self.links = np.empty(0, np.int64)  # the links of all known windows
+        self.ends = np.zeros(1, np.int64)  # where each one's links begin and end
 
-        ``sides`` are both sides' ids of one window after another; ``ends`` are the bytes,
-        counted through, at which the windows end.
-        """
+    def learn(self, keys: list[bytes], sides: list[np.ndarray], ends: np.ndarray) -> None:
+        """Align new windows: ``sides`` are both sides' ids of one after another, ``ends`` their last bytes, counted through."""
         shared, *last = np.intersect1d(*[np.cumsum(size[ids]) for size, ids in zip(self.sizes, sides)], assume_unique=True, return_indices=True)
-        codes = (sides[0][last[0]] << 32 | sides[1][last[1]]).astype("<i8").tobytes()
         written = []
         for ids, at in zip(sides, last):
-            names, edges = list(map(str, ids.tolist())), [0, *(at + 1).tolist()]
+            names, edges = [self.names[i] for i in ids.tolist()], [0, *(at + 1).tolist()]
             written.append([names[i] if j - i == 1 else ",".join(names[i:j]) for i, j in zip(edges, edges[1:])])
         groups = list(map("|".join, zip(*written)))
-        edges = [0, *(np.searchsorted(shared, ends) + 1).tolist()]
-        return [(";".join(groups[i:j]), codes[8 * i : 8 * j]) for i, j in zip(edges, edges[1:])]
+        edges = np.searchsorted(shared, ends) + 1
+        self.known.update(zip(keys, range(len(self.texts), len(self.texts) + len(keys))))
+        self.texts += [";".join(groups[i:j]) for i, j in zip([0, *edges.tolist()], edges.tolist())]
+        # A's id above B's.
+        self.links = np.concatenate([self.links, sides[0][last[0]] << 32 | sides[1][last[1]]])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + edges])
 
-    def windows(self, ids: list[tuple[list[int], list[int]]], remember: int, longest: int) -> tuple[list[tuple[str, bytes]], list[int]]:
-        """The windows of texts that have tokens, one after another, and each text's first window.
+    def windows(self, ids: list[tuple[list[int], list[int]]]) -> tuple[np.ndarray, list[int]]:
+        """The windows of texts that have tokens, as numbers, and each text's first window.
 
         A window begins where a token of either side begins with a space and both sides'
         tokens before it end at the same byte: that end is compared, not supposed.
         """
-        if len(self.known) > remember:
-            self.known.clear()
-        cuts, flat, firsts = [], [], None
+        flat, cuts = [], []
         for side, size, marked in zip(zip(*ids), self.sizes, self.marked):
             tokens = np.fromiter(chain.from_iterable(side), np.int64)
             ends = np.cumsum(size[tokens])
@@ -119,30 +128,74 @@ class _Tokens:
             may = marked[tokens]
             may[first] = True  # a text's first byte is an anchor
             at = np.flatnonzero(may)
+            begin = ends - size[tokens]
             flat.append(tokens)
-            cuts.append((at, (ends - size[tokens])[at], len(tokens), int(ends[-1])))
-            firsts = (ends - size[tokens])[first]
-        shared, in_a, in_b = np.intersect1d(cuts[0][1], cuts[1][1], assume_unique=True, return_indices=True)
-        keys, lengths, edges = [], [], []
-        for tokens, (at, _, total, _), chosen in zip(flat, cuts, (in_a, in_b)):
-            edge = np.append(at[chosen], total)
-            raw, byte = tokens.astype("<u4").tobytes(), (4 * edge).tolist()
-            keys.append([raw[i:j] for i, j in zip(byte, byte[1:])])
-            edges.append(edge)
-            lengths.append(np.diff(edge))
-        keys = list(zip(*keys))
-        known, found = self.known, list(map(self.known.get, keys))
-        new = {key: k for k, key in enumerate(keys) if found[k] is None}
-        at = np.fromiter(new.values(), np.int64, len(new))
-        sides = []
-        for tokens, edge, length in zip(flat, edges, lengths):
-            each = length[at]
-            sides.append(tokens[np.repeat(edge[at] - np.cumsum(each) + each, each) + np.arange(each.sum())])
-        ends = np.cumsum(np.append(shared, cuts[0][3])[at + 1] - shared[at])
-        fresh = dict(zip(new, self.aligned(sides, ends)))
-        found = [fresh[key] if w is None else w for key, w in zip(keys, found)]
-        known.update((key, w) for key, w in fresh.items() if len(key[0]) + len(key[1]) <= 4 * longest)
-        return found, np.searchsorted(shared, firsts).tolist()
+            cuts.append((at, begin[at]))
+        begins, total = begin[first], int(ends[-1])
+        shared, *chosen = np.intersect1d(cuts[0][1], cuts[1][1], assume_unique=True, return_indices=True)
+        starts = [at[c] for (at, _), c in zip(cuts, chosen)]
+        lengths = [np.diff(np.append(at, len(tokens))) for at, tokens in zip(starts, flat)]
+        one, same = _alike(flat, starts, lengths)  # a window for each kind in this batch, and each window's kind
+        raw = [tokens.astype("<u4").tobytes() for tokens in flat]
+        spans = [(4 * at[one], 4 * (at[one] + n[one])) for at, n in zip(starts, lengths)]
+        # A's part is as long as the first number says.
+        keys = [
+            n + raw[0][i:j] + raw[1][k:m]
+            for n, i, j, k, m in zip(_prefixes(lengths[0][one]), *(x.tolist() for span in spans for x in span))
+        ]
+        number = list(map(self.known.get, keys))
+        new = np.array([k for k, n in enumerate(number) if n is None], np.int64)
+        if len(new):
+            sides = []
+            for tokens, at, n in zip(flat, starts, lengths):
+                at, n = at[one[new]], n[one[new]]
+                sides.append(tokens[np.repeat(at - np.cumsum(n) + n, n) + np.arange(n.sum())])
+            sizes = np.diff(np.append(shared, total))[one[new]]
+            self.learn([keys[k] for k in new.tolist()], sides, np.cumsum(sizes))
+            number = list(map(self.known.__getitem__, keys))
+        return np.array(number, np.int64)[same], np.searchsorted(shared, begins).tolist()
+
+
+def _entries(path: str) -> list[bytes]:
+    """The bytes of a byte-level file's tokens, by id; added tokens stand for themselves."""
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    of = byte_characters()
+    names = {k: bytes(of[c] for c in name) for name, k in told["model"]["vocab"].items()}
+    names |= {t["id"]: t["content"].encode() for t in told["added_tokens"]}
+    return [names.get(k, b"") for k in range(max(names) + 1)]
+
+
+def _prefixes(lengths: np.ndarray) -> list[bytes]:
+    raw = lengths.astype("<u4").tobytes()
+    return [raw[i : i + 4] for i in range(0, len(raw), 4)]
+
+
+def _alike(flat: list[np.ndarray], starts: list[np.ndarray], lengths: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Windows with the same ids: one of each kind, and every window's kind.
+
+    Kinds are told apart by 64 bits, then every window is compared, id by id, with the one
+    that stands for it; a window that differs is a kind of its own.
+    """
+    mark = np.zeros(len(starts[0]), np.uint64)
+    for tokens, at, n in zip(flat, starts, lengths):
+        place = (np.arange(len(tokens)) - np.repeat(at, n)).astype(np.uint64)
+        mixed = (tokens.astype(np.uint64) + np.uint64(1)) * (np.uint64(0x9E3779B97F4A7C15) + place * np.uint64(0xD1B54A32D192ED03))
+        mixed ^= mixed >> np.uint64(29)
+        mark = mark * np.uint64(0xBF58476D1CE4E5B9) + np.add.reduceat(mixed * np.uint64(0x94D049BB133111EB), at) + n.astype(np.uint64)
+    _, one, same = np.unique(mark, return_index=True, return_inverse=True)
+    differs = np.zeros(len(mark), bool)
+    for tokens, at, n in zip(flat, starts, lengths):
+        stands = one[same]
+        longer = n != n[stands]
+        differs |= longer
+        # Compared at the window's own length; where lengths differ it is a kind of its own anyway.
+        other = np.repeat(at[stands] - at, n) + np.arange(len(tokens))
+        unlike = tokens[np.minimum(other, len(tokens) - 1)] != tokens
+        differs |= np.add.reduceat(unlike, at) > 0
+    own = np.flatnonzero(differs)
+    same[own] = len(one) + np.arange(len(own))
+    return np.concatenate([one, own]), same
 
 
 @cache
@@ -154,17 +207,22 @@ def _tokens(pair: TokenizerPair) -> _Tokens:
 DOC = "struct<id: {}, n_a: bigint, n_b: bigint, n_groups: bigint, groups_sha256: string>"
 
 
-def _bundle(tokens: _Tokens, ids: list, texts: list[str], remember: int, longest: int) -> tuple:
+def _bundle(tokens: _Tokens, ids: list, texts: list[str], remember: int) -> tuple:
     """Documents' own columns, distinct pairs with their links, and every link's pair in order."""
+    if len(tokens.known) > remember:
+        tokens.forget()
     encoded = tokens.encode(texts)
     have = [k for k, (a, _) in enumerate(encoded) if a]
     digest, groups, codes = [""] * len(ids), [0] * len(ids), np.empty(0, np.int64)
     if have:
-        windows, first = tokens.windows([encoded[k] for k in have], remember, longest)
-        for k, low, high in zip(have, first, [*first[1:], len(windows)]):
-            digest[k] = hashlib.sha256(";".join([w[0] for w in windows[low:high]]).encode()).hexdigest()
-            groups[k] = sum([len(w[1]) for w in windows[low:high]]) // 8
-        codes = np.frombuffer(b"".join([w[1] for w in windows]), "<i8")
+        number, first = tokens.windows([encoded[k] for k in have])
+        named = tokens.texts
+        for k, low, high in zip(have, first, [*first[1:], len(number)]):
+            digest[k] = hashlib.sha256(";".join([named[w] for w in number[low:high].tolist()]).encode()).hexdigest()
+        at, n = tokens.ends[number], tokens.ends[number + 1] - tokens.ends[number]
+        for k, sum_ in zip(have, np.add.reduceat(n, first).tolist()):
+            groups[k] = sum_
+        codes = tokens.links[np.repeat(at - np.cumsum(n) + n, n) + np.arange(n.sum())]
     pairs, which, times = np.unique(codes, return_inverse=True, return_counts=True)
     docs = [
         {"id": i, "n_a": len(a), "n_b": len(b), "n_groups": g, "groups_sha256": s}
@@ -179,9 +237,8 @@ def align_tokens(
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
-    bundle_chars: int = 2_000_000,
-    remember: int = 200_000,
-    longest: int = 64,
+    bundle_chars: int = 1_000_000,
+    remember: int = 100_000,
     folder: str | None = None,
 ) -> DataFrame:
     """How two tokenizers' tokens of the same text lie to each other, per document.
@@ -195,9 +252,8 @@ def align_tokens(
     ``groups_sha256`` of the groups written as ``a1,a2|b1;a3|b2,b3``.
 
     1. Whole texts are encoded, and documents split into windows at anchors: shared ends
-       before tokens that begin with a space. A window's groups are remembered by its ids;
-       windows of more than ``longest`` ids, as in texts without spaces, are worked out each
-       time. A worker that knows ``remember`` windows begins anew. Some documents with
+       before tokens that begin with a space. A window's groups are remembered by its ids; a
+       worker that knows more than ``remember`` windows begins anew. Some documents with
        together about ``bundle_chars`` characters make a bundle, whose links are stored as
        places among its distinct pairs.
     2. Pairs are counted over all bundles; a pair counts once a bundle with its links, so a
@@ -221,7 +277,7 @@ def align_tokens(
         ids, texts, size = [], [], 0
 
         def row() -> pa.RecordBatch:
-            one = dict(zip(arrow.names, _bundle(tokens, ids, texts, remember, longest)))
+            one = dict(zip(arrow.names, _bundle(tokens, ids, texts, remember)))
             return pa.RecordBatch.from_arrays([pa.array([one[f.name]], f.type) for f in arrow], schema=arrow)
 
         for batch in batches:
