@@ -111,6 +111,10 @@ class WarehouseConfig:
     admissions_table: str = "dwd_hainan_admission_data_view_students"
     rotations_table: str = "dwd_hainan_round_spt_round_total_info"
 
+    # With a key, phone and card numbers are stored as keyed pseudonyms, never as they are.
+    # It becomes part of query plans, so these should be logged where keys may be.
+    pseudonym_key: bytes | None = field(default=None, repr=False)
+
     # Shared folder for published tables; None leaves it to the catalog.
     location: str | None = None
     # Versions of a published table that stay: the current one, and one for readers of the last.

@@ -17,6 +17,7 @@ from wardbook.functions import (
     surrogate_key,
     valid_key,
 )
+from wardbook.functions.pseudonyms import pseudonym
 from wardbook.operators import (
     attach,
     classify_names,
@@ -55,6 +56,14 @@ def _text(cfg: WarehouseConfig, column: str):
     return clean_text(column, cfg.unknown_text)
 
 
+def _personal(cfg: WarehouseConfig, column: str):
+    """Personal data: as it is, or as a pseudonym where the deployment has a key; unknown stays unknown."""
+    if cfg.pseudonym_key is None:
+        return _text(cfg, column)
+    known = F.nullif(clean_text(column), F.lit(""))
+    return F.coalesce(pseudonym(known, cfg.pseudonym_key, column), F.lit(cfg.unknown_text))
+
+
 def _keyed(site: Site):
     """Rows need a usable activity key; a site may ask for more."""
     keep = valid_key("trainid")
@@ -177,8 +186,8 @@ def teachers(cfg: WarehouseConfig, source, persons: DataFrame) -> DataFrame:
             "teacher_degree": _text(cfg, "academicdegree"),
             "teacher_highest_degree": _text(cfg, "highestdegree"),
             "teacher_promotion_time": F.col("promotiontime"),
-            "teacher_phone": _text(cfg, "phoneno"),
-            "teacher_id_card": _text(cfg, "identificationcard"),
+            "teacher_phone": _personal(cfg, "phoneno"),
+            "teacher_id_card": _personal(cfg, "identificationcard"),
             "teacher_is_general_practice": _text(cfg, "isgeneralfillingdepartment"),
         },
         site_id="teacher_hospital_id",

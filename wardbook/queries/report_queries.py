@@ -7,18 +7,27 @@ result; expressions here get the session, the folder of inputs and a folder for
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardbook.functions import month_of
+from wardbook.config import Site
+from wardbook.functions import any_present, month_of, valid_key
+from wardbook.functions.pseudonyms import field_key
 from wardbook.operators.bitmaps import count_bitmaps, dense_ids, id_bitmaps
 from wardbook.operators.periods import match_in_period, overlapping
+from wardbook.operators.titles import near_titles
 from wardbook.plans import detail, summary
 from wardbook.queries import adapter
 from wardbook.queries.adapter import CFG, Tables
 from wardbook.queries.job_sql import _COHORT, month, with_chain
 from wardbook.queries.operator_queries import _PLACED_SQL, _acts, _counts_sql, _placed
+from wardbook.sources import TableSpec
+from wardbook.sources.audit import audit
+from wardbook.sources.drift import harmonise
+from wardbook.sources.partitioned import publish_by_year, read_since, refresh_changed
+from wardbook.sources.schemas import schema
 
 Build = Callable[[SparkSession, str, str], DataFrame]
 REPORTS: dict[str, tuple[Build, str]] = {}
@@ -218,3 +227,152 @@ def _distinct_rollups(spark, sf_dir, folder):
         counted = count_bitmaps(bitmaps, keys, names).withColumn("level", F.lit(level))
         out = counted if out is None else out.unionByName(counted)
     return out.select("level", "region", "period", *names)
+
+
+# ---- tables by year ----------------------------------------------------------
+
+_ORDER_SPEC = TableSpec(
+    "dwd", "orders_kept", schema("o_orderkey bigint, o_orderdate timestamp_ntz, o_custkey bigint, o_totalprice double"), "Orders by year"
+)
+
+
+def _corrected(orders: DataFrame) -> DataFrame:
+    """Orders after edits in one year and deletions in two, of which one loses all."""
+    year, key = F.year("o_orderdate"), F.col("o_orderkey")
+    price = F.when((year == 1995) & (key % 50 == 0), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    gone = (year == 1993) & (key % 9 == 0) | (year == 1998)
+    return orders.filter(~gone).withColumn("o_totalprice", price)
+
+
+_CORRECTED_SQL = """SELECT o_orderkey, o_orderdate, o_custkey,
+  CASE WHEN year(o_orderdate) = 1995 AND o_orderkey % 50 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+FROM orders WHERE NOT (year(o_orderdate) = 1993 AND o_orderkey % 9 = 0 OR year(o_orderdate) = 1998)"""
+
+
+@report("refreshed_years", _CORRECTED_SQL)
+def _refreshed_years(spark, sf_dir, folder):
+    """Stored by year, then three years replaced, of which one has no rows any more."""
+    orders = _tables(spark, sf_dir)("orders")
+    spark.sql("DROP TABLE IF EXISTS wardbook_years.orders_kept__by_year")
+    where = {"time_col": "o_orderdate", "location": folder}
+    publish_by_year(orders, _ORDER_SPEC, "wardbook_years", **where)
+    return spark.table(publish_by_year(_corrected(orders), _ORDER_SPEC, "wardbook_years", years=[1993, 1995, 1998], **where))
+
+
+@report("incremental_refresh", _CORRECTED_SQL)
+def _incremental_refresh(spark, sf_dir, folder):
+    """Stored by year, then brought up to date: the years to write are found by their digests."""
+    orders = _tables(spark, sf_dir)("orders")
+    spark.sql("DROP TABLE IF EXISTS wardbook_changes.orders_kept__by_year")
+    for rows in (orders, _corrected(orders)):
+        refresh_changed(rows, _ORDER_SPEC, "wardbook_changes", time_col="o_orderdate", location=folder)
+    return spark.table("wardbook_changes.orders_kept")
+
+
+@report("pruned_years", "SELECT o_orderkey, o_orderdate, o_custkey, o_totalprice FROM orders WHERE year(o_orderdate) >= 1997")
+def _pruned_years(spark, sf_dir, folder):
+    orders = _tables(spark, sf_dir)("orders")
+    spark.sql("DROP TABLE IF EXISTS wardbook_pruned.orders_kept__by_year")
+    publish_by_year(orders, _ORDER_SPEC, "wardbook_pruned", time_col="o_orderdate", location=folder)
+    return read_since(spark, _ORDER_SPEC, "wardbook_pruned", time_col="o_orderdate", year=1997)
+
+
+# ---- rejected rows, drifting sites, personal data ----------------------------
+
+_SHEET = schema("trainid bigint, type_id int, major_id int, starts timestamp_ntz, ends timestamp_ntz")
+_RAW_SQL = """raw AS (SELECT CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_totalprice < 50000 THEN -o_orderkey ELSE o_orderkey END AS trainid,
+  CASE WHEN o_orderkey % 11 = 0 THEN 'type ' || o_orderkey WHEN o_orderkey % 7 > 0 THEN substr(o_orderpriority, 1, 1) END AS type_id,
+  CASE WHEN o_orderkey % 5 > 0 THEN o_custkey END AS major_id, o_orderdate AS starts,
+  o_orderdate + CASE WHEN o_orderkey % 13 = 0 THEN -INTERVAL 1 DAY ELSE INTERVAL 1 DAY END AS ends FROM orders),
+failed AS (SELECT unnest([CASE WHEN NOT coalesce(trainid >= 0, FALSE) THEN 'key' END,
+    CASE WHEN type_id IS NULL AND major_id IS NULL THEN 'type or major' END, CASE WHEN NOT coalesce(starts <= ends, FALSE) THEN 'period' END,
+    CASE WHEN type_id IS NOT NULL AND try_cast(type_id AS INT) IS NULL THEN 'type of type_id' END]) AS reason FROM raw)"""
+
+
+@report("rejected_rows", f"WITH {_RAW_SQL} SELECT reason, count(*) AS rows FROM failed WHERE reason IS NOT NULL GROUP BY 1")
+def _rejected_rows(spark, sf_dir, folder):
+    key, day = F.col("o_orderkey"), F.expr("INTERVAL 1 DAY")
+    raw = _tables(spark, sf_dir)("orders").select(
+        F.when(F.col("o_orderstatus") == "P", None).when(F.col("o_totalprice") < 50000, -key).otherwise(key).alias("trainid"),
+        F.when(key % 11 == 0, F.concat(F.lit("type "), key.cast("string")))
+        .when(key % 7 > 0, F.substring("o_orderpriority", 1, 1))
+        .alias("type_id"),
+        F.when(key % 5 > 0, F.col("o_custkey")).alias("major_id"),
+        F.col("o_orderdate").alias("starts"),
+        F.when(key % 13 == 0, F.col("o_orderdate") - day).otherwise(F.col("o_orderdate") + day).alias("ends"),
+    )
+    rules = {"key": valid_key("trainid"), "type or major": any_present("type_id", "major_id"), "period": F.col("starts") <= F.col("ends")}
+    rejected = audit(raw, _SHEET, rules, f"{folder}/audited").rejected
+    return rejected.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("rows"))
+
+
+_CLINICS = tuple(Site(no, f"clinic {no}", f"c{no}") for no in range(3))
+
+
+@report(
+    "drifting_sites",
+    """SELECT CAST(o_orderkey % 3 AS INT) AS site_id, o_orderkey AS order_id, o_orderstatus AS state, CAST(NULL AS VARCHAR) AS remark,
+  CASE WHEN o_orderkey % 3 = 1 THEN NULL ELSE o_custkey END AS customer_id FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL SELECT CAST(o_orderkey % 3 AS INT), o_orderkey, o_orderstatus, o_orderpriority, NULL FROM orders WHERE o_orderkey % 3 = 1
+UNION ALL SELECT CAST(o_orderkey % 3 AS INT), o_orderkey, NULL, NULL, o_custkey FROM orders WHERE o_orderkey % 3 = 2""",
+)
+def _drifting_sites(spark, sf_dir, folder):
+    """Three sites' orders: one names its columns otherwise and has wider ids, two lack columns."""
+    orders = _tables(spark, sf_dir)("orders")
+    own = [orders.filter(F.col("o_orderkey") % 3 == no) for no in range(3)]
+    frames = [
+        own[0].select("o_orderkey", F.col("o_orderstatus").alias("state"), F.col("o_custkey").cast("int").alias("customer_id")),
+        own[1].select(F.col("o_orderkey").cast("int").alias("order_id"), F.col("o_orderstatus").alias("state"), F.col("o_orderpriority").alias("remark")),
+        own[2].select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), "o_totalprice"),
+    ]
+    declared = schema("order_id int, state string, remark string, customer_id int")
+    same, _ = harmonise(list(zip(_CLINICS, frames)), declared, renames={0: {"o_orderkey": "order_id"}}, required=["order_id"])
+    out = None
+    for site, rows in same:
+        rows = rows.withColumn("site_id", F.lit(site.id))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+_KEY = b"key of the driver's tables"
+
+
+def _hmac_sql(value: str, field: str) -> str:
+    """HMAC-SHA256 spelled out, with the two padded keys as literals."""
+    own = field_key(_KEY, field).ljust(64, b"\0")
+    inner, outer = (bytes(b ^ pad for b in own).hex() for pad in (0x36, 0x5C))
+    return f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode({value}))))"
+
+
+@report(
+    "pseudonymous_teachers",
+    with_chain(
+        f"""SELECT DISTINCT teacher_id, teacher_name, teacher_hospital_id, {_hmac_sql('teacher_phone', 'phoneno')} AS teacher_phone, teacher_id_card
+FROM t07""",
+        "t07",
+    ),
+)
+def _pseudonymous_teachers(spark, sf_dir, folder):
+    w = adapter.warehouse(spark, sf_dir, folder, replace(CFG, pseudonym_key=_KEY))
+    people = w.staged("t07", folder)
+    return people.select("teacher_id", "teacher_name", "teacher_hospital_id", "teacher_phone", "teacher_id_card")
+
+
+# ---- titles that nearly agree ------------------------------------------------
+
+_TITLE = "p_name || ' ' || p_type || ' size ' || p_size || ' of ' || p_brand"
+
+
+@report(
+    "near_titles",
+    f"""WITH titled AS (SELECT DISTINCT p_size % 10 AS family, {_TITLE} AS title FROM part),
+sets AS (SELECT *, list_distinct(string_split(lower(title), ' ')) AS words FROM titled)
+SELECT a.family, a.title, b.title AS other_title, len(list_intersect(a.words, b.words)) AS shared,
+  len(list_distinct(list_concat(a.words, b.words))) AS together
+FROM sets a JOIN sets b ON a.family = b.family AND a.title < b.title
+WHERE len(list_intersect(a.words, b.words)) * 100 >= 75 * len(list_distinct(list_concat(a.words, b.words)))""",
+)
+def _near_titles(spark, sf_dir, folder):
+    part = _tables(spark, sf_dir)("part")
+    title = F.concat_ws(" ", "p_name", "p_type", F.lit("size"), "p_size", F.lit("of"), "p_brand")
+    return near_titles(part.select((F.col("p_size") % 10).alias("family"), title.alias("title")), ["family"], "title", percent=75)

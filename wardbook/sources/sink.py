@@ -51,7 +51,7 @@ def publish(
     if order_by:
         out = out.orderBy(*order_by)
     name, fresh = f"`{db}`.`{spec.name}`", f"`{db}`.`{spec.name}__new`"
-    folder = f"{location.rstrip('/')}/{db}/{spec.name}" if location else f"{_database_folder(spark, db)}/{spec.name}__versions"
+    folder = f"{location.rstrip('/')}/{db}/{spec.name}" if location else f"{database_folder(spark, db)}/{spec.name}__versions"
     path = f"{folder}/{uuid4().hex}"
     writer = out.write.format(format)
     comment = spec.comment.replace("'", "\\'")
@@ -70,7 +70,7 @@ def publish(
     return name
 
 
-def _database_folder(spark: SparkSession, db: str) -> str:
+def database_folder(spark: SparkSession, db: str) -> str:
     return spark.catalog.getDatabase(db).locationUri.rstrip("/")
 
 
