@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardbook.llm.common import read
-from wardbook.llm.neighbours import balanced_partition, best_of, build_index, inner_neighbours, search
+from wardbook.llm.neighbours import _units, balanced_partition, best_of, build_index, inner_neighbours, search
 from wardbook.llm.queries import op12_embedding_whitening, op13_nearest_neighbours
 from wardbook.llm.whitening import Whitening, bit_planes, cross_products, whiten
 
@@ -131,15 +131,24 @@ def test_inner_neighbours():
 
 def test_best_of_keeps_ties():
     points = np.array([[1.0, 0], [0, 1], [1, 0.0], [0.5, 0.5]])
-    assert list(best_of(np.array([[1.0, 1.0]]), points, 2)) == [(0, [0, 1, 2, 3], [1.0] * 4)]
+    every = np.ones((1, 4), bool)
+    assert list(best_of(np.array([[1.0, 1.0]]), points, 2, every)) == [(0, [0, 1, 2, 3], [1.0] * 4)]
+    some = np.array([[False, True, False, True]])
+    assert list(best_of(np.array([[2.0, 1.0]]), points, 3, some)) == [(0, [1, 3], [1.0, 1.5])]
+    assert list(best_of(np.array([[2.0, 1.0]]), points, 3, ~every)) == [(0, [], [])]
 
 
-def test_recall_of_whole_table_in_cells(spark):
+def test_units_hold_neighbouring_cells():
+    assert _units(np.array([3, 4, 2, 9, 1, 1]), 8).tolist() == [0, 0, 1, 2, 3, 3]
+
+
+@pytest.mark.parametrize("block_rows", [40, 200])
+def test_recall_of_whole_table_in_cells(spark, block_rows):
     ids, v = vectors_of(spark)
     rows = read(spark, SF, "embeddings")
     asked = F.col("vec_id") % 20 == 0
-    index = build_index(rows, queries=asked, cell_rows=60, block_rows=40)
-    assert index.routing.router is not None and len(index.blocks) == 8 and index.recall >= 0.95
+    index = build_index(rows, queries=asked, cell_rows=60, block_rows=block_rows)
+    assert index.routing.router is not None and len(index.units) == 8 and index.recall >= 0.95
     got = search(index, rows.filter(asked), query_rows=10).collect()
     want = nearest_by_hand([(i, w) for i, w in zip(ids, v.tolist()) if i % 20 == 0], list(zip(ids, v.tolist())))
     pairs = {(r.query_id, r.vec_id): r.score for r in got}

@@ -129,17 +129,20 @@ def _exact(q: np.ndarray, c: np.ndarray) -> float:
         return float(np.sum(products))
 
 
-def best_of(queries: np.ndarray, points: np.ndarray, k: int) -> Iterator[tuple[int, list[int], list[float]]]:
-    """For every query the points that can be among its ``k`` nearest, with exact products."""
-    scores = queries @ points.T
+def best_of(queries: np.ndarray, points: np.ndarray, k: int, visits: np.ndarray) -> Iterator[tuple[int, list[int], list[float]]]:
+    """For every query the points that can be among its ``k`` nearest, with exact products.
+
+    ``visits`` says which points a query looks at.
+    """
+    scores = np.where(visits, queries @ points.T, -np.inf)
     k = min(k, len(points))
     least = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
     # A matrix product is off by less than this; points as near as the last one are all kept.
     margin = 1e-13 * (1 + points.shape[1]) * np.abs(queries).max(axis=1) * np.abs(points).max() * points.shape[1]
     for i in range(len(queries)):
-        at = np.flatnonzero(~(scores[i] < least[i] - margin[i]))
+        at = np.flatnonzero(visits[i] & ~(scores[i] < least[i] - margin[i]))
         exact = [_exact(queries[i], points[j]) for j in at]
-        last = sorted(exact, reverse=True)[k - 1]
+        last = sorted(exact, reverse=True)[: k][-1] if exact else 0.0
         keep = [(j, s) for j, s in zip(at.tolist(), exact) if s >= last]
         yield i, [j for j, _ in keep], [s for _, s in keep]
 
@@ -181,16 +184,18 @@ class Routing:
 
 @dataclass(frozen=True)
 class Index:
-    """Distinct vectors by cell: (``v``, ``ids``, ``cell``, ``block``), and how queries find them.
+    """Distinct vectors by cell: (``v``, ``ids``, ``cell``, ``unit``, ``block``), and how queries find them.
 
-    ``ids`` are the smallest of a vector's ids, one more than neighbours are asked for;
-    ``blocks`` is the number of blocks of each cell. ``recall`` is the share of the
-    calibrating queries' neighbours, found by brute force, that the routing reaches.
+    ``ids`` are the smallest of a vector's ids, one more than neighbours are asked for.
+    Small cells share a unit, named by ``units`` for each cell; ``blocks`` is the number of
+    blocks of each unit. ``recall`` is the share of the calibrating queries' neighbours,
+    found by brute force, that the routing reaches.
     """
 
     table: DataFrame
     dims: int
     routing: Routing
+    units: np.ndarray
     blocks: np.ndarray
     recall: float
 
@@ -261,7 +266,7 @@ def build_index(
     calibrating: int = 256,
     cell_rows: int = 2048,
     max_cells: int = 256,
-    block_rows: int = 2048,
+    block_rows: int = 8192,
     folder: str | None = None,
 ) -> Index:
     """Index every usable vector by learned cells.
@@ -274,8 +279,9 @@ def build_index(
     among all vectors are found by brute force: the index reaches ``recall`` on them.
 
     Equal vectors are one row of the index with their smallest ids; copies meet before their
-    shuffle. A cell is split into blocks of about ``block_rows`` vectors, so its size is no
-    task's size. Null vectors, zero vectors and vectors with null or non-finite entries take
+    shuffle. Small cells meet queries together, up to ``block_rows`` vectors, so that a query
+    gets one list of nearest from all of them; a larger cell is split into blocks of about
+    that many, so its size is no task's size. Null vectors, zero vectors and vectors with null or non-finite entries take
     no part; a shorter vector counts as ended by zeros; further columns are ignored.
     """
     spark = vectors.sparkSession
@@ -297,19 +303,32 @@ def build_index(
     sizes = np.zeros(parts, np.int64)
     for r in placed.groupBy("cell").count().collect():  # at most max_cells rows
         sizes[r.cell] = r["count"]
-    blocks = np.maximum(1, -(-sizes // block_rows))
+    units = _units(sizes, block_rows)
+    blocks = np.maximum(1, -(-np.bincount(units, weights=sizes).astype(np.int64) // block_rows))
     mass, reached = 1.0, 1.0
     if router is not None:
         asked = np.array([r.v for r in drawn(rows.filter("asked").select("h", "v").distinct(), "h", calibrating, seed=29).select("v").collect()])
         if len(asked):
             mass, reached = _calibrated(placed, asked, router, dims, k, recall)
-    block = F.pmod(F.xxhash64("h", F.lit(3)), F.element_at(_literal(blocks), F.col("cell") + 1)).cast("int")
-    return Index(placed.withColumn("block", block), dims, Routing(router, sizes, k, mass), blocks, reached)
+    block = F.pmod(F.xxhash64("h", F.lit(3)), _of(blocks, "unit")).cast("int")
+    table = placed.withColumn("unit", _of(units, "cell")).withColumn("block", block)
+    return Index(table, dims, Routing(router, sizes, k, mass), units, blocks, reached)
+
+
+def _units(sizes: np.ndarray, rows: int) -> np.ndarray:
+    """Neighbouring cells together up to ``rows`` vectors; a cell with more is a unit of its own."""
+    units, held = np.zeros(len(sizes), np.int64), 0
+    for cell in range(1, len(sizes)):
+        held += sizes[cell - 1]
+        fresh = held + sizes[cell] > rows
+        units[cell] = units[cell - 1] + fresh
+        held = 0 if fresh else held
+    return units
 
 
-def _literal(values: np.ndarray) -> Column:
-    """A small array (one entry a cell) as a column."""
-    return F.array(*[F.lit(int(v)) for v in values])
+def _of(values: np.ndarray, number: str) -> Column:
+    """Entry of a small array (one a cell or unit)."""
+    return F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col(number) + 1)
 
 
 def search(
@@ -323,12 +342,13 @@ def search(
     others, a query gets all of them; equal query rows count once, and so do equal rows of
     the index. An empty table on either side gives no rows.
 
-    Distinct query vectors are routed to cells and meet each block of a cell in blocks of
+    Distinct query vectors are routed to cells and meet each block of these in blocks of
     ``query_rows``; a task sees one block of either. A block's best are combined by query.
     """
     spark = queries.sparkSession
     folder = folder or run_folder(spark, "neighbours")
     dims, routing, k = index.dims, index.routing, index.routing.k
+    index_units, index_blocks = index.units, index.blocks  # tasks cannot carry the table
     rows, width = usable_vectors(queries, id_col, vector_col)
     if width > dims:
         raise ValueError(f"queries have {width} dimensions, the index {dims}")
@@ -344,33 +364,45 @@ def search(
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                at, cell = np.nonzero(routing(_matrix(batch.column("v"), dims)))
+                visits = routing(_matrix(batch.column("v"), dims))
+                at, unit, cells = [], [], []
+                for u in range(len(index_blocks)):
+                    own = np.flatnonzero(index_units == u)
+                    for i in np.flatnonzero(visits[:, own].any(axis=1)):
+                        at.append(i)
+                        unit.append(u)
+                        cells.append(own[visits[i, own]])
+                rows = batch.take(pa.array(at, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("q").take(pa.array(at)), batch.column("v").take(pa.array(at)), pa.array(cell.astype(np.int32))], ["q", "v", "cell"]
+                    [rows.column("q"), rows.column("v"), pa.array(unit, pa.int32()), pa.array(cells, pa.list_(pa.int32()))], ["q", "v", "unit", "cells"]
                 )
 
-    routed = stored(asked.select("q", "v").mapInArrow(route, "q bigint, v array<double>, cell int"), f"{folder}/routed")
+    made = "q bigint, v array<double>, unit int, cells array<int>"
+    routed = stored(asked.select("q", "v").mapInArrow(route, made), f"{folder}/routed")
     visits = np.zeros(len(index.blocks), np.int64)
-    for r in routed.groupBy("cell").count().collect():  # at most max_cells rows
-        visits[r.cell] = r["count"]
+    for r in routed.groupBy("unit").count().collect():  # at most max_cells rows
+        visits[r.unit] = r["count"]
     slices = np.maximum(1, -(-visits // query_rows))
-    in_slice = F.pmod(F.xxhash64("q"), F.element_at(_literal(slices), F.col("cell") + 1)).cast("int")
-    each = lambda counts, name: F.explode(F.sequence(F.lit(0), F.element_at(_literal(counts), F.col("cell") + 1) - 1)).alias(name)
-    left = routed.withColumn("slice", in_slice).select("q", "v", "cell", "slice", each(index.blocks, "block"))
-    right = index.table.select(F.col("v").alias("c"), "ids", "cell", "block", each(slices, "slice"))
+    in_slice = F.pmod(F.xxhash64("q"), _of(slices, "unit")).cast("int")
+    each = lambda counts, name: F.explode(F.sequence(F.lit(0), _of(counts, "unit") - 1)).alias(name)
+    left = routed.withColumn("slice", in_slice).select("q", "v", "cells", "unit", "slice", each(index.blocks, "block"))
+    right = index.table.select(F.col("v").alias("c"), "ids", "cell", "unit", "block", each(slices, "slice"))
 
     def meet(_, a: pa.Table, b: pa.Table) -> pa.Table:
         out_q, out_id, out_score = [], [], []
         if a.num_rows and b.num_rows:
-            q, ids = a.column("q").to_pylist(), b.column("ids").to_pylist()
-            for i, near, scores in best_of(_matrix(a.column("v"), dims), _matrix(b.column("c"), dims), k + 1):
+            q, ids, cell = a.column("q").to_pylist(), b.column("ids").to_pylist(), b.column("cell").to_numpy()
+            visits = np.zeros((len(q), len(index_units)), bool)
+            for i, cells in enumerate(a.column("cells").to_pylist()):
+                visits[i, cells] = True
+            for i, near, scores in best_of(_matrix(a.column("v"), dims), _matrix(b.column("c"), dims), k + 1, visits[:, cell]):
                 own = sorted(((-s, x is None, x) for j, s in zip(near, scores) for x in ids[j]), key=lambda y: (y[0], y[1], y[2] or 0))[: k + 1]
                 out_q += [q[i]] * len(own)
                 out_id += [x for _, _, x in own]
                 out_score += [-s for s, _, _ in own]
         return pa.table({"q": pa.array(out_q, pa.int64()), "id": pa.array(out_id, b.schema.field("ids").type.value_type), "score": pa.array(out_score, pa.float64())})
 
-    keys = ["cell", "block", "slice"]
+    keys = ["unit", "block", "slice"]
     met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, f"q bigint, id {kind}, score double")
     order = Window.partitionBy("q").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last())
     top = met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k + 1)
