@@ -237,7 +237,7 @@ def align_tokens(
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
-    bundle_chars: int = 1_000_000,
+    bundle_chars: int = 250_000,
     remember: int = 100_000,
     folder: str | None = None,
 ) -> DataFrame:
@@ -253,7 +253,7 @@ def align_tokens(
 
     1. Whole texts are encoded, and documents split into windows at anchors: shared ends
        before tokens that begin with a space. A window's groups are remembered by its ids; a
-       worker that knows more than ``remember`` windows begins anew. Some documents with
+       task that knows more than ``remember`` windows begins anew. Some documents with
        together about ``bundle_chars`` characters make a bundle, whose links are stored as
        places among its distinct pairs.
     2. Pairs are counted over all bundles; a pair counts once a bundle with its links, so a
@@ -291,6 +291,7 @@ def align_tokens(
                 size += len(text) + 64
         if ids:
             yield row()
+        tokens.forget()  # the worker may stay, idle, while others need its memory
 
     # The number is fixed when the bundles are written.
     bundled = stored(given.mapInArrow(bundles, made).withColumn("bundle", F.monotonically_increasing_id()), f"{folder}/bundles")
