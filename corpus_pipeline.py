@@ -67,7 +67,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in sequences of 4096."""
-    return pack(docs, Encoder(public_tokenizers.path("word_bpe_49k.json"), by_word=True))
+    return pack(docs, Encoder(public_tokenizers.path("word_bpe_49k.json"), by_word=True, lowered=True))
 
 
 STAGES = [

@@ -14,7 +14,7 @@ DOCS = "doc_id bigint, text string, id string, length bigint, width int, digest
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 QUICK = Tokenizer(BYTES, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-BY_WORD = Encoder(WORDS, by_word=True, remember=50)
+BY_WORD = Encoder(WORDS, by_word=True, remember=50, lowered=True)
 LATIN = st.characters(max_codepoint=0x24F)
 LETTERS = st.text(st.sampled_from(list("aBsStTvVeErRmMlLdD'’\"0123.,<|>#$%ÀßÞþÿ×÷µª²\u00ad")), max_size=14)
 PIECES = st.one_of(
@@ -151,6 +151,23 @@ def test_patterns_use_up_the_demand(pieces):
     assert need <= sum(times for _, times in patterns) <= 2 * need + 1
 
 
+@pytest.mark.parametrize(
+    "room,widths,demand,prices",
+    [
+        # Prices at which no pattern is worth more than one sequence: what they make of the demand is needed by any plan.
+        (20, [2, 6, 7, 10, 11, 13], [91275, 50363, 60663, 97074, 72949, 63227], [0, 0, 0, 0.5, 1, 1]),
+        (256, [5, 90, 130, 200], [10**7] * 4, [0, 0, 1, 1]),
+        (10, [1, 2, 5, 7], [999_983, 500_001, 70_001, 123_457], [0.1, 0.2, 0.5, 0.7]),
+        (12, [4, 5, 7], [30_000, 60_000, 60_000], [1 / 3, 1 / 3, 2 / 3]),
+    ],
+)
+def test_patterns_are_optimal(room, widths, demand, prices):
+    widths, demand, prices = np.array(widths), np.array(demand, float), np.array(prices)
+    assert best_pattern(widths, prices, room)[0] <= 1 + 1e-9
+    need, total = float(prices @ demand), sum(times for _, times in cutting_stock(widths, demand, room))
+    assert need - 1e-6 <= total <= need * (1 + 1e-4) + len(widths) + 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 12), st.integers(0, 1000).map(lambda n: n / 1000)), min_size=1, max_size=4, unique_by=lambda t: t[0]))
 def test_knapsack_equals_exhaustive_search(items):

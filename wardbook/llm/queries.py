@@ -46,7 +46,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoder = Encoder(public_tokenizers.path("word_bpe_49k.json"), by_word=True)
+    encoder = Encoder(public_tokenizers.path("word_bpe_49k.json"), by_word=True, lowered=True)
     return pack(read(spark, sf_dir, "documents"), encoder)
 
 
