@@ -4,7 +4,9 @@ import duckdb
 import pytest
 
 from wardbook.llm import exact_dedup as xd
-from wardbook.llm.exact_dedup import directory, exact_dedup
+from pyspark.sql import functions as F
+
+from wardbook.llm.exact_dedup import directory, exact_dedup, owned
 from wardbook.llm.line_dedup import remove_repeated_lines
 
 DOCS = "doc_id bigint, text string, id string, t string, n bigint, key bigint, place int"
@@ -51,6 +53,37 @@ def test_directory_splits_only_what_overflows(spark, capacity):
             assert sum(s >> (9 - depth) == bucket >> 1 for s in own) > capacity
 
 
+def test_a_bucket_has_one_owner(spark, conf):
+    """Owners' tasks hold whole buckets, none with more keys than its capacity, and chain by key."""
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    texts = spark.range(3000).select(F.col("id").alias("keep"), F.concat(F.lit("text "), (F.col("id") % 2900).cast("string"), F.lit(" "), F.col("id").cast("string")).alias("t"), (F.col("id") % 2900).alias("n"))
+    texts = texts.withColumn("key", F.xxhash64("n")).drop("n")  # a hundred keys have two texts
+    slots = directory(texts.select("key").distinct(), capacity=100, max_depth=9)
+    rows = owned(texts, slots, max_depth=9).withColumn("task", F.spark_partition_id()).collect()
+    assert len(rows) == 3000 and len({r.task for r in rows}) == 8
+    by_bucket, by_key = {}, {}
+    for r in rows:
+        by_bucket.setdefault((r.depth, r.bucket), set()).add((r.task, r.key))
+        by_key.setdefault(r.key, []).append((r.chain, -r.keep))
+    assert len(by_bucket) > 20
+    assert all(len({task for task, _ in own}) == 1 and len(own) <= 100 for own in by_bucket.values())
+    assert all([c for c, _ in sorted(v)] == list(range(len(v))) and sorted(v) == sorted(v, key=lambda x: x[1]) for v in by_key.values())
+    # No bucket is split between owners that have other buckets in between.
+    order = sorted((b << (9 - d), next(iter(own))[0]) for (d, b), own in by_bucket.items())
+    assert [task for _, task in order] == sorted(task for _, task in order)
+
+
+def test_depth_follows_the_number_of_keys(spark, tmp_path):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    for capacity, least in ((4096, 1), (50, 20)):
+        got = exact_dedup(docs, capacity=capacity, folder=str(tmp_path / str(capacity)))
+        assert got.count() == 2000 and got.filter("kept").count() == 2000
+        slots = spark.read.parquet(f"{tmp_path}/{capacity}/directory")
+        assert slots.select("depth", "bucket").distinct().count() >= least
+        held = spark.read.parquet(f"{tmp_path}/{capacity}/index").groupBy("depth", "bucket").count()
+        assert held.filter(F.col("count") > capacity).count() == 0
+
+
 def plain_lines(rows, size=3):
     first, out = {}, {}
     for d, text in sorted(rows, key=lambda r: r[0]):

@@ -27,7 +27,7 @@ def directory(keys: DataFrame, *, capacity: int, max_depth: int) -> DataFrame:
     holds more than ``capacity`` keys it is split and the directory doubles by one bit,
     down to ``max_depth`` bits. ``slot`` is the prefix of ``max_depth`` bits, ``depth`` the
     number of bits that its bucket uses. At most ``2 ** max_depth`` rows, whatever the
-    input; beyond that depth buckets chain. No keys, no rows.
+    input; beyond that depth a bucket holds more. No keys, no rows.
     """
     filled = keys.groupBy(_bits("key", max_depth).alias("slot")).agg(F.count("*").alias("n"))
     doubled = filled.select("*", F.explode(F.sequence(F.lit(0), F.lit(max_depth))).alias("depth")).withColumn(
@@ -35,18 +35,31 @@ def directory(keys: DataFrame, *, capacity: int, max_depth: int) -> DataFrame:
     )
     holds = doubled.groupBy("depth", "bucket").agg(F.sum("n").alias("n"))
     fits = holds.filter((F.col("n") <= capacity) | (F.col("depth") == max_depth)).select("depth", "bucket")
-    # Fewer than 2 ** (max_depth + 1) rows of 12 bytes.
-    leaf = doubled.join(F.broadcast(fits), ["depth", "bucket"]).groupBy("slot").agg(F.min(F.struct("depth", "bucket")).alias("leaf"))
+    leaf = doubled.join(fits, ["depth", "bucket"]).groupBy("slot").agg(F.min(F.struct("depth", "bucket")).alias("leaf"))
     return leaf.select("slot", "leaf.depth", "leaf.bucket")
 
 
+def owned(texts: DataFrame, slots: DataFrame, *, max_depth: int) -> DataFrame:
+    """Distinct (``key``, ``t``) with their bucket, dealt to owner tasks, and their place in the key's chain.
+
+    Owners have ranges of the key space that begin and end with a bucket (``first``, its
+    smallest slot), so one owner sees all of a bucket. There it chains different texts with
+    one key, 0 first. What follows by key needs no other shuffle.
+    """
+    at = texts.withColumn("slot", _bits("key", max_depth)).join(slots.withColumnRenamed("slot", "_slot"), F.col("slot") == F.col("_slot"))
+    first = F.call_function("shiftleft", F.col("bucket"), F.lit(max_depth) - F.col("depth"))
+    routed = at.withColumn("first", first).drop("slot", "_slot").repartitionByRange("first")
+    chain = Window.partitionBy("first", "key").orderBy(F.col("keep").desc_nulls_last(), "t")
+    return routed.withColumn("chain", F.row_number().over(chain) - 1)
+
+
 def exact_dedup(
     docs: DataFrame,
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
     capacity: int = 4096,
-    max_depth: int = 14,
+    spare_bits: int = 4,
     folder: str | None = None,
 ) -> DataFrame:
     """Which row stays of those with the same text.
@@ -56,12 +69,15 @@ def exact_dedup(
     among different texts with the same key, 0 first).
 
     1. Keys (64-bit hash of the text) are aggregated before their shuffle to one entry
-       each and written as index files, ordered by bucket; ``directory`` says which bucket.
-    2. The buckets only lay out the index; what follows goes by key. Only texts whose key
-       has several rows are read again; within a key they are grouped by their bytes, so a collision makes a chain
-       and never merges two texts.
-    3. Every row looks its group up. Lookups are plain equi-joins whose document side
-       may be split at run time where a text is hot.
+       each. ``directory`` splits them into buckets of at most ``capacity`` keys; its depth
+       follows their number, with ``spare_bits`` for buckets that fill unevenly. Entries are
+       written as index files in ranges of buckets.
+    2. Only texts whose key has several rows are read again. Copies meet in an aggregate,
+       compared byte by byte and combined before the shuffle, so a hot text is one row; what
+       is left goes to the owner of its bucket, which chains texts that share a key.
+       A collision makes a chain and never merges two texts.
+    3. Every row looks its group up by key and bytes, in joins whose document side may be
+       split at run time where a text is hot.
 
     Null text counts as empty. Rows with equal id and text are one document: they share
     ``kept``. A null id is never ``keep_id`` unless the whole group has none; such a group
@@ -75,9 +91,9 @@ def exact_dedup(
 
     entries = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("top"))
     entries = stored(entries, f"{folder}/entries")
-    slots = directory(entries, capacity=capacity, max_depth=max_depth)
-    # The directory is bounded by 2 ** max_depth rows of 20 bytes.
-    placed = entries.withColumn("slot", _bits("key", max_depth)).join(F.broadcast(slots), "slot")
+    max_depth = max(1, (entries.count() // capacity).bit_length() + spare_bits)
+    slots = stored(directory(entries, capacity=capacity, max_depth=max_depth), f"{folder}/directory")
+    placed = entries.withColumn("_slot", _bits("key", max_depth)).join(slots, F.col("_slot") == F.col("slot"))
     index = stored(
         placed.select("bucket", "depth", "key", "n", "top").repartitionByRange("depth", "bucket", "key").sortWithinPartitions("depth", "bucket", "key"),
         f"{folder}/index",
@@ -87,17 +103,14 @@ def exact_dedup(
     shared = index.filter("n > 1").select("key").hint("merge")
     colliding = stored(rows.join(shared, "key", "left_semi").select("id", "key", "t"), f"{folder}/colliding")
     groups = colliding.groupBy("key", "t").agg(F.count("*").alias("size"), F.max("id").alias("keep"))
-    # Texts with one key: one row each, so a chain is as long as there are collisions.
-    chain = Window.partitionBy("key").orderBy(F.col("keep").desc_nulls_last(), "t")
-    groups = stored(groups.withColumn("chain", F.row_number().over(chain) - 1), f"{folder}/groups")
+    # Stored first: ranges are found from a sample, which would compute the groups twice.
+    groups = stored(owned(stored(groups, f"{folder}/groups"), slots, max_depth=max_depth), f"{folder}/chains")
 
     slim = rows.select("id", "key", F.sha2("t", 256).alias("sha"))
     alone = slim.join(index.filter("n = 1").select("key", "bucket"), "key").select(
         "id", F.col("id").alias("keep"), F.lit(1).cast("bigint").alias("size"), "sha", "bucket", F.lit(0).alias("chain")
     )
-    members = groups.join(index.select("key", "bucket"), "key").select(
-        F.col("key").alias("k"), F.col("t").alias("same"), "size", "keep", "chain", "bucket"
-    )
+    members = groups.select(F.col("key").alias("k"), F.col("t").alias("same"), "size", "keep", "chain", "bucket")
     # Both key and bytes are compared.
     found = colliding.join(members, (F.col("key") == F.col("k")) & (F.col("t") == F.col("same"))).select(
         "id", "keep", "size", F.sha2("t", 256).alias("sha"), "bucket", "chain"
