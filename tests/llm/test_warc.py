@@ -5,7 +5,7 @@ import hashlib
 from hypothesis import given, settings, strategies as st
 
 from wardbook.llm.common import read, run_folder
-from wardbook.llm.warc import END, Reader, archive_captures, merge, record, url_key
+from wardbook.llm.warc import CAPTURES, END, Reader, archive_captures, merge, merge_index, record, url_key
 
 PAGES = "page_id bigint, url string, html string, key string, captured string, archive string"
 NASTY = st.lists(st.sampled_from(["\r\n\r\n", "\r", "\n", "\r\n", "WARC/1.1", "é", "x", "", "\n\r\n\r"]), max_size=8).map("".join)
@@ -80,6 +80,31 @@ def test_history_of_urls_with_white_space(spark):
     assert history == sorted(history) and len(history) == len(urls)
 
 
+def test_ids_of_any_size(spark):
+    ids = [0, -1, 2**62, 2**63 - 1, -(2**63), 250_000_000_000, -(2**40), 5]
+    rows = [(i, f"http://h/{k % 2}", "same" if k % 3 else f"own {k}") for k, i in enumerate(ids)]
+    out = archive_captures(spark.createDataFrame([(*r, "k", "c", "a") for r in rows], PAGES))
+    assert said(out) == plain(rows)
+    found = [(r.url_key, r.captured, r.page_id) for r in out.orderBy("history_position").collect()]
+    assert found == sorted(found) and all(len(r[1]) == 20 for r in found)
+
+
+def test_runs_are_merged_in_passes(spark, conf):
+    """Far more runs than are merged at a time, in few tasks."""
+    conf("spark.sql.shuffle.partitions", "2")
+    found = [(i, 1, "d", "response", None, f"http://h/{i * 7919 % 11}", "2024-01-01T00:00:00Z", f"archive {i % 60:02d}") for i in range(900)]
+    found.sort(key=lambda r: (r[7], f"h)/{r[5].rpartition('/')[2]}", r[0]))
+    captures = spark.createDataFrame([(*r, at) for at, r in enumerate(found)], CAPTURES).repartition(5)
+    want = None
+    for options in ({"fan_in": 2, "block": 3}, {"fan_in": 7, "block": 64}, {}, {"task_rows": 100}):
+        out = merge_index(captures, **options)
+        found = [(r.url_key, r.captured, r.page_id) for r in out.orderBy("history_position").collect()]
+        assert found == sorted(found) and len(found) == 900
+        assert want is None or found == want
+        want = found
+    assert merge_index(captures, task_rows=100).rdd.getNumPartitions() == 9
+
+
 def test_url_keys(spark):
     urls = ["http://www.A.example.com/X?y=1#z", "https://a.b", "nothing", None]
     got = [r.k for r in spark.createDataFrame([(u,) for u in urls], "u string").select(url_key(__import__("pyspark").sql.functions.col("u")).alias("k")).collect()]

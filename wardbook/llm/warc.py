@@ -7,6 +7,7 @@ import hashlib
 import pickle
 import tempfile
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -20,6 +21,9 @@ END = "\r\n\r\n"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = "<urn:capture:{}>"
 
+# Seconds that captures without a time are spread over: from 2024 into the year 9945, so that dates have four-digit years.
+SPAN = 250_000_000_000
+
 
 def url_key(url: Column) -> Column:
     """Host read from its end, then path and query; what is no URL is its own key."""
@@ -137,7 +141,8 @@ def write_archives(
 ) -> None:
     """One archive per task, its records sorted by URL key and time: a capture run."""
     payload = F.coalesce(F.col(html_col), F.lit(""))
-    when = F.timestamp_seconds(F.lit(1_704_067_200) + F.coalesce(F.col(id_col), F.lit(0))) if time_col is None else F.col(time_col)
+    seconds = F.pmod(F.coalesce(F.col(id_col), F.lit(0)), F.lit(SPAN))
+    when = F.timestamp_seconds(F.lit(1_704_067_200) + seconds) if time_col is None else F.col(time_col)
     rows = pages.select(
         F.col(id_col).alias("page_id"), one_line(F.col(url_col)).alias("url"), payload.alias("html"),
         F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured"),
@@ -226,52 +231,63 @@ def merge(runs: Iterable[Iterator[tuple]]) -> Iterator[tuple]:
             node //= 2
 
 
-def merge_index(captures: DataFrame, *, block: int = 64) -> DataFrame:
+def merge_index(captures: DataFrame, *, block: int = 64, fan_in: int = 256, task_rows: int = 500_000) -> DataFrame:
     """Captures with ``url_key`` and ``history_position``, which numbers all of them in order
     of URL key, time and id.
 
     Every archive is a run in that order already. Tasks own ranges of the order, so even
-    one key that holds a third of all captures is spread; a task receives its part of each
-    run, run after run, lays them on its own disk in blocks and merges them with a block of
-    each in memory. A task's part of the order is numbered from its own start.
+    one key that holds a third of all captures is spread; there are as many as leave about
+    ``task_rows`` captures to each. A task receives its part of each run, run after run, lays
+    them on its own disk in blocks and merges ``fan_in`` runs at a time, with a block of each
+    in memory, into longer runs, until one pass takes them all. A task's part of the order
+    is numbered from its own start.
     """
     spark = captures.sparkSession
     keyed = captures.withColumn("url_key", url_key(F.col("url")))
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-captures.count() // task_rows))
     parts = keyed.repartitionByRange(tasks, "url_key", "captured", "page_id").sortWithinPartitions("archive", "position")
     names = keyed.columns
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, where = TaskContext.get().partitionId() << 33, {n: names.index(n) for n in ("archive", "url_key", "captured", "page_id")}
         with tempfile.TemporaryFile() as spool:
-            starts: list[list[int]] = []
-            last, held = None, []
 
-            def lay() -> None:
-                if held:
-                    starts[-1].append(spool.tell())
-                    pickle.dump(held, spool)
-                    held.clear()
+            def lay(rows: list[tuple]) -> int:
+                at = spool.seek(0, 2)
+                pickle.dump(rows, spool)
+                return at
+
+            def rows(blocks: list[int]) -> Iterator[_Row]:
+                for at in blocks:
+                    spool.seek(at)
+                    yield from map(_Row, pickle.load(spool))
 
+            runs: list[list[int]] = []
+            last, held = None, []
             for batch in batches:
                 for row in zip(*(c.to_pylist() for c in batch.columns)):
-                    if row[where["archive"]] != last:
-                        lay()
+                    if row[where["archive"]] != last or len(held) == block:
+                        if held:
+                            runs[-1].append(lay(held))
+                            held = []
+                        if row[where["archive"]] != last:
+                            runs.append([])
                         last = row[where["archive"]]
-                        starts.append([])
                     page = row[where["page_id"]]
                     held.append(((row[where["url_key"]], row[where["captured"]], page is not None, page or 0), row))
-                    if len(held) == block:
-                        lay()
-            lay()
-
-            def rows(blocks: list[int]) -> Iterator[tuple]:
-                for at in blocks:
-                    spool.seek(at)
-                    yield from pickle.load(spool)
+            if held:
+                runs[-1].append(lay(held))
+            while len(runs) > fan_in:
+                longer = []
+                for group in range(0, len(runs), fan_in):
+                    ordered = merge([rows(blocks) for blocks in runs[group : group + fan_in]])
+                    longer.append([])
+                    while part := [tuple(row) for row in islice(ordered, block)]:
+                        longer[-1].append(lay(part))
+                runs = longer
 
             out, count = [], 0
-            for _, row in merge([_keyed(rows(blocks)) for blocks in starts]):
+            for _, row in merge([rows(blocks) for blocks in runs]):
                 out.append((*row, base + count))
                 count += 1
                 if len(out) == 1024:
@@ -295,10 +311,6 @@ class _Row(tuple):
     __hash__ = None
 
 
-def _keyed(rows: Iterator[tuple]) -> Iterator[_Row]:
-    return map(_Row, rows)
-
-
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     schema = _schema().append(pa.field("url_key", pa.string())).append(pa.field("history_position", pa.int64()))
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
@@ -323,7 +335,8 @@ def archive_captures(
     ``captured``, ``archive``, ``position`` in the uncompressed archive, ``url_key`` and
     ``history_position`` in the merged capture history.
 
-    Without ``time_col`` a page's time is 2024-01-01 plus its id in seconds. Null html is
+    Without ``time_col`` a page's time is 2024-01-01 plus its id in seconds (its remainder by
+    ``SPAN``, for ids beyond or below zero). Null html is
     an empty payload, a null URL reads as an empty one, line ends in URLs are escaped. A
     null id refers to the smallest id of its payload, or is a response if there is none;
     rows that repeat the smallest id are all responses. Further columns are ignored; an
