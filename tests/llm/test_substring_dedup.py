@@ -133,3 +133,36 @@ def test_owned_repeats(text, seed, block):
     starts = np.flatnonzero(owned).tolist()
     strings = [data[i : i + 8].tobytes() for i in starts]
     assert {i for i, s in zip(starts, strings) if strings.count(s) > 1} == set(np.flatnonzero(got).tolist())
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "ab", "abc", "é", "x" * 50]), max_size=60).map("".join), st.integers(1, 40))
+def test_collapsed_runs_say_what_all_runs_say(text, times):
+    """The same groups of equal bytes with as many copies, and all bytes of groups with several covered."""
+    raw = (text * times).encode()
+    first, number, h = sd.anchored(raw, 200)
+    every = {}
+    for a, n, x in zip(first.tolist(), number.tolist(), h.tolist()):
+        every.setdefault((x, raw[a : a + n + 199]), []).append((a, a + n + 199))
+    rows = sd.collapsed(raw, 200).tolist()
+    assert {(x, raw[a : a + n + 199]): m for a, n, x, _, m in rows if m} == {k: len(v) for k, v in every.items()}
+    covered, said = np.zeros(len(raw), bool), np.zeros(len(raw), bool)
+    for own in every.values():
+        for a, b in own if len(own) > 1 else []:
+            covered[a:b] = True
+    for a, n, x, c, m in rows:
+        if not m:
+            said[a : a + n + 199] = True
+            assert any(x == y and c == k for _, _, y, k, many in rows if many > 1)
+    assert (covered == said).all()
+
+
+def test_very_long_repetitive_texts(spark):
+    """One repeated character, or passage, gives a few rows, not one for each byte."""
+    passage = "".join(map(chr, np.random.default_rng(4).integers(97, 123, 777)))
+    texts = {1: " " * 12_000_000, 2: "ab" * 2_000_000, 3: passage * 3000, 4: passage[:150]}
+    for text in texts.values():
+        assert len(sd.collapsed(text.encode(), 200)) < 100
+    docs = spark.createDataFrame([(k, t, "a", "b", 1, 2, "c") for k, t in texts.items()], DOCS)
+    got = dict(found(remove_repeats(docs)))
+    assert {k: v[1] for k, v in got.items()} == {1: 12_000_000, 2: 4_000_000, 3: 3000 * 777, 4: 0}

@@ -46,14 +46,11 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchored(text: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of starts of ``size``-byte strings that share their anchor: (first, number, anchor hash).
+def _pieces(text: bytes, size: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Runs of starts that share their anchor, ``PIECE`` starts at a time: (first, number, anchor hash, sum of their bytes).
 
-    The anchor is the string's ``GRAM`` bytes with the smallest hash, the leftmost of equal
-    ones. It depends on the string alone, so equal strings have equal anchors wherever they
-    are, and every start belongs to one run.
+    The sum is of all bytes that a run covers, weighed by place: equal bytes have equal sums.
     """
-    found = []
     power, inverse = _powers()
     every = np.frombuffer(text, np.uint8)
     for begin in range(0, len(every) - size + 1, PIECE):
@@ -68,10 +65,55 @@ def anchored(text: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
         place = np.arange(len(h), dtype=np.uint64)
         anchor = (_sliding_least((h & ~_PLACE) | place, size - GRAM + 1) & _PLACE).astype(np.int64)
         first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-        found.append((first + begin, np.diff(np.append(first, len(anchor))), h[anchor[first]].view(np.int64)))
-    if not found:
-        return tuple(np.zeros(0, np.int64) for _ in range(3))
-    return tuple(np.concatenate(c) for c in zip(*found))
+        number = np.diff(np.append(first, len(anchor)))
+        covered = (sums[first + number + size - 1] - sums[first]) * power[first]
+        yield first + begin, number, h[anchor[first]].view(np.int64), covered
+
+
+def anchored(text: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of starts of ``size``-byte strings that share their anchor: (first, number, anchor hash).
+
+    The anchor is the string's ``GRAM`` bytes with the smallest hash, the leftmost of equal
+    ones. It depends on the string alone, so equal strings have equal anchors wherever they
+    are, and every start belongs to one run.
+    """
+    found = [piece[:3] for piece in _pieces(text, size)]
+    return tuple(np.concatenate(c) for c in zip(*found)) if found else tuple(np.zeros(0, np.int64) for _ in range(3))
+
+
+def collapsed(text: bytes, size: int) -> np.ndarray:
+    """Runs by their bytes, in rows (first, number, anchor hash, hash of the bytes, copies).
+
+    Runs of a piece with equal bytes are one row, the first of them, with the number of
+    copies; where there are several, rows without copies (0) say what they cover together:
+    (first, bytes less ``size`` - 1, …). So a text of one repeated character gives two rows
+    for a piece, not one for each byte. Bytes are compared, not only their sums.
+    """
+    rows = []
+    for first, number, h, covered in _pieces(text, size):
+        key = (h.view(np.uint64) ^ (h.view(np.uint64) >> np.uint64(31))) * np.uint64(_BASE) + covered + number.astype(np.uint64)
+        _, one, same, many = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+        copies, stands = np.ones(len(first), np.int64), np.arange(len(first))
+        if len(one) < len(first):
+            ends = first + number + (size - 1)
+            twice = np.flatnonzero(many[same] > 1)
+            originals = one[same[twice]]
+            kept = {k: text[first[k] : ends[k]] for k in np.unique(originals).tolist()}
+            alike = [text[a:b] == kept[k] for a, b, k in zip(first[twice].tolist(), ends[twice].tolist(), originals.tolist())]
+            stands[twice] = np.where(alike, originals, twice)
+            copies = np.bincount(stands, minlength=len(first))
+            in_group = copies[stands] > 1
+            low, high, owner = first[in_group], ends[in_group], stands[in_group]
+            if len(low):
+                begin = np.flatnonzero(np.append(True, low[1:] > high[:-1]))
+                reach = np.append(high[begin[1:] - 1], high[-1])
+                none, group = np.zeros(len(begin), np.int64), owner[begin]
+                hashes = [_context_hash(kept[k]) for k in group.tolist()]
+                rows.append(np.column_stack([low[begin], reach - low[begin] - (size - 1), h[group], np.array(hashes, np.int64), none]))
+        mine = np.flatnonzero(copies)
+        hashes = [_context_hash(text[a : a + n + size - 1]) for a, n in zip(first[mine].tolist(), number[mine].tolist())]
+        rows.append(np.column_stack([first[mine], number[mine], h[mine], np.array(hashes, np.int64), copies[mine]]))
+    return np.concatenate(rows) if rows else np.zeros((0, 5), np.int64)
 
 
 def _context_hash(context: bytes) -> int:
@@ -85,28 +127,21 @@ def _string_hashes(context: bytes, size: int) -> np.ndarray:
 
 
 def _anchors(docs: DataFrame, size: int) -> DataFrame:
-    """(id, at, n, h, c): runs of string starts by anchor, and a hash of all bytes they cover."""
+    """(id, at, n, h, c, m): runs of string starts by anchor, a hash of all bytes they cover, and their copies."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lot in range(0, batch.num_rows, 128):
                 part = batch.slice(lot, 128)
-                owner, columns = [], []
-                for k, value in enumerate(part.column(1)):
-                    text = (value.as_py() or "").encode("utf-8", "replace")
-                    at, n, h = anchored(text, size)
-                    ends = (at + n + (size - 1)).tolist()
-                    c = np.array([_context_hash(text[a:b]) for a, b in zip(at.tolist(), ends)], np.int64)
-                    owner.append(np.full(len(at), k))
-                    columns.append((at, n, h, c))
-                at, n, h, c = (np.concatenate(x) for x in zip(*columns))
-                ids = part.column(0).take(pa.array(np.concatenate(owner)))
+                rows = [collapsed((value.as_py() or "").encode("utf-8", "replace"), size) for value in part.column(1)]
+                ids = part.column(0).take(pa.array(np.repeat(np.arange(len(rows)), [len(r) for r in rows])))
+                at, n, h, c, m = (np.ascontiguousarray(column) for column in np.concatenate(rows).T)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(at.astype(np.int64)), pa.array(n.astype(np.int32)), pa.array(h), pa.array(c)], ["id", "at", "n", "h", "c"]
+                    [ids, pa.array(at), pa.array(n.astype(np.int32)), pa.array(h), pa.array(c), pa.array(m)], ["id", "at", "n", "h", "c", "m"]
                 )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(find, f"id {kind}, at bigint, n int, h bigint, c bigint")
+    return docs.mapInArrow(find, f"id {kind}, at bigint, n int, h bigint, c bigint, m bigint")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -260,7 +295,7 @@ def remove_repeats(
     inside one document, are judged on the input, and may overlap.
 
     1. Every string has an anchor that depends on its bytes alone (``anchored``); starts
-       are taken in runs with one anchor. Only anchors that occur twice or more can hold
+       are taken in runs with one anchor, copies inside a text together (``collapsed``). Only anchors that occur twice or more can hold
        repeats: counts combine before their shuffle, and the join back is split at run time
        where an anchor is hot.
     2. Runs with the same anchor and the same bytes are repeats as they are, and one of
@@ -282,13 +317,13 @@ def remove_repeats(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     kind = rows.schema["id"].dataType.simpleString()
     anchors = _anchors(rows, size)
-    often = anchors.groupBy(F.col("h").alias("_h")).count().filter("count > 1").select("_h")
+    often = anchors.groupBy(F.col("h").alias("_h")).agg(F.sum("m").alias("times")).filter("times > 1").select("_h")
     # Stored, like what is joined below, so that joins read plain shuffles and split a hot anchor.
     often = _stored(often, f"{folder}/often")
     occurring = anchors.join(often.hint("merge"), F.col("h") == F.col("_h"), "left_semi")
     occurring = _stored(occurring, f"{folder}/occurring")
 
-    groups = occurring.groupBy("h", "c").agg(F.count("*").alias("copies"), F.min(F.struct("id", "at", "n")).alias("one"))
+    groups = occurring.filter("m > 0").groupBy("h", "c").agg(F.sum("m").alias("copies"), F.min(F.struct("id", "at", "n")).alias("one"))
     groups = _stored(groups.select("h", "c", "copies", "one.*"), f"{folder}/groups")
     mixed = groups.groupBy(F.col("h").alias("_h")).agg(F.count("*").alias("runs"), F.sum(F.col("n") + size).alias("bytes"))
     mixed = mixed.filter("runs > 1").select("_h", (F.col("bytes") > shard_bytes).alias("hot"))
@@ -309,6 +344,7 @@ def remove_repeats(
         partial = partial.union(_dealt_again(texts(True), size, kind, folder))
 
     copied = groups.filter("copies > 1").select(F.col("h").alias("_h"), F.col("c").alias("_c")).hint("merge")
+    # Rows without copies of their own cover several; their hashes are those of one of these.
     whole = occurring.join(copied, (F.col("h") == F.col("_h")) & (F.col("c") == F.col("_c")), "left_semi").select(
         "id", F.col("at").alias("low"), (F.col("at") + F.col("n") + (size - 1)).alias("high")
     )
