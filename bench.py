@@ -23,6 +23,7 @@ from tempfile import mkdtemp
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wardbook import queries as registered
+from wardbook.config import ENTITIES
 from wardbook.functions import safe_ratio
 from wardbook.operators import month_walk, rank_rate, registry_participants, same_vs_other
 from wardbook.plans import JOBS
@@ -59,6 +60,13 @@ OPERATORS = (
     "name_report",
     "ratio_of_sums",
     "ordered_report",
+    "period_match",
+    "period_overlap",
+    "missed_standard_runs",
+    "distinct_rollups",
+    "near_titles",
+    "rejected_rows",
+    "incremental_refresh",
 )
 
 
@@ -78,7 +86,11 @@ def median_of(build, runs: int = RUNS) -> float:
 
 def store_all(spark, folder: str) -> dict[str, float]:
     warehouse = adapter.warehouse(spark, SF_DIR, f"{folder}/inputs", replace(adapter.CFG, location=folder, max_months=MAX_MONTHS))
-    times = {}
+    start = time.perf_counter()
+    for entity in ENTITIES:
+        warehouse.source.shaped(entity)
+    # Shaping the driver's tables into inputs is no job's work.
+    times = {"input_shaping": round(time.perf_counter() - start, 3)}
     for key in JOBS:
         start = time.perf_counter()
         warehouse.publish([key])
@@ -118,8 +130,11 @@ def pairs(spark, scratch: str) -> dict:
     )
     same, other = F.col("c_nationkey") == F.col("s_nationkey"), F.col("c_nationkey") != F.col("s_nationkey")
 
+    elapsed = F.floor(F.months_between("l_shipdate", "o_orderdate"))
+    longest = spans.agg(F.max(elapsed).alias("m")).first().m
+
     def all_steps():
-        steps = F.explode(F.array(*[F.lit(n) for n in range(13)]))
+        steps = F.explode(F.array(*[F.lit(n) for n in range(longest + 1)]))
         return (
             spans.withColumn("n", steps)
             .filter("n <= floor(months_between(l_shipdate, o_orderdate)) AND o_orderdate <= l_shipdate")

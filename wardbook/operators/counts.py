@@ -173,7 +173,13 @@ def joined_distinct(df: DataFrame, keys: Sequence[str], col: str, sep: str, alia
     )
 
 
-def rollup_ratios(df: DataFrame, keys: Sequence[str], den: str, nums: Sequence[str], *, suffix: str = "_rate") -> DataFrame:
-    """Second-level sums with each numerator's share of the denominator as percent text."""
+def rollup_ratios(
+    df: DataFrame, keys: Sequence[str], den: str, nums: Sequence[str], *, suffix: str = "_rate", tidy: bool = False
+) -> DataFrame:
+    """Second-level sums with each numerator's share of the denominator as percent text.
+
+    By default ratios are rounded before they are scaled, as existing reports do, which
+    gives whole percents with the odd tail of a double; ``tidy`` scales first, to two digits.
+    """
     out = df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (den, *nums)])
-    return out.withColumns({c + suffix: percent_text(c, den, round_first=True) for c in nums})
+    return out.withColumns({c + suffix: percent_text(c, den, round_first=not tidy) for c in nums})

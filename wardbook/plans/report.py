@@ -32,12 +32,13 @@ def missed_standards(counts: DataFrame) -> DataFrame:
     return joined_distinct(counts.filter(F.col("is_standard") == 0), keys, "month", ";", "month_list")
 
 
-def title_quality(irregular: DataFrame) -> DataFrame:
+def title_quality(irregular: DataFrame, *, tidy: bool = False) -> DataFrame:
     return rollup_ratios(
         irregular,
         ["month", "hospital_id", "hospital_name"],
         "activity_count",
         ["standard_count", "single_activity_same_type_name_count", "different_activity_same_name_count"],
+        tidy=tidy,
     )
 
 

@@ -924,6 +924,19 @@ def _ratio_of_sums(t):
     return report.title_quality(_irregular(t))
 
 
+@entry(
+    "ratio_of_sums_tidy",
+    f"WITH {_IRREGULAR_SQL} SELECT month, hospital_id, hospital_name, sum(activity_count)::BIGINT AS activity_count, "
+    + ", ".join(
+        f"sum({c})::BIGINT AS {c}, CAST({ratio(f'(sum({c}) * 100)', 'sum(activity_count)')} AS VARCHAR) || '%' AS {c}_rate"
+        for c in _SHARES
+    )
+    + " FROM irregular GROUP BY 1, 2, 3",
+)
+def _ratio_of_sums_tidy(t):
+    return report.title_quality(_irregular(t), tidy=True)
+
+
 @entry(
     "ordered_report",
     f"""WITH {_TITLES_SQL} SELECT m AS activity_month, hid AS activity_hospital_id, mid AS activity_major_id,
