@@ -1,19 +1,46 @@
+import hashlib
 import zlib
 
 import corpus_pipeline as pipeline
 import numpy as np
 import public_tokenizers
-from brute import rule_stats, simhash_components
+from brute import WORD, rule_stats, simhash_components
 from test_dedup import plain_lines
+from test_mixing import chances, raked
+from test_quality_rules import plain_score
 from tokenizers import Tokenizer
 
 from wardbook.llm import quality_rules as qr
 from wardbook.llm.common import read
-from wardbook.llm.mixing import mix
 
 SF = "/root/testdata/sf0.001"
 
 
+def plain_sample(rows, budget_share, power=0.7, seed=17):
+    """Ids that mixing keeps: weights raked over arrays, probabilities, and a draw by MD5."""
+    cells = [(s or "(none)", lang or "(none)", "table" if "|" in t else "contact" if "@" in t else "prose") for _, t, s, lang in rows]
+    words = [len(WORD.findall(t)) for _, t, _, _ in rows]
+    names = [sorted(set(v)) for v in zip(*cells)]
+    tokens = np.zeros([len(n) for n in names])
+    for cell, n in zip(cells, words):
+        tokens[tuple(own.index(v) for own, v in zip(names, cell))] += n
+    targets = []
+    for axis in range(3):
+        held = tokens.sum(axis=tuple(a for a in range(3) if a != axis)) ** power
+        targets.append(held / held.sum())
+    with np.errstate(divide="ignore", invalid="ignore"):
+        there = tokens > 0
+        weight = raked(tokens, targets)
+        chance = np.ones_like(tokens)
+        chance[there] = chances(tokens[there], weight[there], budget_share * tokens.sum())
+    kept = set()
+    for (d, *_), cell in zip(rows, cells):
+        draw = int(hashlib.md5(f"{d}:{seed}".encode()).hexdigest()[:13], 16) / 2**52
+        if draw < chance[tuple(own.index(v) for own, v in zip(names, cell))]:
+            kept.add(d)
+    return kept
+
+
 def test_every_stage_against_plain_code(spark):
     docs = read(spark, SF, "documents")
     labels = read(spark, SF, "labels")
@@ -25,7 +52,7 @@ def test_every_stage_against_plain_code(spark):
     passing = {}
     for d, t in texts.items():
         n, _, _, _, rep = rule_stats(t)
-        score = model.forest.score(qr.features(np.array([qr.rule_stats(t)])))[0]
+        score = plain_score(model.forest, qr.features(np.array([qr.rule_stats(t)]))[0])
         if n >= 10 and 100 * rep <= 20 * n and score <= model.highest:
             passing[d] = t
     assert {r.doc_id: r.text for r in good.collect()} == passing
@@ -40,7 +67,7 @@ def test_every_stage_against_plain_code(spark):
     assert {r.doc_id for r in unique.collect()} == stays and unique.columns == docs.columns
 
     mixed = pipeline.mixing(spark, unique, SF).cache()
-    sampled = {r.doc_id for r in mix(unique, budget_share=pipeline.MIX_SHARE).filter("sampled").collect()}
+    sampled = plain_sample([(r.doc_id, want[r.doc_id], r.source, r.lang) for r in unique.collect()], pipeline.MIX_SHARE)
     assert {r.doc_id for r in mixed.collect()} == sampled and mixed.columns == docs.columns
     assert dict(mixed.dtypes) == dict(docs.dtypes)
 

@@ -40,6 +40,58 @@ def test_forest_path_lengths():
     assert far.min() > np.quantile(near, 0.99)
 
 
+def plain_score(forest, row):
+    """The anomaly of one row: every tree walked node by node, leaves found by pointing at themselves."""
+    total = 0.0
+    for t in range(len(forest.path)):
+        node, depth = 0, 0
+        while forest.left[t, node] != node:
+            node = forest.left[t, node] if row[forest.feature[t, node]] <= forest.threshold[t, node] else forest.right[t, node]
+            depth += 1
+        assert depth <= forest.path[t, node] <= depth + forest.scale + 1
+        total += forest.path[t, node]
+    return 2.0 ** (-total / len(forest.path) / forest.scale)
+
+
+def test_mean_paths_are_those_of_random_trees():
+    """The expected depth of an unsuccessful search, by its recurrence over all first cuts."""
+    exact = {0: 0.0, 1: 0.0}
+    for n in range(2, 200):
+        # A random cut leaves k of n on one side; a search goes to either in proportion.
+        exact[n] = 1 + sum((k * exact[k] + (n - k) * exact[n - k]) / n for k in range(1, n)) / (n - 1)
+    assert qr._mean_path(2) == exact[2] == 1
+    for n in (10, 50, 199):  # the harmonic numbers in it are approximate
+        assert abs(float(qr._mean_path(n)) - exact[n]) < 1.2 / n
+
+
+def test_scores_and_threshold_equal_plain_code(spark):
+    docs, labels = read(spark, SF, "documents"), read(spark, SF, "labels")
+    stats = qr.document_stats(docs)
+    model = qr.fit(stats, labels)
+    rows = {r.doc_id: r for r in qr.judged(stats, model).collect()}
+    score = {}
+    for d, r in rows.items():
+        words, chars, symbols, dup, rep, lines = (getattr(r, c) for c in qr.STATS)
+        rates = [symbols / chars if chars else 0.0, symbols / words if words else 0.0, dup / lines if lines else 0.0, rep / words if words else 0.0]
+        score[d] = plain_score(model.forest, rates)
+        assert abs(r.anomaly - score[d]) < 1e-9
+    worst = {}
+    for r in labels.collect():
+        if r.quality is not None and r.doc_id in rows and not rows[r.doc_id].base_failed:
+            worst[r.doc_id] = min(r.quality, worst.get(r.doc_id, 1))
+    good = sorted(score[d] for d, q in worst.items() if q > 0)
+    bad = sorted(score[d] for d, q in worst.items() if q == 0)
+
+    def gain(cut):
+        lost, caught = sum(s > cut for s in good) / len(good), sum(s > cut for s in bad) / len(bad)
+        return caught - lost if lost <= 0.005 else -1.0
+
+    best = max(gain(k / qr.BINS) for k in range(qr.BINS + 1))
+    assert abs(gain(model.highest) - best) < 1e-9 and best > 0
+    for d, r in rows.items():
+        assert r.kept == (not r.base_failed and score[d] <= model.highest)
+
+
 def test_odd_rows(spark):
     text = "one two three four five six seven eight nine ten"
     docs = spark.createDataFrame(
