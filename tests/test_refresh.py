@@ -14,8 +14,9 @@ from pyspark.sql import functions as F, types as T
 from wardbook.config import Site, WarehouseConfig
 from wardbook.functions.pseudonyms import field_key, pseudonym
 from wardbook.operators.titles import bigrams, near_titles, words
-from wardbook.plans import detail
-from wardbook.sources import FrameSource, INPUTS, TableSpec
+from wardbook.plans import Warehouse, detail
+from wardbook.plans.incremental import refresh_years
+from wardbook.sources import INPUTS, OUTPUTS, FrameSource, TableSpec, standards_dictionary
 from wardbook.sources.audit import audit
 from wardbook.sources.drift import harmonise, widest
 from wardbook.sources.partitioned import YEAR, by_year_name, changed_years, digests, publish_by_year, read_since, refresh_changed
@@ -249,3 +250,35 @@ def test_titles_that_share_a_hot_word(spark, conf):
     assert got.count() == 0
     loose = near_titles(df.filter("title LIKE 'hot%'"), ["g"], "title", percent=33)
     assert loose.count() == 1000 * 999 // 2
+
+
+# ---- jobs year by year ----
+
+
+def test_jobs_are_refreshed_for_changed_years_only(spark, tmp_path):
+    make = lambda entity, data: spark.createDataFrame(data, INPUTS[entity])
+    frames = {e: {s: make(e, d) for s, d in by.items()} for e, by in domain.SITE_ROWS.items()}
+    databases = {layer: f"wardbook_yearly_{layer}" for layer in ("ods", "dim", "dwd", "dws", "ads")}
+    cfg = replace(WarehouseConfig(), databases=databases, location=str(tmp_path))
+
+    def warehouse(sheets):
+        source = FrameSource(cfg, {**frames, "sheet": sheets}, make("admissions", domain.ADMISSIONS), make("rotations", domain.ROTATIONS), standards_dictionary(spark))
+        return Warehouse(spark, cfg, source, from_catalog=False)
+
+    first = sorted(refresh_years(warehouse(frames["sheet"])), key=str)
+    assert 2019 in first and 2020 in first
+    assert refresh_years(warehouse(frames["sheet"])) == []
+    spec, db = OUTPUTS["t14"], databases["dws"]
+    before = files_by_year(spark.table(by_year_name(spec, db)))
+    gone = F.coalesce((F.year("starttime") == 2020) & (F.col("trainid") % 2 == 1), F.lit(False))
+    edited = {s: df.filter(~gone) for s, df in frames["sheet"].items()}
+    assert refresh_years(warehouse(edited)) == [2020]
+    after = files_by_year(spark.table(by_year_name(spec, db)))
+    assert before[2019] == after[2019]
+    assert before.get(2020) != after.get(2020)
+    full = warehouse(edited)
+    for key in ("t13", "t14", "t20", "t22", "t23", "t24"):
+        own = OUTPUTS[key]
+        assert Counter(map(tuple, spark.table(f"{databases[own.layer]}.{own.name}").collect())) == Counter(map(tuple, full.table(key).collect())), key
+    with pytest.raises(ValueError, match="t25"):
+        refresh_years(full, ["t14", "t25"])

@@ -6,27 +6,29 @@ result; expressions here get the session, the folder of inputs and a folder for
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import replace
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardbook.config import Site
+from wardbook.config import Site, WarehouseConfig
 from wardbook.functions import any_present, month_of, valid_key
 from wardbook.functions.pseudonyms import field_key
 from wardbook.operators.bitmaps import count_bitmaps, dense_ids, id_bitmaps
 from wardbook.operators.periods import match_in_period, overlapping
 from wardbook.operators.titles import near_titles
 from wardbook.plans import detail, summary
+from wardbook.plans.incremental import refresh_years
 from wardbook.queries import adapter
 from wardbook.queries.adapter import CFG, Tables
 from wardbook.queries.job_sql import _COHORT, month, with_chain
 from wardbook.queries.operator_queries import _PLACED_SQL, _acts, _counts_sql, _placed
-from wardbook.sources import TableSpec
+from wardbook.sources import OUTPUTS, TableSpec
 from wardbook.sources.audit import audit
 from wardbook.sources.drift import harmonise
-from wardbook.sources.partitioned import publish_by_year, read_since, refresh_changed
+from wardbook.sources.partitioned import by_year_name, publish_by_year, read_since, refresh_changed
 from wardbook.sources.schemas import schema
 
 Build = Callable[[SparkSession, str, str], DataFrame]
@@ -277,6 +279,51 @@ def _pruned_years(spark, sf_dir, folder):
     return read_since(spark, _ORDER_SPEC, "wardbook_pruned", time_col="o_orderdate", year=1997)
 
 
+_EDITED_SQL = """orders_edited AS (SELECT * REPLACE (CASE WHEN year(o_orderdate) = 1998 AND o_orderkey % 4 = 0 THEN 'F' ELSE o_orderstatus END AS o_orderstatus)
+  FROM orders WHERE NOT (year(o_orderdate) = 1997 AND o_orderkey % 3 = 0))"""
+
+
+def _edited_job(key: str, select: str) -> str:
+    """A job's SQL over edited orders."""
+    text = re.sub(r"\borders\b", "orders_edited", with_chain(select, key))
+    return f"WITH {_EDITED_SQL}, {text.strip().removeprefix('WITH ')}"
+
+
+def _refreshed(spark: SparkSession, sf_dir: str, folder: str, query: str) -> WarehouseConfig:
+    """Jobs refreshed from the driver's orders, then again after some were edited and others deleted."""
+    cfg = replace(CFG, databases={layer: f"wardbook_{query}_{layer}" for layer in CFG.databases}, location=f"{folder}/tables")
+    for key in ("t02", "t13", "t14", "t20", "t22", "t23", "t24"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {cfg.db(OUTPUTS[key].layer)}")
+        spark.sql(f"DROP TABLE IF EXISTS {by_year_name(OUTPUTS[key], cfg.db(OUTPUTS[key].layer))}")
+    for step in range(2):
+        w = adapter.warehouse(spark, sf_dir, f"{folder}/{step}", cfg)
+        if step:
+            given, year = w.source.tables, F.year("o_orderdate")
+            status = F.when((year == 1998) & (F.col("o_orderkey") % 4 == 0), "F").otherwise(F.col("o_orderstatus"))
+            kept = given("orders").filter(~((year == 1997) & (F.col("o_orderkey") % 3 == 0))).withColumn("o_orderstatus", status)
+            w.source.tables = lambda name: kept if name == "orders" else given(name)
+        refresh_years(w)
+    return cfg
+
+
+@report(
+    "incremental_counts",
+    _edited_job("t14", "SELECT hospital_id, major_id, major_name, activity_type_id, month, activity_count, is_standard FROM t14"),
+)
+def _incremental_counts(spark, sf_dir, folder):
+    cfg = _refreshed(spark, sf_dir, folder, "inc_counts")
+    spec = OUTPUTS["t14"]
+    columns = ("hospital_id", "major_id", "major_name", "activity_type_id", "month", "activity_count", "is_standard")
+    return spark.table(f"{cfg.db(spec.layer)}.{spec.name}").select(*columns)
+
+
+@report("incremental_overview", _edited_job("t13", "SELECT hospital_id, year, activity_count, student_count, sign_count, evaluation_count FROM t13"))
+def _incremental_overview(spark, sf_dir, folder):
+    cfg = _refreshed(spark, sf_dir, folder, "inc_overview")
+    spec = OUTPUTS["t13"]
+    return spark.table(f"{cfg.db(spec.layer)}.{spec.name}").select("hospital_id", "year", "activity_count", "student_count", "sign_count", "evaluation_count")
+
+
 # ---- rejected rows, drifting sites, personal data ----------------------------
 
 _SHEET = schema("trainid bigint, type_id int, major_id int, starts timestamp_ntz, ends timestamp_ntz")

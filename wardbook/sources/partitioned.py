@@ -18,17 +18,19 @@ def by_year_name(spec: TableSpec, db: str) -> str:
     return f"`{db}`.`{spec.name}__by_year`"
 
 
-def _labelled(df: DataFrame, spec: TableSpec, time_col: str) -> DataFrame:
-    return conform(df, spec.schema).withColumn(YEAR, F.year(time_col).cast("int"))
+def _labelled(df: DataFrame, spec: TableSpec, time_col: str | Column) -> DataFrame:
+    """With the year: that of a time, or what an expression gives."""
+    year = F.year(time_col) if isinstance(time_col, str) else time_col
+    return conform(df, spec.schema).withColumn(YEAR, year.cast("int"))
 
 
 def publish_by_year(
-    df: DataFrame, spec: TableSpec, db: str, *, time_col: str, years: Sequence[int | None] | None = None, location: str | None = None
+    df: DataFrame, spec: TableSpec, db: str, *, time_col: str | Column, years: Sequence[int | None] | None = None, location: str | None = None
 ) -> str:
     """Replace a table, or only some of its years; returns the name to read it by.
 
-    Rows lie in one folder for each year of ``time_col`` (NULL times in one of their own),
-    behind a view that has the declared columns in their declared order. With ``years`` only
+    Rows lie in one folder for each year of ``time_col``, a time or an expression that gives
+    the year (those without one in a folder of their own), behind a view that has the declared columns in their declared order. With ``years`` only
     rows of these years are taken from ``df``, and only their folders are written: those of
     other years, and readers of them, notice nothing. A listed year without rows goes. Rows
     per year are counted in the pass that writes them.
@@ -85,6 +87,11 @@ def read_since(spark: SparkSession, spec: TableSpec, db: str, *, time_col: str,
     return rows.select(*spec.schema.names)
 
 
+def read_years(spark: SparkSession, spec: TableSpec, db: str, years: Sequence[int | None]) -> DataFrame:
+    """The table's declared columns of some years alone."""
+    return spark.table(by_year_name(spec, db)).filter(_one_of(years)).select(*spec.schema.names)
+
+
 def digests(rows: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     """One row per group: how many rows it has, and two sums of their hashes that no order changes.
 
@@ -98,7 +105,7 @@ def digests(rows: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     return rows.groupBy(*grouped).agg(F.count("*").alias("rows"), wide("a").alias("first"), wide("b").alias("second"))
 
 
-def changed_years(df: DataFrame, spec: TableSpec, db: str, *, time_col: str) -> list[int | None]:
+def changed_years(df: DataFrame, spec: TableSpec, db: str, *, time_col: str | Column) -> list[int | None]:
     """Years whose rows differ from what is stored: edited, added, or gone altogether."""
     spark = df.sparkSession
     parts = by_year_name(spec, db)
@@ -110,7 +117,7 @@ def changed_years(df: DataFrame, spec: TableSpec, db: str, *, time_col: str) ->
     return [r[YEAR] for r in differs.select(YEAR).distinct().collect()]
 
 
-def refresh_changed(df: DataFrame, spec: TableSpec, db: str, *, time_col: str, location: str | None = None) -> list[int | None]:
+def refresh_changed(df: DataFrame, spec: TableSpec, db: str, *, time_col: str | Column, location: str | None = None) -> list[int | None]:
     """Bring a table up to date by writing only the years that changed; returns these."""
     years = changed_years(df, spec, db, time_col=time_col)
     if years or not df.sparkSession.catalog.tableExists(by_year_name(spec, db)):
