@@ -61,12 +61,7 @@ OPERATORS = (
     "ratio_of_sums",
     "ordered_report",
     "period_match",
-    "period_overlap",
     "missed_standard_runs",
-    "distinct_rollups",
-    "near_titles",
-    "rejected_rows",
-    "incremental_refresh",
 )
 
 
