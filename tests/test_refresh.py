@@ -13,7 +13,7 @@ from pyspark.sql import functions as F, types as T
 
 from wardbook.config import Site, WarehouseConfig
 from wardbook.functions.pseudonyms import field_key, pseudonym
-from wardbook.operators.titles import bigrams, near_titles, words
+from wardbook.operators.titles import bigrams, near_titles, title_index, words
 from wardbook.plans import Warehouse, detail
 from wardbook.plans.incremental import refresh_years
 from wardbook.sources import INPUTS, OUTPUTS, FrameSource, TableSpec, standards_dictionary
@@ -252,6 +252,30 @@ def test_titles_that_share_a_hot_word(spark, conf):
     assert loose.count() == 1000 * 999 // 2
 
 
+@pytest.mark.parametrize("percent", [60, 75, 80, 90])
+def test_near_titles_of_all_lengths_equal_brute_force(spark, percent):
+    rng = random.Random(percent)
+    rows = []
+    for size in range(1, 27):
+        base = rng.sample(range(40), size)
+        for _ in range(4):
+            kept = [w for w in base if rng.random() > 0.1 - percent / 1000] + rng.sample(range(40, 44), rng.randrange(2))
+            rows.append(("a", " ".join(f"w{w}" for w in kept)))
+    got = near_titles(spark.createDataFrame(rows, "g string, title string"), ["g"], "title", percent=percent)
+    want = near_by_hand(rows, percent, str.split)
+    assert len(want) > 10 and Counter(map(tuple, got.collect())) == want
+
+
+def test_titles_of_few_common_words_are_compared_with_near_ones_only(spark):
+    """Every word is common, and hardly any pair that shares the rarest ones is near."""
+    colour, kind, size, brand, place = (F.floor(F.col("id") / step) % of for step, of in ((1, 8), (8, 8), (64, 4), (256, 10), (2560, 2)))
+    titles = spark.range(5120).select(F.lit("g").alias("g"), F.concat_ws(" ", *[F.concat(F.lit(w), c) for w, c in zip("abcde", (colour, kind, size, brand, place))], F.lit("of"), F.lit("size")).alias("title"))
+    got = near_titles(titles, ["g"], "title", percent=75)
+    assert got.count() == 5120 * (7 + 7 + 3 + 9 + 1) // 2
+    index = title_index(titles, ["g"], "title", percent=75, tokens=words)
+    assert index.groupBy("_depth", "_token").count().agg(F.max("count")).first()[0] <= 16
+
+
 # ---- jobs year by year ----
 
 
