@@ -89,6 +89,18 @@ def test_join_keeping_left_equals_a_left_join(spark, seed):
     assert got.columns == ["i", "k", "n", "x", "y"] and rows(got) == want
 
 
+def test_join_keeping_left_shuffles_the_left_columns_alone_and_once(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    left = spark.range(0, 400, 1, 4).selectExpr("CAST(id % 9 AS STRING) AS a", "id % 5 AS b", "id AS n")
+    right = spark.range(0, 40, 1, 2).selectExpr("CAST(id % 7 AS STRING) AS x", "id % 3 AS y", "id AS m")
+    got = join_keeping_left(left, right, [("a", "x"), ("b", "y")], ["m"])
+    assert got.count() == left.join(right, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left").count()
+    got.collect()
+    logical = got._jdf.queryExecution().optimizedPlan().toString()
+    assert all("Join" in line for line in logical.splitlines() if "struct(" in line)
+    assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_join_keeping_left_on_one_frame_with_itself(spark):
     df = spark.createDataFrame([(1, 1), (2, 1), (3, None)], "id int, up int")
     got = join_keeping_left(df, df.withColumnRenamed("up", "parent"), [("up", "id")], ["parent"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardbook.operators.bitmaps import PIECE, count_bitmaps, dense_ids, id_bitmaps
 from wardbook.operators.linkage import one_person_per_rotation
-from wardbook.operators.periods import events_in_period, match_in_period, overlapping
+from wardbook.operators.periods import _spread, events_in_period, match_in_period, overlapping
 from wardbook.operators.runs import month_spine, shortfall_runs
 
 DAY0 = datetime(2024, 1, 1)
@@ -65,6 +65,45 @@ def test_overlapping_gives_every_pair_once(spark):
         assert Counter((r.id, r.other_id) for r in got.collect()) == want
 
 
+def test_long_periods_are_listed_as_briefly_as_short_ones(spark):
+    days = [0, 1, 29, 30, 31, 121, 500, 2000, 7000]
+    spans = spark.createDataFrame([(n,) for n in days], "n int").selectExpr(
+        "n", "TIMESTAMP_NTZ '1999-12-20 12:00:00' AS _from", "timestampadd(DAY, n, TIMESTAMP_NTZ '1999-12-20 12:00:00') AS _to"
+    )
+    listed = Counter(r.n for r in _spread(spans, 30).collect())
+    assert sorted(listed) == days and max(listed.values()) <= 2
+
+
+@pytest.mark.parametrize("days", [1, 30])
+def test_match_in_period_of_any_length_equals_brute_force(spark, days):
+    rng = random.Random(days)
+    day = lambda n: datetime(2000, 1, 1) + timedelta(days=n, hours=rng.randrange(24))
+    log = [(rng.choice("ab"), day(rng.randrange(9000)), n) for n in range(60)] + [(None, day(3), 90), ("a", None, 91)]
+    rows = []
+    for length in (0, 1, 5, 40, 130, 500, 2000, 8000, -3):
+        rows += [(rng.choice(["a", "b", "c", None]), t0 := day(rng.randrange(9000)), rng.choice([t0 + timedelta(days=length), t0 + timedelta(days=length), None])) for _ in range(8)]
+    rows += rows[:9]
+    want = Counter()
+    for who, t0, t1 in rows:
+        found = [e for p, at, e in log if p == who and who and at and t1 and t0 <= at <= t1]
+        want.update([(who, t0, t1, e) for e in found] or [(who, t0, t1, None)])
+    left = spark.createDataFrame(rows, "who string, t0 timestamp_ntz, t1 timestamp_ntz")
+    right = spark.createDataFrame(log, "person string, at timestamp_ntz, event int")
+    got = match_in_period(left, right, [("who", "person")], start="t0", end="t1", at="at", keep=["event"], days=days)
+    assert Counter(map(tuple, got.collect())) == want
+
+
+@pytest.mark.parametrize("kinds", [("int", "bigint"), ("double", "double")])
+def test_match_in_period_by_keys_of_other_or_inexact_types(spark, kinds):
+    left = spark.sql(f"SELECT CAST(k AS {kinds[0]}) AS who, DATE '2020-01-01' AS t0, DATE '2020-03-01' AS t1 FROM VALUES (1), (2) AS v(k)")
+    right = spark.sql(f"SELECT CAST(k AS {kinds[1]}) AS person, TIMESTAMP_NTZ '2020-02-01 10:00:00' AS at, 5 AS event FROM VALUES (1), (3) AS v(k)")
+    if kinds[0] == "double":  # zeros of both signs are equal
+        left, right = left.withColumn("who", F.col("who") * 0.0), right.withColumn("person", F.col("person") * -0.0)
+    got = match_in_period(left, right, [("who", "person")], start="t0", end="t1", at="at", keep=["event"])
+    want = [(0.0, 5)] * 4 if kinds[0] == "double" else [(1, 5), (2, None)]
+    assert sorted((r.who, r.event) for r in got.collect()) == want
+
+
 @pytest.mark.parametrize("hot_side", ["rows", "events"])
 def test_hot_bins_are_split(spark, conf, hot_side):
     """One person holds a third of all rows, all in one month."""

@@ -52,30 +52,38 @@ def left_join(left: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str])
     return left.join(side, cond, "left").drop(*_key_names(on))
 
 
+def _one_exact_type(mine: T.DataType, theirs: T.DataType) -> bool:
+    return mine == theirs and not isinstance(mine, T.FractionalType)
+
+
 def _check_types(left: DataFrame, right: DataFrame, on: Keys) -> None:
     """Hashes of equal values are equal only within one type, so both sides must agree on it."""
     for name, other in on:
         mine, theirs = left.schema[name].dataType, right.schema[other].dataType
-        if mine != theirs or isinstance(mine, T.FractionalType):
+        if not _one_exact_type(mine, theirs):
             raise TypeError(f"join keys {name} ({mine.simpleString()}) and {other} ({theirs.simpleString()}) need one exact type")
 
 
-def _as_key(cols: Sequence[str], side: str) -> list[Column]:
+def _as_key(cols: Sequence[Column]) -> list[Column]:
     """A key as its hash and a struct of its columns.
 
     Sorting for a merge join compares the hash first, which is a plain number, and
-    reaches for the struct only between equal hashes.
+    reaches for the struct only between equal hashes. Both are computed where they are
+    compared: rows are shuffled with their columns alone, not with a second copy of them.
     """
-    columns = [F.col(c) for c in cols]
-    struct = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)])
-    return [F.xxhash64(*columns).alias(f"_{side}_hash"), struct.alias(f"_{side}_key")]
+    return [F.xxhash64(*cols), F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])]
 
 
-_MATCH = [("_left_hash", "_right_hash"), ("_left_key", "_right_key")]
+def match_key(left: Sequence[str], right: Sequence[str]) -> Column:
+    """All pairs of columns agree, compared in the form of ``_as_key``."""
+    return reduce(and_, [a == b for a, b in zip(_as_key([F.col(c) for c in left]), _as_key([F.col(c) for c in right]))])
 
 
-def _matches() -> Column:
-    return reduce(and_, [F.col(a) == F.col(b) for a, b in _MATCH])
+def same_keys(left: DataFrame, right: DataFrame, on: Keys) -> Column:
+    """``match_key`` where it can tell, plain equality for keys of other or inexact types."""
+    if all(_one_exact_type(left.schema[a].dataType, right.schema[b].dataType) for a, b in on):
+        return match_key([a for a, _ in on], [b for _, b in on])
+    return reduce(and_, [F.col(a) == F.col(b) for a, b in on])
 
 
 def present(cols: Sequence[str]) -> Column:
@@ -83,13 +91,19 @@ def present(cols: Sequence[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in cols])
 
 
-def _distinct_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct non-NULL keys in the form ``_as_key`` gives the right side.
+def _distinct_keys(df: DataFrame, on: Keys) -> DataFrame:
+    """Distinct non-NULL keys of the right side under private names.
 
-    That form is made after the grouping, so a shuffled join on it has a shuffle of its
-    own on this side, which is what lets the run time split a hot key on the other side.
+    They are compared in the form of ``_as_key``, which is made after the grouping, so a
+    shuffled join on it has a shuffle of its own on this side, which is what lets the run
+    time split a hot key on the other side.
     """
-    return df.filter(present(cols)).select(*cols).distinct().select(*_as_key(cols, "right"))
+    keys = [r for _, r in on]
+    return df.filter(present(keys)).select(*[F.col(c).alias(name) for c, name in zip(keys, _key_names(on))]).distinct()
+
+
+def _on(on: Keys) -> Column:
+    return match_key([left for left, _ in on], _key_names(on))
 
 
 def join_keeping_left(left: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str]) -> DataFrame:
@@ -104,22 +118,21 @@ def join_keeping_left(left: DataFrame, right: DataFrame, on: Keys, keep: Sequenc
     both branches read one and the same shuffled left side.
     """
     _check_types(left, right, on)
-    keyed = left.select("*", *_as_key([name for name, _ in on], "left"))
-    found = _found(keyed, right, on, keep).select(*left.columns, *keep)
-    return found.union(_alone(keyed, right, on).select(*left.columns, *_nulls(right, keep)))
+    found = _found(left, right, on, keep).select(*left.columns, *keep)
+    return found.union(_alone(left, right, on).select(*left.columns, *_nulls(right, keep)))
 
 
-def _found(keyed: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str]) -> DataFrame:
-    """Matches of a left side that already carries its key."""
+def _found(left: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str]) -> DataFrame:
+    """Inner join whose hot keys can be split on either side; NULL keys match nothing."""
     keys = [r for _, r in on]
+    own = [F.col(c).alias(name) for c, name in zip(keys, _key_names(on))]
     values = [F.col(c).alias(f"_v{i}") for i, c in enumerate(keep)]
-    side = right.filter(present(keys)).select(*_as_key(keys, "right"), *values)
     renamed = [F.col(f"_v{i}").alias(c) for i, c in enumerate(keep)]
-    return keyed.join(side, _matches(), "inner").select(*keyed.columns, *renamed)
+    return left.join(right.filter(present(keys)).select(*own, *values), _on(on), "inner").select(*left.columns, *renamed)
 
 
-def _alone(keyed: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
-    return keyed.join(_distinct_keys(right, [r for _, r in on]), _matches(), "left_anti")
+def _alone(left: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
+    return left.join(_distinct_keys(right, on), _on(on), "left_anti")
 
 
 def _nulls(right: DataFrame, keep: Sequence[str]) -> list[Column]:
@@ -141,9 +154,8 @@ def registry_participants(
     weighs more than one row per map task.
     """
     _check_types(registry, participation, on)
-    present = _distinct_keys(participation.filter(F.col(role_col) == role), [r for _, r in on])
-    people = dedupe_rows(registry).select("*", *_as_key([name for name, _ in on], "left"))
-    return people.join(present, _matches(), "left_semi").select(*registry.columns)
+    present = _distinct_keys(participation.filter(F.col(role_col) == role), on)
+    return dedupe_rows(registry).join(present, _on(on), "left_semi")
 
 
 def participation_log(
@@ -171,8 +183,7 @@ def participation_log(
     )
     on = [(left, f"_r{i}") for i, (left, _) in enumerate(person_on)]
     _check_types(people, takes, on)
-    keyed = people.select("*", *_as_key([name for name, _ in on], "left"))
-    taken = _found(keyed, takes, on, list(extra)).select(*people.columns, *extra)
+    taken = _found(people, takes, on, list(extra))
     chain = [(f"_p{i}", r) for i, (_, r) in enumerate(activity_on)]
     # Activities are nearly unique by id: only the participations can be hot, and a left join splits those.
     log = left_join(taken, activities, chain, activity_cols).drop(*link)
@@ -180,7 +191,7 @@ def participation_log(
         return log
     # Nobody without a participation needs to be looked up among the activities.
     missing = [*_nulls(takes, list(participation_cols)), *_nulls(activities, activity_cols)]
-    return log.union(_alone(keyed, takes, on).select(*people.columns, *missing))
+    return log.union(_alone(people, takes, on).select(*people.columns, *missing))
 
 
 def population_events(population: DataFrame, events: DataFrame, on: Keys, keep: Sequence[str]) -> DataFrame:

@@ -14,12 +14,12 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardbook.operators.joins import Keys, present
+from wardbook.operators.joins import Keys, present, same_keys
 
 BIN_DAYS = 30
 
 
-def _bin(at: Column, days: int) -> Column:
+def _bin(at: Column, days: int | Column) -> Column:
     return F.floor(F.unix_date(at.cast("date")) / days).cast("int")
 
 
@@ -62,21 +62,56 @@ def match_in_period(
 ) -> DataFrame:
     """``events_in_period``, and rows without an event alone with NULLs: SQL's left join on ``BETWEEN``.
 
-    Equal rows share their events, so a row is its own key: those without an event are
-    found against the distinct rows that have one. For that, events shrink to their
-    distinct times first.
+    Which events fall into a row's period is a matter of its keys and period alone, so times
+    are looked up for distinct keys and periods, and travel without the values to keep. A
+    period is listed in the one or two bins of the narrowest width that is no shorter than
+    itself, a time in one bin of every width, so a long period costs no more rows than a
+    short one. Rows that can match nothing do not travel at all; the others travel by keys
+    and period to the times found, in joins whose hot keys can be split on either side.
     """
-    found = events_in_period(rows, events, on, start=start, end=end, at=at, keep=keep, days=days)
+    lefts, names = [left for left, _ in on], [*[f"_s{i}" for i in range(len(on))], "_from", "_to"]
+    usable = F.coalesce(present(lefts) & _valid(start, end), F.lit(False))
+    valid = rows.filter(usable)
+    spans = valid.select(*[F.col(c).alias(name) for c, name in zip([*lefts, start, end], names)]).distinct()
     times = _events(events, on, at, days, []).distinct()
-    own = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(rows.columns)])
-    having = _binned(rows, start, end, days).join(times, _falls_in(on, start, end), "left_semi")
-    having = having.select(F.xxhash64(*rows.columns).alias("_h"), own.alias("_own")).distinct()
-    keyed = rows.withColumns({"_hash": F.xxhash64(*rows.columns), "_row": own})
-    alone = keyed.join(having, (F.col("_hash") == F.col("_h")) & (F.col("_row") == F.col("_own")), "left_anti")
+    placed = [(f"_s{i}", f"_k{i}") for i in range(len(on))]
+    hits = _spread(spans, days).join(_times_by_width(times, len(on), days), _inside(placed)).select(*names, "_at")
+    same = same_keys(valid, hits, list(zip([*lefts, start, end], names)))
+    heard = valid.join(hits, same).select(*rows.columns, F.col("_at").alias("_heard"))
+    noted = _events(events, on, at, days, keep)
+    found = heard.join(noted, same_keys(heard, noted, [*((left, f"_k{i}") for i, left in enumerate(lefts)), ("_heard", "_at")]))
+    found = found.select(*rows.columns, *[F.col(f"_v{i}").alias(c) for i, c in enumerate(keep)])
+    alone = valid.join(hits.select(*names).distinct(), same, "left_anti").unionByName(rows.filter(~usable))
     nulls = [F.lit(None).cast(events.schema[c].dataType).alias(c) for c in keep]
     return found.unionByName(alone.select(*rows.columns, *nulls))
 
 
+def _widths(days: int) -> list[int]:
+    return [days * 4**k for k in range(5)]
+
+
+def _spread(spans: DataFrame, days: int) -> DataFrame:
+    """Periods once for each bin of the narrowest width that holds their length; the widest, for all longer ones."""
+    length = F.datediff(F.col("_to").cast("date"), F.col("_from").cast("date"))
+    *narrow, widest = _widths(days)
+    width = F.lit(widest)
+    for own in reversed(narrow):
+        width = F.when(length <= own, own).otherwise(width)
+    bins = F.sequence(_bin(F.col("_from"), F.col("_width")), _bin(F.col("_to"), F.col("_width")))
+    return spans.withColumn("_width", width).withColumn("_bin", F.explode(bins))
+
+
+def _times_by_width(times: DataFrame, keys: int, days: int) -> DataFrame:
+    width = F.explode(F.array(*[F.lit(w) for w in _widths(days)]))
+    listed = times.select(*[f"_k{i}" for i in range(keys)], "_at", width.alias("_event_width"))
+    return listed.withColumn("_event_bin", _bin(F.col("_at"), F.col("_event_width")))
+
+
+def _inside(on: Keys) -> Column:
+    same = [F.col(a) == F.col(b) for a, b in [*on, ("_width", "_event_width"), ("_bin", "_event_bin")]]
+    return reduce(and_, [*same, F.col("_at") >= F.col("_from"), F.col("_at") <= F.col("_to")])
+
+
 def overlapping(
     left: DataFrame, right: DataFrame, on: Keys, *, left_period: tuple[str, str], right_period: tuple[str, str], keep: Sequence[str], days: int = BIN_DAYS
 ) -> DataFrame:
