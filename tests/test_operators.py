@@ -279,6 +279,14 @@ def _random_counts(spark, seed):
     return spark.createDataFrame(data, "g int, id int, a int, b int")
 
 
+def test_small_groups_are_shuffled_once(spark, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    df = spark.range(0, 300, 1, 4).selectExpr("id % 40 AS g", "CASE WHEN id % 7 > 0 THEN id % 11 END AS id", "id % 3 AS a", "id % 2 AS b")
+    counted = {spread: same_vs_other(df, ["g"], "id", [("a", "b")], total="n", same="s", other="o", spread=spread) for spread in (True, False)}
+    assert rows(counted[True]) == rows(counted[False])
+    assert [plan(counted[s]).count("Exchange hashpartitioning") for s in (True, False)] == [2, 1]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_same_vs_other_equals_conditional_distinct_counts(spark, seed):
     df = _random_counts(spark, seed)

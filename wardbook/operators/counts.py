@@ -22,10 +22,17 @@ def distinct_per(df: DataFrame, keys: Sequence[str], id_col: str, alias: str) ->
 
 
 def conditional_distinct(
-    df: DataFrame, keys: Sequence[str], id_col: str, total: str, conditions: Mapping[str, Column]
+    df: DataFrame, keys: Sequence[str], id_col: str, total: str, conditions: Mapping[str, Column], *, spread: bool = True
 ) -> DataFrame:
-    """Distinct non-NULL ids per group: all of them, and those with a row meeting each condition."""
+    """Distinct non-NULL ids per group: all of them, and those with a row meeting each condition.
+
+    ``spread=False`` is for groups that are many and small by nature: their rows are
+    shuffled once, by group, instead of once by group and id and again by group.
+    """
     flags = {f"_f{i}": cond for i, cond in enumerate(conditions.values())}
+    if not spread:
+        df = df.select(*keys, id_col, *[cond.alias(flag) for flag, cond in flags.items()]).repartition(*keys)
+        flags = {flag: F.col(flag) for flag in flags}
     per_id = df.groupBy(*keys, F.col(id_col).alias("_id")).agg(
         *[F.bool_or(cond).alias(flag) for flag, cond in flags.items()]
     )
@@ -43,14 +50,15 @@ def coverage(detail: DataFrame, keys: Sequence[str], unit: str, event: str, *, t
 
 
 def same_vs_other(
-    df: DataFrame, group: Sequence[str], id_col: str, pairs: Keys, *, total: str, same: str, other: str
+    df: DataFrame, group: Sequence[str], id_col: str, pairs: Keys, *, total: str, same: str, other: str, spread: bool = True
 ) -> DataFrame:
     """Distinct ids per group, split by whether the column pairs agree or differ.
 
     A NULL in a pair is neither agreement nor difference, so same + other ≤ total does
-    not have to be an equality; an id with rows of both kinds counts in both.
+    not have to be an equality; an id with rows of both kinds counts in both. For
+    ``spread`` see ``conditional_distinct``.
     """
-    return conditional_distinct(df, group, id_col, total, {same: same_all(pairs), other: differs_any(pairs)})
+    return conditional_distinct(df, group, id_col, total, {same: same_all(pairs), other: differs_any(pairs)}, spread=spread)
 
 
 def abnormal_headcount(

@@ -200,6 +200,8 @@ def rotation_counts(cfg: WarehouseConfig, detail: DataFrame) -> DataFrame:
         total="activity_count",
         same="same_major_activity_count",
         other="different_major_activity_count",
+        # A group is one month of one student's rotation.
+        spread=False,
     )
 
 
