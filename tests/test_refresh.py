@@ -14,7 +14,7 @@ from pyspark.sql import functions as F, types as T
 from wardbook.config import Site, WarehouseConfig
 from wardbook.functions.pseudonyms import field_key, pseudonym
 from wardbook.operators.titles import bigrams, near_titles, title_index, words
-from wardbook.plans import Warehouse, detail
+from wardbook.plans import Warehouse, detail, incremental
 from wardbook.plans.incremental import refresh_years
 from wardbook.sources import INPUTS, OUTPUTS, FrameSource, TableSpec, standards_dictionary
 from wardbook.sources.audit import audit
@@ -306,3 +306,28 @@ def test_jobs_are_refreshed_for_changed_years_only(spark, tmp_path):
         assert Counter(map(tuple, spark.table(f"{databases[own.layer]}.{own.name}").collect())) == Counter(map(tuple, full.table(key).collect())), key
     with pytest.raises(ValueError, match="t25"):
         refresh_years(full, ["t14", "t25"])
+
+
+def test_jobs_of_a_refresh_read_what_it_has_stored(spark, tmp_path, monkeypatch):
+    """t22 follows from t13: its years are read from there, the log is not composed anew for each of them."""
+    make = lambda entity, data: spark.createDataFrame(data, INPUTS[entity])
+    frames = {e: {s: make(e, d) for s, d in by.items()} for e, by in domain.SITE_ROWS.items()}
+    databases = {layer: f"wardbook_reread_{layer}" for layer in ("ods", "dim", "dwd", "dws", "ads")}
+    cfg = replace(WarehouseConfig(), databases=databases, location=f"{tmp_path}/tables")
+    source = FrameSource(cfg, frames, make("admissions", domain.ADMISSIONS), make("rotations", domain.ROTATIONS), standards_dictionary(spark))
+    read, real = {}, incremental.publish_by_year
+
+    def publish(df, spec, *args, **options):
+        read[spec.name] = df.inputFiles()
+        return real(df, spec, *args, **options)
+
+    monkeypatch.setattr(incremental, "publish_by_year", publish)
+    assert refresh_years(Warehouse(spark, cfg, source, from_catalog=False), folder=f"{tmp_path}/read")
+    for key, below in (("t20", "t14"), ("t22", "t13"), ("t23", "t13"), ("t24", "t13")):
+        files = read[OUTPUTS[key].name]
+        assert files and all(f"/{OUTPUTS[below].name}__by_year/" in f for f in files)
+    assert {p.name for p in (tmp_path / "read").iterdir()} == {OUTPUTS[k].name for k in ("t02", "t03")}
+    full = Warehouse(spark, cfg, source, from_catalog=False)
+    for key in ("t13", "t14", "t20", "t22", "t23", "t24"):
+        own = OUTPUTS[key]
+        assert Counter(map(tuple, spark.table(f"{databases[own.layer]}.{own.name}").collect())) == Counter(map(tuple, full.table(key).collect())), key

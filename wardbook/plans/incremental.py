@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+from wardbook.operators.storage import stored
 from wardbook.plans.warehouse import JOBS, Warehouse
 from wardbook.sources.partitioned import publish_by_year, read_years, refresh_changed
 from wardbook.sources.schemas import OUTPUTS
@@ -19,7 +20,7 @@ def _year(key: str) -> Column:
     return F.substring(F.col(_YEAR_COLUMN[key]).cast("string"), 1, 4).cast("int")
 
 
-def refresh_years(warehouse: Warehouse, keys: Sequence[str] = tuple(_YEAR_COLUMN)) -> list[int | None]:
+def refresh_years(warehouse: Warehouse, keys: Sequence[str] = tuple(_YEAR_COLUMN), folder: str | None = None) -> list[int | None]:
     """Bring the activities and the jobs that follow from them year by year up to date; returns the years that changed.
 
     Activities are cleansed anew and compared with the stored ones by content digests per
@@ -28,17 +29,28 @@ def refresh_years(warehouse: Warehouse, keys: Sequence[str] = tuple(_YEAR_COLUMN
     the same years of their tables. People and participations are read as they are: what a
     job says of a year depends on them only through that year's activities, so a change in
     them alone calls for a full refresh, ``Warehouse.publish``.
+
+    Jobs that follow from another of ``keys`` (``t22`` from ``t13``) read its stored years
+    instead of composing it anew. With a ``folder`` the cleansed activities and what the jobs
+    read repeatedly are written there first, so nothing is computed twice.
     """
     cfg, spark = warehouse.cfg, warehouse.spark
     unknown = set(keys) - set(_YEAR_COLUMN)
     if unknown:
         raise ValueError(f"jobs {sorted(unknown)} do not follow year by year")
     spec = OUTPUTS["t02"]
-    years = refresh_changed(warehouse.table("t02"), spec, cfg.db(spec.layer), time_col="activity_start_time", location=cfg.location)
+    fresh = warehouse.table("t02")
+    if folder:
+        fresh = stored(fresh, f"{folder}/{spec.name}")
+    years = refresh_changed(fresh, spec, cfg.db(spec.layer), time_col="activity_start_time", location=cfg.location)
     if years:
         part = Warehouse(spark, cfg, warehouse.source, from_catalog=False)
         part.tables["t02"] = read_years(spark, spec, cfg.db(spec.layer), years)
-        for key in [k for k in JOBS if k in set(keys)]:
+        due = [k for k in JOBS if k in set(keys)]
+        if folder:
+            part.stage(due, folder, kept=["t02"])
+        for key in due:
             own = OUTPUTS[key]
             publish_by_year(part.table(key), own, cfg.db(own.layer), time_col=_year(key), years=years, location=cfg.location)
+            part.tables[key] = read_years(spark, own, cfg.db(own.layer), years)
     return years

@@ -75,16 +75,22 @@ class Warehouse:
 
     def staged(self, key: str, folder: str) -> DataFrame:
         """A job's result, with what is read repeatedly below it written to ``folder`` first."""
-        needed = self.needed(key)
+        self.stage([key], folder)
+        return self.table(key)
+
+    def stage(self, keys: Iterable[str], folder: str, kept: Iterable[str] = ()) -> None:
+        """Write what is read repeatedly below some jobs to ``folder``, but for these jobs and those ``kept`` elsewhere."""
+        keys = list(keys)
+        below = {k for key in keys for k in self.needed(key)}
+        needed = [k for k in JOBS if k in below]
         reads = Counter()
         for k in needed:
             reads.update(JOBS[k].reads)
-        for k in needed[:-1]:
-            if reads[k] > 1:
+        for k in needed:
+            if reads[k] > 1 and k not in {*keys, *kept}:
                 path = f"{folder}/{JOBS[k].spec.name}"
                 self.table(k).write.mode("overwrite").parquet(path)
                 self.tables[k] = self.spark.read.schema(JOBS[k].spec.schema).parquet(path)
-        return self.table(key)
 
     def publish(self, keys: Iterable[str] | None = None) -> dict[str, str]:
         """Replace the tables of the given jobs (all by default), in dependency order."""

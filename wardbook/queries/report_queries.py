@@ -302,7 +302,7 @@ def _refreshed(spark: SparkSession, sf_dir: str, folder: str, query: str) -> War
             status = F.when((year == 1998) & (F.col("o_orderkey") % 4 == 0), "F").otherwise(F.col("o_orderstatus"))
             kept = given("orders").filter(~((year == 1997) & (F.col("o_orderkey") % 3 == 0))).withColumn("o_orderstatus", status)
             w.source.tables = lambda name: kept if name == "orders" else given(name)
-        refresh_years(w)
+        refresh_years(w, folder=f"{folder}/{step}/read")
     return cfg
 
 
