@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardbook.operators.bitmaps import PIECE, count_bitmaps, dense_ids, id_bitmaps
 from wardbook.operators.linkage import one_person_per_rotation
-from wardbook.operators.periods import _spread, events_in_period, match_in_period, overlapping
+from wardbook.operators.periods import _by_width, _spread, events_in_period, match_in_period, overlapping
 from wardbook.operators.runs import month_spine, shortfall_runs
 
 DAY0 = datetime(2024, 1, 1)
@@ -74,6 +74,21 @@ def test_long_periods_are_listed_as_briefly_as_short_ones(spark):
     assert sorted(listed) == days and max(listed.values()) <= 2
 
 
+def test_overlapping_lists_long_periods_briefly(spark):
+    rng = random.Random(8)
+    lengths = [0, 1, 29, 30, 31, 121, 500, 2000, 7000, 9000]
+    spans = [(n, rng.choice(["a", "b", None]), t0 := day(rng.randrange(9000)), t0 + timedelta(days=lengths[n % 10])) for n in range(80)]
+    spans += [(80, "a", day(5), None), (81, "a", day(5), day(2)), *spans[:3]]
+    rows = spark.createDataFrame(spans, "id int, who string, t0 timestamp_ntz, t1 timestamp_ntz")
+    good = [s for s in spans if s[1] and s[3] and s[2] <= s[3]]
+    want = Counter((a[0], b[0]) for a in good for b in good if a[1] == b[1] and a[2] <= b[3] and b[2] <= a[3])
+    got = overlapping(rows, rows, [("who", "who")], left_period=("t0", "t1"), right_period=("t0", "t1"), keep=["id"])
+    assert Counter((r.id, r.other_id) for r in got.collect()) == want
+    once = rows.filter("id < 80").dropDuplicates(["id"])
+    for which in ("own", "from own", "above own"):
+        assert max(Counter(r.id for r in _by_width(once, "t0", "t1", 30, which).collect()).values()) <= 10
+
+
 @pytest.mark.parametrize("days", [1, 30])
 def test_match_in_period_of_any_length_equals_brute_force(spark, days):
     rng = random.Random(days)

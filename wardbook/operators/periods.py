@@ -1,9 +1,9 @@
 """Joins on periods: events that fall into them, and periods that overlap.
 
 Both are equi-joins on keys and time bins, with the exact times checked on top, so they
-are shuffled by key and bin and a hot key or bin is split at run time. A period is listed
-once for each bin that it touches; an event has one bin, and two periods are compared in
-the first bin they share, so every pair comes once.
+are shuffled by key and bin and a hot key or bin is split at run time. Bins are as wide as
+the periods in them where periods may be long; an event has one bin of a width, and two
+periods are compared in the first bin they share, so every pair comes once.
 """
 
 from __future__ import annotations
@@ -92,13 +92,18 @@ def _widths(days: int) -> list[int]:
 
 def _spread(spans: DataFrame, days: int) -> DataFrame:
     """Periods once for each bin of the narrowest width that holds their length; the widest, for all longer ones."""
-    length = F.datediff(F.col("_to").cast("date"), F.col("_from").cast("date"))
+    bins = F.sequence(_bin(F.col("_from"), F.col("_width")), _bin(F.col("_to"), F.col("_width")))
+    return spans.withColumn("_width", _width("_from", "_to", days)).withColumn("_bin", F.explode(bins))
+
+
+def _width(start: str, end: str, days: int) -> Column:
+    """The narrowest width that holds a period's length; the widest, for all longer ones."""
+    length = F.datediff(F.col(end).cast("date"), F.col(start).cast("date"))
     *narrow, widest = _widths(days)
     width = F.lit(widest)
     for own in reversed(narrow):
         width = F.when(length <= own, own).otherwise(width)
-    bins = F.sequence(_bin(F.col("_from"), F.col("_width")), _bin(F.col("_to"), F.col("_width")))
-    return spans.withColumn("_width", width).withColumn("_bin", F.explode(bins))
+    return width
 
 
 def _times_by_width(times: DataFrame, keys: int, days: int) -> DataFrame:
@@ -119,15 +124,34 @@ def overlapping(
 
     ``keep`` are columns of the right side, which get the prefix ``other_``. Periods that
     are missing an end or run backwards overlap nothing.
+
+    Two periods meet in bins of the width of the longer one (see ``_width``), where that one
+    is listed in one or two bins; the shorter one is listed for its own and all wider bins,
+    so a period costs a fixed number of rows however long it is. Short periods never meet in
+    wide bins: one side of a join is always listed by its own width alone.
     """
     (start, end), (from_, to) = left_period, right_period
     values = [F.col(c).alias(f"other_{c}") for c in keep]
     keys = [F.col(r).alias(f"_k{i}") for i, (_, r) in enumerate(on)]
-    others = _binned(right.filter(present([r for _, r in on])), from_, to, days).select(
-        *keys, F.col(from_).alias("_from"), F.col(to).alias("_to"), F.col("_bin").alias("_other_bin"), *values
-    )
+    others = right.filter(present([r for _, r in on])).select(*keys, F.col(from_).alias("_from"), F.col(to).alias("_to"), *values)
+    mine = left.filter(present([a for a, _ in on]))
     same = [F.col(a) == F.col(f"_k{i}") for i, (a, _) in enumerate(on)]
-    both = [F.col("_bin") == F.col("_other_bin"), F.col(start) <= F.col("_to"), F.col("_from") <= F.col(end)]
-    once = F.col("_bin") == _bin(F.greatest(F.col(start), F.col("_from")), days)
-    found = _binned(left, start, end, days).join(others, reduce(and_, [*same, *both, once]))
-    return found.select(*left.columns, *[f"other_{c}" for c in keep])
+    bins = [F.col(a) == F.col(b) for a, b in (("_width", "_other_width"), ("_bin", "_other_bin"))]
+    both = [F.col(start) <= F.col("_to"), F.col("_from") <= F.col(end)]
+    once = F.col("_bin") == _bin(F.greatest(F.col(start), F.col("_from")), F.col("_width"))
+    found = None
+    for longer, shorter in (("own", "from own"), ("above own", "own")):
+        there = _by_width(others, "_from", "_to", days, shorter).withColumnsRenamed({"_width": "_other_width", "_bin": "_other_bin"})
+        pairs = _by_width(mine, start, end, days, longer).join(there, reduce(and_, [*same, *bins, *both, once]))
+        pairs = pairs.select(*left.columns, *[f"other_{c}" for c in keep])
+        found = pairs if found is None else found.unionByName(pairs)
+    return found
+
+
+def _by_width(rows: DataFrame, start: str, end: str, days: int, which: str) -> DataFrame:
+    """Valid periods once for each bin of their own width, of that and all wider ones, or of the wider ones alone."""
+    own = _width(start, end, days)
+    widths = F.array(*[F.lit(w) for w in _widths(days)])
+    listed = {"own": F.array(own), "from own": F.filter(widths, lambda w: w >= own), "above own": F.filter(widths, lambda w: w > own)}
+    each = rows.filter(_valid(start, end)).withColumn("_width", F.explode(listed[which]))
+    return each.withColumn("_bin", F.explode(F.sequence(_bin(F.col(start), F.col("_width")), _bin(F.col(end), F.col("_width")))))
