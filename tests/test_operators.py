@@ -287,6 +287,14 @@ def test_small_groups_are_shuffled_once(spark, conf):
     assert [plan(counted[s]).count("Exchange hashpartitioning") for s in (True, False)] == [2, 1]
 
 
+def test_small_groups_keep_the_sessions_partitions(spark):
+    """Merged by the bytes of its shuffle, a partition would fill a task's memory."""
+    df = spark.range(0, 300, 1, 4).selectExpr("id % 40 AS g", "id % 11 AS id", "id % 3 AS a", "id % 2 AS b")
+    got = same_vs_other(df, ["g"], "id", [("a", "b")], total="n", same="s", other="o", spread=False)
+    got.collect()
+    assert "REPARTITION_BY_NUM" in plan(got) and "REPARTITION_BY_COL" not in plan(got)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_same_vs_other_equals_conditional_distinct_counts(spark, seed):
     df = _random_counts(spark, seed)

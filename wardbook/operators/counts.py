@@ -27,11 +27,14 @@ def conditional_distinct(
     """Distinct non-NULL ids per group: all of them, and those with a row meeting each condition.
 
     ``spread=False`` is for groups that are many and small by nature: their rows are
-    shuffled once, by group, instead of once by group and id and again by group.
+    shuffled once, by group, instead of once by group and id and again by group. They keep
+    the session's number of shuffle partitions, since a row takes far more memory in the
+    hash tables than bytes in the shuffle that run time would merge partitions by.
     """
     flags = {f"_f{i}": cond for i, cond in enumerate(conditions.values())}
     if not spread:
-        df = df.select(*keys, id_col, *[cond.alias(flag) for flag, cond in flags.items()]).repartition(*keys)
+        df = df.select(*keys, id_col, *[cond.alias(flag) for flag, cond in flags.items()])
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
         flags = {flag: F.col(flag) for flag in flags}
     per_id = df.groupBy(*keys, F.col(id_col).alias("_id")).agg(
         *[F.bool_or(cond).alias(flag) for flag, cond in flags.items()]

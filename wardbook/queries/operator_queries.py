@@ -788,6 +788,8 @@ def _per_order(t: Tables) -> DataFrame:
         total="parts",
         same="same",
         other="other",
+        # A group is one order's lines.
+        spread=False,
     )
 
 
