@@ -22,6 +22,7 @@ from wardbook.operators import (
     join_keeping_left,
     joined_distinct,
     lookup_join,
+    month_bucket_join,
     month_walk,
     participation_log,
     presence_matrix,
@@ -295,6 +296,14 @@ def test_small_groups_keep_the_sessions_partitions(spark):
     assert "REPARTITION_BY_NUM" in plan(got) and "REPARTITION_BY_COL" not in plan(got)
 
 
+def test_month_bucket_join_of_rows_known_to_match(spark):
+    rows_ = spark.createDataFrame([("a", "2024-01", 1), ("a", "2024-02", 2), ("a", "2024-01", 1), (None, "2024-01", 3), ("b", None, 4)], "who string, m string, n int")
+    log = spark.createDataFrame([("a", "2024-01", 7), ("a", "2024-01", 8), (None, "2024-01", 9), ("b", "2024-01", 6)], "p string, month string, e int")
+    on = [("who", "p"), ("m", "month")]
+    told = rows_.withColumn("there", F.coalesce((F.col("who") == "a") & (F.col("m") == "2024-01"), F.lit(False)))
+    assert rows(month_bucket_join(told, log, on, ["e"], matched="there")) == rows(month_bucket_join(rows_, log, on, ["e"]))
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_same_vs_other_equals_conditional_distinct_counts(spark, seed):
     df = _random_counts(spark, seed)

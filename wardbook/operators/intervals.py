@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from wardbook.operators.joins import Keys, join_keeping_left, left_join
+from wardbook.operators.joins import Keys, found_pairs, join_keeping_left, left_join
 
 
 def month_walk(df: DataFrame, start: str, end: str, *, max_months: int | None = None, alias: str = "month") -> DataFrame:
@@ -34,9 +34,17 @@ def rejected_intervals(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.filter(~F.coalesce(F.col(start) <= F.col(end), F.lit(False)))
 
 
-def month_bucket_join(rows: DataFrame, log: DataFrame, on: Keys, keep: Sequence[str]) -> DataFrame:
-    """Left join on entity keys plus month; a person's month may be hot on either side."""
-    return join_keeping_left(rows, log, on, keep)
+def month_bucket_join(rows: DataFrame, log: DataFrame, on: Keys, keep: Sequence[str], *, matched: str | None = None) -> DataFrame:
+    """Left join on entity keys plus month; a person's month may be hot on either side.
+
+    ``matched`` names a column of the rows that says whether the log has their keys, where
+    that is known before: other rows are not shuffled. The result does not have it.
+    """
+    if matched is None:
+        return join_keeping_left(rows, log, on, keep)
+    partners, alone = rows.filter(F.col(matched)).drop(matched), rows.filter(~F.col(matched)).drop(matched)
+    nulls = [F.lit(None).cast(log.schema[c].dataType).alias(c) for c in keep]
+    return found_pairs(partners, log, on, keep).unionByName(alone.select("*", *nulls))
 
 
 def fill_id(rows: DataFrame, registry: DataFrame, on: Keys, id_col: str, alias: str) -> DataFrame:

@@ -118,12 +118,13 @@ def join_keeping_left(left: DataFrame, right: DataFrame, on: Keys, keep: Sequenc
     both branches read one and the same shuffled left side.
     """
     _check_types(left, right, on)
-    found = _found(left, right, on, keep).select(*left.columns, *keep)
+    found = found_pairs(left, right, on, keep).select(*left.columns, *keep)
     return found.union(_alone(left, right, on).select(*left.columns, *_nulls(right, keep)))
 
 
-def _found(left: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str]) -> DataFrame:
+def found_pairs(left: DataFrame, right: DataFrame, on: Keys, keep: Sequence[str]) -> DataFrame:
     """Inner join whose hot keys can be split on either side; NULL keys match nothing."""
+    _check_types(left, right, on)
     keys = [r for _, r in on]
     own = [F.col(c).alias(name) for c, name in zip(keys, _key_names(on))]
     values = [F.col(c).alias(f"_v{i}") for i, c in enumerate(keep)]
@@ -183,7 +184,7 @@ def participation_log(
     )
     on = [(left, f"_r{i}") for i, (left, _) in enumerate(person_on)]
     _check_types(people, takes, on)
-    taken = _found(people, takes, on, list(extra))
+    taken = found_pairs(people, takes, on, list(extra))
     chain = [(f"_p{i}", r) for i, (_, r) in enumerate(activity_on)]
     # Activities are nearly unique by id: only the participations can be hot, and a left join splits those.
     log = left_join(taken, activities, chain, activity_cols).drop(*link)

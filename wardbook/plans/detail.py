@@ -33,6 +33,7 @@ from wardbook.operators import (
     population_events,
     registry_participants,
 )
+from wardbook.operators.joins import left_join
 from wardbook.operators.linkage import one_person_per_rotation
 from wardbook.operators.periods import match_in_period
 
@@ -319,18 +320,23 @@ def rotation_activities(cfg: WarehouseConfig, raw: DataFrame, people: DataFrame,
     """Rotation months with the activities the student joined in that month.
 
     The student's id does not depend on the month, so it is looked up before a rotation
-    is spread over its months.
+    is spread over its months. So are the months in which the student joined anything (a list
+    as long as the calendar at most): the other months of a rotation are not shuffled.
     """
+    heard = log.withColumn("activity_month", month_of("activity_start_time"))
     valid = rotations(cfg, raw).filter(F.col("rotation_start_time") <= F.col("rotation_end_time"))
     with_id = fill_id(valid, people, _COHORT_ON, "student_id", "rotation_student_id")
+    busy = heard.groupBy(*[c for _, c in _COHORT_ON]).agg(F.collect_set("activity_month").alias("_busy"))
     months = month_walk(
-        with_id, "rotation_start_time", "rotation_end_time", max_months=cfg.max_months, alias="rotation_month"
-    )
+        left_join(with_id, busy, _COHORT_ON, ["_busy"]),
+        "rotation_start_time", "rotation_end_time", max_months=cfg.max_months, alias="rotation_month",
+    )
     return month_bucket_join(
-        months,
-        log.withColumn("activity_month", month_of("activity_start_time")),
+        months.withColumn("_busy", F.coalesce(F.array_contains("_busy", F.col("rotation_month")), F.lit(False))),
+        heard,
         [*_COHORT_ON, ("rotation_month", "activity_month")],
         [*_ACTIVITY_FACTS, "activity_month", "activity_is_signed", "activity_evaluation_score_rate"],
+        matched="_busy",
     )
 
 
