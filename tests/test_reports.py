@@ -89,6 +89,17 @@ def test_overlapping_lists_long_periods_briefly(spark):
         assert max(Counter(r.id for r in _by_width(once, "t0", "t1", 30, which).collect()).values()) <= 10
 
 
+def test_sparse_match_gives_the_same_rows(spark):
+    """Rows without an event in a week of their period are not matched at all."""
+    spans, events = spans_and_events(6)
+    rows = spark.createDataFrame(spans, "who string, n int, t0 timestamp_ntz, t1 timestamp_ntz")
+    log = spark.createDataFrame(events, "person string, event int, at timestamp_ntz")
+    options = {"start": "t0", "end": "t1", "at": "at", "keep": ["event"]}
+    for noted in (log, log.filter("event % 20 = 0"), log.limit(0)):
+        got, want = (match_in_period(rows, noted, [("who", "person")], **options, sparse=s) for s in (True, False))
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
 @pytest.mark.parametrize("days", [1, 30])
 def test_match_in_period_of_any_length_equals_brute_force(spark, days):
     rng = random.Random(days)

@@ -14,7 +14,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardbook.operators.joins import Keys, present, same_keys
+from wardbook.operators.joins import Keys, left_join, present, same_keys
 
 BIN_DAYS = 30
 
@@ -58,7 +58,7 @@ def events_in_period(
 
 
 def match_in_period(
-    rows: DataFrame, events: DataFrame, on: Keys, *, start: str, end: str, at: str, keep: Sequence[str], days: int = BIN_DAYS
+    rows: DataFrame, events: DataFrame, on: Keys, *, start: str, end: str, at: str, keep: Sequence[str], days: int = BIN_DAYS, sparse: bool = False
 ) -> DataFrame:
     """``events_in_period``, and rows without an event alone with NULLs: SQL's left join on ``BETWEEN``.
 
@@ -68,7 +68,13 @@ def match_in_period(
     itself, a time in one bin of every width, so a long period costs no more rows than a
     short one. Rows that can match nothing do not travel at all; the others travel by keys
     and period to the times found, in joins whose hot keys can be split on either side.
+
+    ``sparse`` is for rows of which few have an event. They travel once, by their keys, to
+    the weeks in which these have events at all (a list as long as the calendar at most); only
+    rows with such a week in their period go on to the exact match.
     """
+    if sparse:
+        return _sparse_match(rows, events, on, start=start, end=end, at=at, keep=keep, days=days)
     lefts, names = [left for left, _ in on], [*[f"_s{i}" for i in range(len(on))], "_from", "_to"]
     usable = F.coalesce(present(lefts) & _valid(start, end), F.lit(False))
     valid = rows.filter(usable)
@@ -86,6 +92,20 @@ def match_in_period(
     return found.unionByName(alone.select(*rows.columns, *nulls))
 
 
+def _sparse_match(
+    rows: DataFrame, events: DataFrame, on: Keys, *, start: str, end: str, at: str, keep: Sequence[str], days: int
+) -> DataFrame:
+    rights = [r for _, r in on]
+    by_key = events.filter(present([*rights, at])).groupBy(*rights).agg(F.collect_set(_bin(F.col(at), 7)).alias("_weeks"))
+    first, last = _bin(F.col(start), 7), _bin(F.col(end), 7)
+    # Unknown counts as no. As one expression that takes NULLs it lets both branches below share one shuffle of the rows.
+    maybe = F.coalesce(F.exists("_weeks", lambda week: (week >= first) & (week <= last)), F.lit(False))
+    told = left_join(rows, by_key, on, ["_weeks"]).withColumn("_maybe", maybe).drop("_weeks")
+    found = match_in_period(told.filter("_maybe").drop("_maybe"), events, on, start=start, end=end, at=at, keep=keep, days=days)
+    nulls = [F.lit(None).cast(events.schema[c].dataType).alias(c) for c in keep]
+    return found.unionByName(told.filter("NOT _maybe").select(*rows.columns, *nulls))
+
+
 def _widths(days: int) -> list[int]:
     return [days * 4**k for k in range(5)]
 

@@ -354,6 +354,7 @@ def rotations_in_period(cfg: WarehouseConfig, raw: DataFrame, log: DataFrame) ->
         end="rotation_end_time",
         at="activity_start_time",
         keep=["student_id", *_ACTIVITY_FACTS[:-2], "activity_start_time", "activity_is_signed"],
+        sparse=True,
     )
 
 
