@@ -100,10 +100,11 @@ def _sparse_match(
     first, last = _bin(F.col(start), 7), _bin(F.col(end), 7)
     # Unknown counts as no. As one expression that takes NULLs it lets both branches below share one shuffle of the rows.
     maybe = F.coalesce(F.exists("_weeks", lambda week: (week >= first) & (week <= last)), F.lit(False))
-    told = left_join(rows, by_key, on, ["_weeks"]).withColumn("_maybe", maybe).drop("_weeks")
+    usable = F.coalesce(present([left for left, _ in on]) & _valid(start, end), F.lit(False))
+    told = left_join(rows.filter(usable), by_key, on, ["_weeks"]).withColumn("_maybe", maybe).drop("_weeks")
     found = match_in_period(told.filter("_maybe").drop("_maybe"), events, on, start=start, end=end, at=at, keep=keep, days=days)
     nulls = [F.lit(None).cast(events.schema[c].dataType).alias(c) for c in keep]
-    return found.unionByName(told.filter("NOT _maybe").select(*rows.columns, *nulls))
+    return found.unionByName(told.filter("NOT _maybe").unionByName(rows.filter(~usable), allowMissingColumns=True).select(*rows.columns, *nulls))
 
 
 def _widths(days: int) -> list[int]:
