@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import domain
 from wardbook.config import WarehouseConfig
 from wardbook.plans import JOBS, Warehouse, warehouse as warehouse_module
+from wardbook.plans.detail import TITLE_LOG_COLUMNS
 from wardbook.sources import INPUTS, OUTPUTS, CatalogSource, FrameSource, conform, publish, standards_dictionary
 from wardbook.sources.schemas import schema
 
@@ -290,6 +291,15 @@ def test_composed_and_staged_equal_published(spark, published, tmp_path, key):
     assert Counter(map(tuple, staged.collect())) == want
 
 
+@pytest.mark.parametrize(("key", "written"), [("t13", {"t02"}), ("t12", {"t02", "t08"})])
+def test_participations_are_not_grouped_and_stored_for_one_job(spark, tmp_path, key, written):
+    """Repeated participations are dropped among the rows of the people in question; of t08 t12 stores what it reads."""
+    Warehouse(spark, CFG, _frames(spark), from_catalog=False).staged(key, str(tmp_path))
+    assert {p.name for p in tmp_path.iterdir()} == {OUTPUTS[k].name for k in written}
+    if key == "t12":
+        assert set(spark.read.parquet(str(tmp_path / OUTPUTS["t08"].name)).columns) == set(TITLE_LOG_COLUMNS)
+
+
 def test_reads_name_every_upstream_table():
     """What a job's build function asks for is what it declares to read (the dictionary aside)."""
     text = inspect.getsource(warehouse_module).split("JOBS = {")[1]

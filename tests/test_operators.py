@@ -32,6 +32,7 @@ from wardbook.operators import (
     rollup_ratios,
     same_vs_other,
 )
+from wardbook.operators.sites import Stacked
 
 
 def rows(df):
@@ -189,6 +190,26 @@ def test_participation_log_keeps_both_roles_and_versions_of_an_activity(spark, a
     assert rows(got.select("id", "name", "as_role", "title")) == Counter(want)
 
 
+def test_participation_log_drops_repeated_rows_after_the_join(spark):
+    """Equal participations count once, those that differ in a column nobody keeps count apart; NULL is a value."""
+    people = spark.createDataFrame([(1, "A", "x"), (1, "A", "y"), (2, None, "x"), (3, "C", "x")], "id int, name string, major string")
+    takes = [(1, "A", "s", 0.5, 100), (1, "A", "s", 0.5, 100), (1, "A", "t", 0.5, 100), (1, "A", "s", None, 100), (1, "A", "s", None, 100)]
+    takes += [(2, None, "s", 0.5, 100), (8, "Z", "s", 0.5, 100), (3, "C", "s", 0.5, None), (3, "C", "s", 0.5, None)]
+    takes = spark.createDataFrame(takes, "pid int, pname string, role string, rate double, act int")
+    acts = spark.createDataFrame([(100, "v1"), (100, "v2")], "act_id int, title string")
+    options = {
+        "person_on": [("id", "pid"), ("name", "pname")],
+        "participation_cols": {"score": "rate", "who": "pname"},
+        "activity_on": [("act", "act_id")],
+        "activity_cols": ["title"],
+    }
+    for all_present in (True, False):
+        got = participation_log(people, takes, acts, repeated=True, all_present=all_present, **options)
+        want = participation_log(people, takes.distinct(), acts, all_present=all_present, **options)
+        assert got.columns == want.columns and rows(got) == rows(want)
+        assert rows(got)[(1, "A", "x", 0.5, "A", "v1")] == 2
+
+
 def test_fill_id_fans_out_on_namesakes(spark):
     visits = spark.createDataFrame([("Li", 1), ("Wu", 2)], "name string, visit int")
     people = spark.createDataFrame([(7, "Li"), (8, "Li")], "pid int, pname string")
@@ -435,6 +456,17 @@ def test_classify_names(spark):
     assert not re.search("collect_list|collect_set|Expand", plan(got))
 
 
+@pytest.mark.parametrize("where", [None, lambda site: F.col("x") > site.id])
+def test_federate_reads_stacked_sites_in_one_pass(spark, where):
+    sites = WarehouseConfig().sites
+    data = spark.createDataFrame([(n % 5 if n else None, n % 4 or None) for n in range(40)], "no int, x int")
+    options = {"columns": {"y": F.col("x") * 10}, "site_id": "sid", "site_name": "sname", "where": where}
+    apart = federate([(s, data.filter(F.col("no") == k)) for k, s in enumerate(sites)], **options)
+    stacked = federate(Stacked(sites, data, "no"), **options)
+    assert stacked.schema.names == apart.schema.names and rows(stacked) == rows(apart)
+    assert "Union" in plan(apart) and "Union" not in plan(stacked)
+
+
 def test_rank_is_best_first_unknown_last_ties_by_key(spark):
     df = spark.createDataFrame(
         [(2019, 1, 1, 2), (2019, 2, 50, 100), (2019, 3, 9, 10), (2019, 4, 1, 0), (2020, 9, 1, 9)],

@@ -169,12 +169,16 @@ def participation_log(
     activity_on: Keys,
     activity_cols: Sequence[str],
     all_present: bool = False,
+    repeated: bool = False,
 ) -> DataFrame:
     """People ⟕ participation (any role) ⟕ activities.
 
     ``activity_on`` pairs participation columns with activity columns. ``all_present``
     states that every person has at least one participation (true for the output of
-    ``registry_participants``); the first join is then an inner join.
+    ``registry_participants``); the first join is then an inner join. ``repeated`` says that
+    participation holds equal rows that count once, and that people are distinct: equal rows
+    are dropped where the person's rows lie after the first join, so participations of other
+    people are neither grouped nor shuffled for it.
     """
     link = {f"_p{i}": c for i, (c, _) in enumerate(activity_on)}
     extra = {**link, **participation_cols}
@@ -184,7 +188,10 @@ def participation_log(
     )
     on = [(left, f"_r{i}") for i, (left, _) in enumerate(person_on)]
     _check_types(people, takes, on)
-    taken = found_pairs(people, takes, on, list(extra))
+    if repeated:
+        taken = _taken_once(people, participation, person_on, extra)
+    else:
+        taken = found_pairs(people, takes, on, list(extra))
     chain = [(f"_p{i}", r) for i, (_, r) in enumerate(activity_on)]
     # Activities are nearly unique by id: only the participations can be hot, and a left join splits those.
     log = left_join(taken, activities, chain, activity_cols).drop(*link)
@@ -195,6 +202,22 @@ def participation_log(
     return log.union(_alone(people, takes, on).select(*people.columns, *missing))
 
 
+def _taken_once(people: DataFrame, participation: DataFrame, person_on: Keys, extra: Mapping[str, str]) -> DataFrame:
+    """Distinct people with the ``extra`` columns of each different participation of theirs.
+
+    Keys are compared column by column, so rows stay where the join put them and equal ones
+    are dropped there. Of the two columns that a key pair is, one travels on. People are far
+    fewer than participations, so they are what is looked up in, and nothing is sorted.
+    """
+    keys = {r: f"_r{i}" for i, (_, r) in enumerate(person_on)}
+    own = {r: left for left, r in person_on}
+    others = {c: f"_x{i}" for i, c in enumerate(participation.columns) if c not in keys}
+    takes = participation.select(*[F.col(c).alias(name) for c, name in {**keys, **others}.items()])
+    same = reduce(and_, [F.col(left) == F.col(keys[r]) for left, r in person_on])
+    once = dedupe_rows(people.hint("shuffle_hash").join(takes, same).select(*people.columns, *others.values()))
+    return once.select(*people.columns, *[F.col(own.get(c) or others[c]).alias(new) for new, c in extra.items()])
+
+
 def population_events(population: DataFrame, events: DataFrame, on: Keys, keep: Sequence[str]) -> DataFrame:
     """Each population group with its events, or alone with NULLs.
 

@@ -36,6 +36,7 @@ from wardbook.operators import (
 from wardbook.operators.joins import left_join
 from wardbook.operators.linkage import one_person_per_rotation
 from wardbook.operators.periods import match_in_period
+from wardbook.sources.inputs import branches
 
 _SITE = {"site_id": "activity_hospital_id", "site_name": "activity_hospital_name"}
 _ACTIVITY_KEY = ["activity_id", "activity_hospital_id", "activity_hospital_name"]
@@ -76,7 +77,7 @@ def _keyed(site: Site):
 
 def activities(cfg: WarehouseConfig, source, standards: DataFrame) -> DataFrame:
     sheets = federate(
-        source.sites("sheet"),
+        branches(source, "sheet"),
         {
             "trainid": F.col("trainid"),
             "activity_name": clean_text("title", strip_quotes=False, trim=False),
@@ -111,9 +112,10 @@ def activities(cfg: WarehouseConfig, source, standards: DataFrame) -> DataFrame:
     return dedupe_rows(filled.drop("trainid", "major_id", "major_name"))
 
 
-def participation(cfg: WarehouseConfig, source) -> DataFrame:
+def participation_rows(cfg: WarehouseConfig, source) -> DataFrame:
+    """The rows of ``participation`` before repeated ones are dropped."""
     rows = federate(
-        source.sites("person"),
+        branches(source, "person"),
         {
             "trainid": F.col("trainid"),
             "person_id": sentinel_fill("personid", cfg.unknown_id),
@@ -126,12 +128,16 @@ def participation(cfg: WarehouseConfig, source) -> DataFrame:
         **_SITE,
         where=lambda site: valid_key("trainid"),
     )
-    return dedupe_rows(rows.withColumn("activity_id", surrogate_key("activity_hospital_id", "trainid")).drop("trainid"))
+    return rows.withColumn("activity_id", surrogate_key("activity_hospital_id", "trainid")).drop("trainid")
+
+
+def participation(cfg: WarehouseConfig, source) -> DataFrame:
+    return dedupe_rows(participation_rows(cfg, source))
 
 
 def attachments(cfg: WarehouseConfig, source) -> DataFrame:
     rows = federate(
-        source.sites("file"),
+        branches(source, "file"),
         {
             "trainid": F.col("trainid"),
             "file_type": _text(cfg, "filetype"),
@@ -158,7 +164,7 @@ def _person_on(who: str) -> list[tuple[str, str]]:
 
 def students(cfg: WarehouseConfig, source, persons: DataFrame) -> DataFrame:
     registry = federate(
-        source.sites("student"),
+        branches(source, "student"),
         {
             "student_id": sentinel_fill("personid", cfg.unknown_id),
             "student_name": clean_text("personname"),
@@ -177,7 +183,7 @@ def students(cfg: WarehouseConfig, source, persons: DataFrame) -> DataFrame:
 
 def teachers(cfg: WarehouseConfig, source, persons: DataFrame) -> DataFrame:
     registry = federate(
-        source.sites("teacher"),
+        branches(source, "teacher"),
         {
             "teacher_id": sentinel_fill("personid", cfg.unknown_id),
             "teacher_name": clean_text("personname"),
@@ -199,10 +205,12 @@ def teachers(cfg: WarehouseConfig, source, persons: DataFrame) -> DataFrame:
     )
 
 
-def _log(people: DataFrame, who: str, persons: DataFrame, acts: DataFrame, signed: str, score: str) -> DataFrame:
+def _log(
+    people: DataFrame, who: str, persons: DataFrame, acts: DataFrame, signed: str, score: str, repeated: DataFrame | None
+) -> DataFrame:
     return participation_log(
         people,
-        persons,
+        persons if repeated is None else repeated,
         acts,
         person_on=_person_on(who),
         participation_cols={signed: "is_signed", score: "evaluation_score_rate"},
@@ -210,15 +218,18 @@ def _log(people: DataFrame, who: str, persons: DataFrame, acts: DataFrame, signe
         activity_cols=_ACTIVITY_FACTS,
         # People tables hold nobody without a participation.
         all_present=True,
+        repeated=repeated is not None,
     )
 
 
-def student_log(people: DataFrame, persons: DataFrame, acts: DataFrame) -> DataFrame:
-    return _log(people, "student", persons, acts, "activity_is_signed", "activity_evaluation_score_rate")
+def student_log(people: DataFrame, persons: DataFrame, acts: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """``repeated`` may give the participations before repeated ones are dropped; they are read instead."""
+    return _log(people, "student", persons, acts, "activity_is_signed", "activity_evaluation_score_rate", repeated)
 
 
-def teacher_log(people: DataFrame, persons: DataFrame, acts: DataFrame) -> DataFrame:
-    return _log(people, "teacher", persons, acts, "is_signed", "evaluation_score_rate")
+def teacher_log(people: DataFrame, persons: DataFrame, acts: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """See ``student_log``."""
+    return _log(people, "teacher", persons, acts, "is_signed", "evaluation_score_rate", repeated)
 
 
 # ---- admissions and their induction activities -------------------------------
@@ -400,14 +411,15 @@ def title_classes(acts: DataFrame) -> DataFrame:
     )
 
 
+_TITLE_LOG_ON = [
+    ("activity_hospital_id", "teacher_hospital_id"),
+    ("activity_hospital_name", "teacher_hospital_name"),
+    *[(c, c) for c in ("activity_major_id", "activity_major_name", "activity_id", "activity_name")],
+]
+_TITLE_LOG_KEEP = ["activity_office_name", "teacher_id", "teacher_name", "activity_start_time"]
+# What ``titles_with_teachers`` reads of the teachers' log.
+TITLE_LOG_COLUMNS = (*[c for _, c in _TITLE_LOG_ON], *_TITLE_LOG_KEEP)
+
+
 def titles_with_teachers(acts: DataFrame, log: DataFrame) -> DataFrame:
-    return attach(
-        title_classes(acts),
-        log,
-        [
-            ("activity_hospital_id", "teacher_hospital_id"),
-            ("activity_hospital_name", "teacher_hospital_name"),
-            *[(c, c) for c in ("activity_major_id", "activity_major_name", "activity_id", "activity_name")],
-        ],
-        ["activity_office_name", "teacher_id", "teacher_name", "activity_start_time"],
-    )
+    return attach(title_classes(acts), log, _TITLE_LOG_ON, _TITLE_LOG_KEEP)

@@ -28,6 +28,10 @@ class Job:
     build: Callable[[Warehouse], DataFrame]
     # Upstream jobs and how often this job reads each of them.
     reads: Mapping[str, int] = field(default_factory=dict)
+    # The columns read of an upstream job, where only some are.
+    columns: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    # The rows before a last step that only drops repeated ones, which other jobs can do where it costs them less.
+    repeated: Callable[[Warehouse], DataFrame] | None = None
     order_by: tuple[str, ...] = ()
     descending: tuple[str, ...] = ()
 
@@ -46,6 +50,8 @@ class Warehouse:
     # Lazily composed jobs, and the names of those that have been stored.
     tables: dict[str, DataFrame] = field(default_factory=dict)
     stored: dict[str, str] = field(default_factory=dict)
+    # Jobs written to a folder by ``stage``.
+    written: set[str] = field(default_factory=set)
 
     def table(self, key: str) -> DataFrame:
         """A stored job as its table, any other composed from its inputs (once).
@@ -65,6 +71,13 @@ class Warehouse:
             )
         return self.tables[key]
 
+    def repeated(self, key: str) -> DataFrame | None:
+        """A job's rows before repeated ones are dropped, or None where the job is stored."""
+        self.table(key)
+        if key in self.stored or key in self.written:
+            return None
+        return conform(JOBS[key].repeated(self), JOBS[key].spec.schema)
+
     def needed(self, key: str) -> list[str]:
         """A job and all jobs below it, in dependency order."""
         below = {key}
@@ -74,23 +87,39 @@ class Warehouse:
         return [k for k in JOBS if k in below]
 
     def staged(self, key: str, folder: str) -> DataFrame:
-        """A job's result, with what is read repeatedly below it written to ``folder`` first."""
-        self.stage([key], folder)
+        """A job's result, with what is read repeatedly below it written to ``folder`` first.
+
+        Rows that cost less to compose again than to group and store are not written.
+        """
+        self.stage([key], folder, kept=[k for k in JOBS if JOBS[k].repeated])
         return self.table(key)
 
-    def stage(self, keys: Iterable[str], folder: str, kept: Iterable[str] = ()) -> None:
-        """Write what is read repeatedly below some jobs to ``folder``, but for these jobs and those ``kept`` elsewhere."""
+    def stage_reads(self, reads: Mapping[str, int], folder: str) -> None:
+        """Write what is read repeatedly by and below a reader of these tables; see ``staged``."""
+        self.stage(reads, folder, kept=[k for k in JOBS if JOBS[k].repeated], reads=reads)
+
+    def stage(self, keys: Iterable[str], folder: str, kept: Iterable[str] = (), reads: Mapping[str, int] | None = None) -> None:
+        """Write what is read repeatedly below some jobs to ``folder``, but for these jobs and those ``kept`` elsewhere.
+
+        With ``reads``, how often the caller reads these jobs, they are written as the others are.
+        Of a job that is not among ``keys`` only the columns that the others ask for are written.
+        """
         keys = list(keys)
         below = {k for key in keys for k in self.needed(key)}
         needed = [k for k in JOBS if k in below]
-        reads = Counter()
+        often, apart = Counter(reads or {}), {*kept, *(keys if reads is None else ())}
         for k in needed:
-            reads.update(JOBS[k].reads)
+            often.update(JOBS[k].reads)
         for k in needed:
-            if reads[k] > 1 and k not in {*keys, *kept}:
+            if often[k] > 1 and k not in apart:
                 path = f"{folder}/{JOBS[k].spec.name}"
-                self.table(k).write.mode("overwrite").parquet(path)
-                self.tables[k] = self.spark.read.schema(JOBS[k].spec.schema).parquet(path)
+                rows = self.table(k)
+                asked = [JOBS[j].columns.get(k, rows.columns) for j in needed if k in JOBS[j].reads]
+                if k not in keys:
+                    rows = rows.select(*[c for c in rows.columns if any(c in some for some in asked)])
+                rows.write.mode("overwrite").parquet(path)
+                self.tables[k] = self.spark.read.schema(rows.schema).parquet(path)
+                self.written.add(k)
 
     def publish(self, keys: Iterable[str] | None = None) -> dict[str, str]:
         """Replace the tables of the given jobs (all by default), in dependency order."""
@@ -117,19 +146,23 @@ JOBS = {
     for job in (
         Job("t01", lambda w: w.source.standards()),
         Job("t02", lambda w: detail.activities(w.cfg, w.source, w.table("t01"))),
-        Job("t03", lambda w: detail.participation(w.cfg, w.source)),
+        Job(
+            "t03",
+            lambda w: detail.participation(w.cfg, w.source),
+            repeated=lambda w: detail.participation_rows(w.cfg, w.source),
+        ),
         Job("t04", lambda w: detail.attachments(w.cfg, w.source)),
         Job("t05", lambda w: detail.students(w.cfg, w.source, w.table("t03")), {"t03": 1}),
         Job(
             "t06",
-            lambda w: detail.student_log(w.table("t05"), w.table("t03"), w.table("t02")),
-            {"t05": 1, "t03": 1, "t02": 2},
+            lambda w: detail.student_log(w.table("t05"), w.table("t03"), w.table("t02"), w.repeated("t03")),
+            {"t05": 1, "t03": 1, "t02": 1},
         ),
         Job("t07", lambda w: detail.teachers(w.cfg, w.source, w.table("t03")), {"t03": 1}),
         Job(
             "t08",
-            lambda w: detail.teacher_log(w.table("t07"), w.table("t03"), w.table("t02")),
-            {"t07": 1, "t03": 1, "t02": 2},
+            lambda w: detail.teacher_log(w.table("t07"), w.table("t03"), w.table("t02"), w.repeated("t03")),
+            {"t07": 1, "t03": 1, "t02": 1},
         ),
         Job("t09", lambda w: detail.hospital_inductions(w.cfg, w.source.admissions(), w.table("t02")), {"t02": 2}),
         Job("t10", lambda w: detail.specialty_inductions(w.cfg, w.source.admissions(), w.table("t02")), {"t02": 2}),
@@ -138,7 +171,12 @@ JOBS = {
             lambda w: detail.rotation_activities(w.cfg, w.source.rotations(), w.table("t05"), w.table("t06")),
             {"t05": 2, "t06": 2},
         ),
-        Job("t12", lambda w: detail.titles_with_teachers(w.table("t02"), w.table("t08")), {"t02": 2, "t08": 2}),
+        Job(
+            "t12",
+            lambda w: detail.titles_with_teachers(w.table("t02"), w.table("t08")),
+            {"t02": 2, "t08": 2},
+            columns={"t08": detail.TITLE_LOG_COLUMNS},
+        ),
         Job("t13", lambda w: summary.overview(w.cfg, w.table("t02"), w.table("t06")), {"t02": 1, "t06": 1}),
         Job("t14", lambda w: summary.counts_against_standards(w.cfg, w.table("t02"), w.table("t01")), {"t02": 1}),
         Job("t15", lambda w: summary.hospital_coverage(w.table("t09")), {"t09": 1}),

@@ -5,19 +5,26 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from wardbook.config import Site, WarehouseConfig
+from wardbook.operators.sites import Stacked
 from wardbook.sources.schemas import INPUTS
 from wardbook.sources.standards import standards_dictionary
 
 
-def checked(df: DataFrame, name: str) -> DataFrame:
-    """The declared columns of an input, in their declared types; missing ones are an error."""
+def checked(df: DataFrame, name: str, *more: str) -> DataFrame:
+    """The declared columns of an input, in their declared types, and ``more`` of its own; missing ones are an error."""
     missing = set(INPUTS[name].names) - set(df.columns)
     if missing:
         raise ValueError(f"{name} lacks columns {sorted(missing)}")
-    return df.to(INPUTS[name])
+    return df.to(T.StructType([*INPUTS[name].fields, *[df.schema[c] for c in more]]))
+
+
+def branches(source, entity: str) -> Iterator[tuple[Site, DataFrame]] | Stacked:
+    """An entity's rows site by site, or in one relation where the source has them so."""
+    stacked = source.stacked(entity) if hasattr(source, "stacked") else None
+    return source.sites(entity) if stacked is None else stacked
 
 
 @dataclass(frozen=True)
