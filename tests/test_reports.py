@@ -3,11 +3,13 @@
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from wardbook.operators.bitmaps import PIECE, count_bitmaps, dense_ids, id_bitmaps
+from wardbook.operators import linkage
 from wardbook.operators.linkage import one_person_per_rotation
 from wardbook.operators.periods import _by_width, _spread, events_in_period, match_in_period, overlapping
 from wardbook.operators.runs import month_spine, shortfall_runs
@@ -222,6 +224,25 @@ def test_one_person_per_rotation_equals_brute_force(spark, tmp_path, seed, round
     assert Counter(map(tuple, got.collect())) == want
 
 
+def test_rotations_are_shuffled_once_for_their_candidates(spark, tmp_path, monkeypatch):
+    plans, real = {}, linkage.stored
+
+    def stored(df, path):
+        plans[path.rpartition("/")[2]] = df._jdf.queryExecution().toString()
+        return real(df, path)
+
+    monkeypatch.setattr(linkage, "stored", stored)
+    one_person_per_rotation(
+        spark.createDataFrame([("a", "x", day(1), day(2))] * 2, "name string, office string, t0 timestamp_ntz, t1 timestamp_ntz"),
+        spark.createDataFrame([(1, "a")], "person bigint, own string"),
+        spark.createDataFrame([(1, "a", day(1))], "who bigint, of string, at timestamp_ntz"),
+        on=[("name", "own")], person="person", period=("t0", "t1"), log_on=[("name", "of")], log_person="who", log_time="at",
+        folder=str(tmp_path),
+    )
+    assert "Exchange hashpartitioning(name#" in plans["rotations"]
+    assert not re.search(r"Exchange hashpartitioning\([^)]*office#", plans["rotations"])
+
+
 def test_linkage_of_nothing(spark, tmp_path):
     none = spark.createDataFrame([], "name string, t0 timestamp_ntz, t1 timestamp_ntz")
     people = spark.createDataFrame([], "person bigint, own string")

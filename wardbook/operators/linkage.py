@@ -45,8 +45,11 @@ def one_person_per_rotation(
     """
     start, end = period
     counted = people.groupBy(*[c for _, c in on]).agg(F.count_distinct(person).alias("_candidates"), F.min(person).alias("_only"))
+    # Equal rotations are dropped where the join by their keys put them: the rows are shuffled once
+    # and, since candidates are far fewer and are looked up by hash, not sorted.
+    known = left_join(rotations, counted.hint("shuffle_hash"), on, ["_candidates", "_only"]).distinct()
     # Numbers are fixed when they are written.
-    known = left_join(rotations.distinct(), counted, on, ["_candidates", "_only"]).withColumn("_id", F.monotonically_increasing_id())
+    known = known.withColumn("_id", F.monotonically_increasing_id())
     known = stored(known, f"{folder}/rotations")
     several = known.filter("_candidates > 1")
     heard = events_in_period(

@@ -84,7 +84,7 @@ FROM rot r LEFT JOIN cand c ON {_COHORT.format(s="c", r="r")} LEFT JOIN ({given}
 @report("person_per_rotation", _linkage_sql())
 def _person_per_rotation(spark, sf_dir, folder):
     w = adapter.warehouse(spark, sf_dir, folder)
-    w.staged("t11", folder)  # stores what t11 reads: people and their log
+    w.stage_reads({"t05": 1, "t06": 1}, folder)
     linked = detail.rotation_people(w.cfg, w.source.rotations(), w.table("t05"), w.table("t06"), f"{folder}/linkage")
     names = {
         "rotation_student_name": "name",
