@@ -19,17 +19,18 @@ def classify_names(
     """One row per input row with an id: ``keys``, the id and the class of its title.
 
     A title is shared if the group given by ``keys`` (title and type among them) holds
-    two different ids: its first and its last id differ. Both are found before the shuffle
-    already, so a hot title is one row per map task, and ids are never listed. Only the
-    shared groups are joined back, by hash, NULL keys matching NULL keys.
+    two different ids: distinct (group, id) pairs are counted, which spreads a hot title
+    over its ids, aggregates by hash and never lists ids. Only the shared groups are
+    joined back, by hash, NULL keys matching NULL keys.
     """
     rows = activities.select(*keys, id_col).filter(F.col(id_col).isNotNull())
     repeats_type = F.coalesce(F.col(title) == F.col(type_name), F.lit(False))
     shared = (
         rows.filter(~repeats_type)
+        .distinct()
         .groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)])
-        .agg(F.min(id_col).alias("_first"), F.max(id_col).alias("_last"))
-        .filter("_first <> _last")
+        .agg(F.count("*").alias("_ids"))
+        .filter("_ids > 1")
         .select(*[f"_g{i}" for i in range(len(keys))], F.lit(True).alias("_shared"))
     )
     cond = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)])

@@ -265,21 +265,18 @@ _PLAIN = {"person", "file"}
 class DriverSource:
     """Inputs made from the driver's tables, each only when a job asks for it.
 
-    Jobs read the sites' rows of an entity in one pass. Site by site, what is shaped by joins
-    is written once below ``folder``, by site, so that sites read their own rows instead of
-    repeating the joins.
+    What is shaped by joins is written once below ``folder``, by site. Jobs read the sites'
+    rows of an entity in one pass.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, folder: str, cfg: WarehouseConfig = CFG):
         self.cfg = cfg
         self.tables: Tables = cache(lambda name: read(spark, sf_dir, name))
-        self.written: dict[str, DataFrame] = {}
         self.shaped = cache(lambda entity: self._shaped(entity, f"{folder}/in-{entity}"))
 
     def _shaped(self, entity: str, path: str) -> DataFrame:
         rows = _ENTITIES[entity](self.tables)
-        self.written[entity] = rows if entity in _PLAIN else self._stored(rows, path)
-        return self.written[entity]
+        return rows if entity in _PLAIN else self._stored(rows, path)
 
     def _stored(self, rows: DataFrame, path: str) -> DataFrame:
         if "site_no" in rows.columns:
@@ -294,9 +291,8 @@ class DriverSource:
             yield site, checked(rows.filter(F.col("site_no") == no) if "site_no" in rows.columns else rows, entity)
 
     def stacked(self, entity: str) -> Stacked | None:
-        """All sites' rows in one relation, where a row is of one site; from the folder if they were written there."""
-        rows = self.written.get(entity)
-        rows = _ENTITIES[entity](self.tables) if rows is None else rows
+        """All sites' rows in one relation, where a row is of one site."""
+        rows = self.shaped(entity)
         if "site_no" not in rows.columns:
             return None
         return Stacked(self.cfg.sites, checked(rows, entity, "site_no"), "site_no")
