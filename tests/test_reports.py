@@ -102,6 +102,22 @@ def test_sparse_match_gives_the_same_rows(spark):
         assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
 
 
+def test_sparse_match_composes_its_rows_once(spark, tmp_path):
+    """The driver holds one small plan after another: what several branches read is in a folder."""
+    spans, events = spans_and_events(7)
+    rows = spark.createDataFrame(spans, "who string, n int, t0 timestamp_ntz, t1 timestamp_ntz")
+    log = spark.createDataFrame(events, "person string, event int, at timestamp_ntz")
+    options = {"start": "t0", "end": "t1", "at": "at", "keep": ["event"]}
+    joins = lambda df: len(re.findall(r"\w+Join ", plan_of(df)))
+    for noted in (log, log.filter("event % 20 = 0"), log.limit(0)):
+        want = match_in_period(rows, noted, [("who", "person")], **options)
+        lazy = match_in_period(rows, noted, [("who", "person")], **options, sparse=True)
+        assert joins(lazy) <= 7
+        apart = match_in_period(rows, noted, [("who", "person")], **options, sparse=True, folder=str(tmp_path))
+        assert joins(apart) == 1
+        assert Counter(map(tuple, lazy.collect())) == Counter(map(tuple, apart.collect())) == Counter(map(tuple, want.collect()))
+
+
 @pytest.mark.parametrize("days", [1, 30])
 def test_match_in_period_of_any_length_equals_brute_force(spark, days):
     rng = random.Random(days)

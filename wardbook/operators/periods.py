@@ -15,6 +15,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardbook.operators.joins import Keys, left_join, present, same_keys
+from wardbook.operators.storage import stored
 
 BIN_DAYS = 30
 
@@ -58,8 +59,9 @@ def events_in_period(
 
 
 def match_in_period(
-    rows: DataFrame, events: DataFrame, on: Keys, *, start: str, end: str, at: str, keep: Sequence[str], days: int = BIN_DAYS, sparse: bool = False
-) -> DataFrame:
+    rows: DataFrame, events: DataFrame, on: Keys, *, start: str, end: str, at: str, keep: Sequence[str], days: int = BIN_DAYS,
+    sparse: bool = False, folder: str | None = None,
+) -> DataFrame:
     """``events_in_period``, and rows without an event alone with NULLs: SQL's left join on ``BETWEEN``.
 
     Which events fall into a row's period is a matter of its keys and period alone, so times
@@ -71,10 +73,13 @@ def match_in_period(
 
     ``sparse`` is for rows of which few have an event. They travel once, by their keys, to
     the weeks in which these have events at all (a list as long as the calendar at most); only
-    rows with such a week in their period go on to the exact match.
+    rows with such a week in their period go on to the exact match, with events that carry
+    their values. With ``folder`` what is read by several branches is written there: rows are
+    composed and looked up once, and the driver holds three small plans one after another,
+    not one in which every branch has all of them.
     """
     if sparse:
-        return _sparse_match(rows, events, on, start=start, end=end, at=at, keep=keep, days=days)
+        return _sparse_match(rows, events, on, start=start, end=end, at=at, keep=keep, days=days, folder=folder)
     lefts, names = [left for left, _ in on], [*[f"_s{i}" for i in range(len(on))], "_from", "_to"]
     usable = F.coalesce(present(lefts) & _valid(start, end), F.lit(False))
     valid = rows.filter(usable)
@@ -93,18 +98,36 @@ def match_in_period(
 
 
 def _sparse_match(
-    rows: DataFrame, events: DataFrame, on: Keys, *, start: str, end: str, at: str, keep: Sequence[str], days: int
+    rows: DataFrame, events: DataFrame, on: Keys, *, start: str, end: str, at: str, keep: Sequence[str], days: int, folder: str | None
 ) -> DataFrame:
-    rights = [r for _, r in on]
+    lefts, rights = [left for left, _ in on], [r for _, r in on]
     by_key = events.filter(present([*rights, at])).groupBy(*rights).agg(F.collect_set(_bin(F.col(at), 7)).alias("_weeks"))
     first, last = _bin(F.col(start), 7), _bin(F.col(end), 7)
-    # Unknown counts as no. As one expression that takes NULLs it lets both branches below share one shuffle of the rows.
+    # Unknown counts as no. As one expression that takes NULLs it lets the branches below share one shuffle of the rows.
     maybe = F.coalesce(F.exists("_weeks", lambda week: (week >= first) & (week <= last)), F.lit(False))
-    usable = F.coalesce(present([left for left, _ in on]) & _valid(start, end), F.lit(False))
+    usable = F.coalesce(present(lefts) & _valid(start, end), F.lit(False))
     told = left_join(rows.filter(usable), by_key, on, ["_weeks"]).withColumn("_maybe", maybe).drop("_weeks")
-    found = match_in_period(told.filter("_maybe").drop("_maybe"), events, on, start=start, end=end, at=at, keep=keep, days=days)
+    told = told if folder is None else stored(told, f"{folder}/told")
+    likely = told.filter("_maybe").drop("_maybe")
+    found = _found(likely, events, on, start=start, end=end, at=at, keep=keep, days=days)
+    found = found if folder is None else stored(found, f"{folder}/found")
+    matched = [(c, f"_s{i}") for i, c in enumerate([*lefts, start, end])]
+    hits = found.select(*[F.col(c).alias(name) for c, name in matched]).distinct()
+    alone = likely.join(hits, same_keys(likely, hits, matched), "left_anti")
+    alone = alone.unionByName(told.filter("NOT _maybe").drop("_maybe")).unionByName(rows.filter(~usable))
     nulls = [F.lit(None).cast(events.schema[c].dataType).alias(c) for c in keep]
-    return found.unionByName(told.filter("NOT _maybe").unionByName(rows.filter(~usable), allowMissingColumns=True).select(*rows.columns, *nulls))
+    return found.unionByName(alone.select(*rows.columns, *nulls))
+
+
+def _found(
+    rows: DataFrame, events: DataFrame, on: Keys, *, start: str, end: str, at: str, keep: Sequence[str], days: int
+) -> DataFrame:
+    """Rows with usable keys and periods with every event in them, joined in bins of the row's width."""
+    values = [f"_v{i}" for i in range(len(keep))]
+    spans = _spread(rows.withColumns({"_from": F.col(start), "_to": F.col(end)}), days)
+    noted = _times_by_width(_events(events, on, at, days, keep), len(on), days, values)
+    pairs = spans.join(noted, _inside([(left, f"_k{i}") for i, (left, _) in enumerate(on)]))
+    return pairs.select(*rows.columns, *[F.col(v).alias(c) for v, c in zip(values, keep)])
 
 
 def _widths(days: int) -> list[int]:
@@ -127,9 +150,9 @@ def _width(start: str, end: str, days: int) -> Column:
     return width
 
 
-def _times_by_width(times: DataFrame, keys: int, days: int) -> DataFrame:
+def _times_by_width(times: DataFrame, keys: int, days: int, values: Sequence[str] = ()) -> DataFrame:
     width = F.explode(F.array(*[F.lit(w) for w in _widths(days)]))
-    listed = times.select(*[f"_k{i}" for i in range(keys)], "_at", width.alias("_event_width"))
+    listed = times.select(*[f"_k{i}" for i in range(keys)], "_at", *values, width.alias("_event_width"))
     return listed.withColumn("_event_bin", _bin(F.col("_at"), F.col("_event_width")))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from wardbook.config import Site, WarehouseConfig
@@ -351,21 +353,31 @@ def rotation_activities(cfg: WarehouseConfig, raw: DataFrame, people: DataFrame,
     )
 
 
-def rotations_in_period(cfg: WarehouseConfig, raw: DataFrame, log: DataFrame) -> DataFrame:
+def rotations_in_period(
+    cfg: WarehouseConfig, raw: DataFrame, log: DataFrame, folder: str | None = None, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Rotations with the activities that their students joined from their first to their last moment.
 
     Unlike ``rotation_activities`` this does not go by months: an activity of the first
-    month before the rotation began is not listed.
+    month before the rotation began is not listed. What is read repeatedly is written to
+    ``folder``, if there is one. ``columns`` may name the only ones asked for, of both sides:
+    no others are returned or written, but those by which rotations are matched.
     """
+    rows = rotations(cfg, raw)
+    keep = ["student_id", *_ACTIVITY_FACTS[:-2], "activity_start_time", "activity_is_signed"]
+    if columns is not None:
+        asked = {*columns, *[c for c, _ in _COHORT_ON], "rotation_start_time", "rotation_end_time"}
+        rows, keep = rows.select(*[c for c in rows.columns if c in asked]), [c for c in keep if c in asked]
     return match_in_period(
-        rotations(cfg, raw),
+        rows,
         log,
         _COHORT_ON,
         start="rotation_start_time",
         end="rotation_end_time",
         at="activity_start_time",
-        keep=["student_id", *_ACTIVITY_FACTS[:-2], "activity_start_time", "activity_is_signed"],
+        keep=keep,
         sparse=True,
+        folder=folder,
     )
 
 

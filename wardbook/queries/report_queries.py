@@ -158,8 +158,9 @@ def _rotation_period_activities(spark, sf_dir, folder):
         "rotation_end_time": "to_time",
         "activity_start_time": "at",
     }
-    rows = detail.rotations_in_period(w.cfg, w.source.rotations(), w.table("t06")).withColumnsRenamed(names)
-    return rows.select(*names.values(), "student_id", "activity_id")
+    ids = ["student_id", "activity_id"]
+    rows = detail.rotations_in_period(w.cfg, w.source.rotations(), w.table("t06"), f"{folder}/periods", [*names, *ids])
+    return rows.withColumnsRenamed(names).select(*names.values(), *ids)
 
 
 # ---- runs of months ----------------------------------------------------------
