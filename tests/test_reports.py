@@ -102,6 +102,19 @@ def test_sparse_match_gives_the_same_rows(spark):
         assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
 
 
+@pytest.mark.parametrize("stored", [False, True])
+def test_sparse_match_brings_no_events_to_the_driver(spark, conf, tmp_path, stored):
+    """Files of few bytes may hold many events, so none of the joins is a broadcast however small they look."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "10m")
+    spark.range(3000).selectExpr("concat('who', id % 50) AS who", "timestampadd(DAY, int(id % 90), TIMESTAMP_NTZ '2024-01-01 00:00:00') AS at").write.parquet(f"{tmp_path}/in")
+    events = spark.read.parquet(f"{tmp_path}/in")
+    rows = events.selectExpr("who AS person", "at AS t0", "timestampadd(DAY, 1, at) AS t1")
+    conf("spark.sql.adaptive.enabled", "false")
+    folder = {"folder": str(tmp_path)} if stored else {}
+    got = match_in_period(rows, events, [("person", "who")], start="t0", end="t1", at="at", keep=["at"], sparse=True, **folder)
+    assert "Broadcast" not in plan_of(got) and "SortMergeJoin" in plan_of(got)
+
+
 def test_sparse_match_composes_its_rows_once(spark, tmp_path):
     """The driver holds one small plan after another: what several branches read is in a folder."""
     spans, events = spans_and_events(7)

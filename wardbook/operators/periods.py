@@ -76,7 +76,9 @@ def match_in_period(
     rows with such a week in their period go on to the exact match, with events that carry
     their values. With ``folder`` what is read by several branches is written there: rows are
     composed and looked up once, and the driver holds three small plans one after another,
-    not one in which every branch has all of them.
+    not one in which every branch has all of them. Its joins are shuffled at every size: events
+    grow with the data, and the bytes of their files tell neither how large their keys are in
+    memory nor that they are listed once for each width, so what looks small may fill the driver.
     """
     if sparse:
         return _sparse_match(rows, events, on, start=start, end=end, at=at, keep=keep, days=days, folder=folder)
@@ -106,14 +108,14 @@ def _sparse_match(
     # Unknown counts as no. As one expression that takes NULLs it lets the branches below share one shuffle of the rows.
     maybe = F.coalesce(F.exists("_weeks", lambda week: (week >= first) & (week <= last)), F.lit(False))
     usable = F.coalesce(present(lefts) & _valid(start, end), F.lit(False))
-    told = left_join(rows.filter(usable), by_key, on, ["_weeks"]).withColumn("_maybe", maybe).drop("_weeks")
+    told = left_join(rows.filter(usable), by_key.hint("merge"), on, ["_weeks"]).withColumn("_maybe", maybe).drop("_weeks")
     told = told if folder is None else stored(told, f"{folder}/told")
     likely = told.filter("_maybe").drop("_maybe")
     found = _found(likely, events, on, start=start, end=end, at=at, keep=keep, days=days)
     found = found if folder is None else stored(found, f"{folder}/found")
     matched = [(c, f"_s{i}") for i, c in enumerate([*lefts, start, end])]
     hits = found.select(*[F.col(c).alias(name) for c, name in matched]).distinct()
-    alone = likely.join(hits, same_keys(likely, hits, matched), "left_anti")
+    alone = likely.join(hits.hint("merge"), same_keys(likely, hits, matched), "left_anti")
     alone = alone.unionByName(told.filter("NOT _maybe").drop("_maybe")).unionByName(rows.filter(~usable))
     nulls = [F.lit(None).cast(events.schema[c].dataType).alias(c) for c in keep]
     return found.unionByName(alone.select(*rows.columns, *nulls))
@@ -126,7 +128,7 @@ def _found(
     values = [f"_v{i}" for i in range(len(keep))]
     spans = _spread(rows.withColumns({"_from": F.col(start), "_to": F.col(end)}), days)
     noted = _times_by_width(_events(events, on, at, days, keep), len(on), days, values)
-    pairs = spans.join(noted, _inside([(left, f"_k{i}") for i, (left, _) in enumerate(on)]))
+    pairs = spans.join(noted.hint("merge"), _inside([(left, f"_k{i}") for i, (left, _) in enumerate(on)]))
     return pairs.select(*rows.columns, *[F.col(v).alias(c) for v, c in zip(values, keep)])
 
 
